@@ -31,7 +31,7 @@ def vector(c, length: int, default: float = 0.0) -> Column:
     """Fixed-length vector as array<double>; a missing value becomes the
     default vector and a wrong length raises (declared schemas, not inferred)."""
     v = _c(c).cast("array<double>")
-    filled = F.coalesce(v, F.array(*[F.lit(float(default))] * length))
+    filled = F.coalesce(v, F.array_repeat(F.lit(float(default)), length))
     return F.when(F.size(filled) == length, filled).otherwise(
         F.raise_error(F.lit(f"vector length != {length}")).cast("array<double>"))
 
@@ -65,7 +65,11 @@ def bucketize_vector(c, boundaries, length: int) -> Column:
     position owns its own id range (multi-valued ids)."""
     width = len(boundaries) + 1
     x = _c(c)
-    return F.array(*[bucketize(x.getItem(j), boundaries) + F.lit(j * width) for j in range(length)])
+    if length <= 8:
+        return F.array(*[bucketize(x.getItem(j), boundaries) + F.lit(j * width) for j in range(length)])
+    # wide vectors: one lambda instead of `length` unrolled copies (keeps the
+    # generated method under the JVM size limit)
+    return F.transform(x, lambda v, j: bucketize(v, boundaries) + j.cast("bigint") * F.lit(width))
 
 
 # ---------------------------------------------------------------- hashing

@@ -93,9 +93,12 @@ def long_ids(df: DataFrame, fields, id_col: str = "sample_id", keep=(), numeric=
         return F.struct(F.lit(name).alias("field"), F.lit(int(fid)).cast("bigint").alias("fid"),
                         bucket.cast("bigint").alias("bucket"), value.cast("double").alias("value"))
 
+    def tag(name, fid):
+        return lambda b: one(name, fid, b, F.lit(1.0))
+
     for name, fid, _n, is_list in fields:
         if is_list:
-            parts.append(F.transform(F.col(name), lambda b, name=name, fid=fid: one(name, fid, b, F.lit(1.0))))
+            parts.append(F.transform(F.col(name), tag(name, fid)))
         else:
             parts.append(F.array(one(name, fid, F.col(name), F.lit(1.0))))
     for name, fid in numeric:

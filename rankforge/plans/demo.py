@@ -1,5 +1,9 @@
 """Ranking samples built from the provided tables.
 
+The lineitem primary key is (orderkey, linenumber, partkey, suppkey), so the
+sample id is their ``:``-joined string: unique by construction at any scale
+(a 64-bit hash of it would collide at hundreds of billions of rows).
+
 ``samples_li``: one sample per lineitem — user = ordering customer, item =
 supplier, day = ship date; click = returned or accepted (flag <> 'N'),
 conversion = returned ('R'), so every conversion is also a click; weight =
@@ -118,7 +122,8 @@ def samples_li(spark: SparkSession, sf_dir: str) -> DataFrame:
          .join(s, F.col("l_suppkey") == s.s_suppkey)
          .join(p, F.col("l_partkey") == p.p_partkey))
     return j.select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("bigint").alias("sample_id"),
+        F.concat_ws(":", *[F.col(c).cast("string") for c in
+                           ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias("sample_id"),
         F.col("o_custkey").cast("bigint").alias("uid"),
         F.col("l_suppkey").cast("bigint").alias("touid"),
         F.to_date("l_shipdate").alias("ds"),
@@ -152,7 +157,7 @@ def samples_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
 # SQL twins of the two sample builders, for oracle queries.
 SAMPLES_LI_SQL = """
 samples_li AS (
-  SELECT CAST(l.l_orderkey * 8 + l.l_linenumber AS BIGINT) AS sample_id,
+  SELECT concat_ws(':', l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey) AS sample_id,
          CAST(o.o_custkey AS BIGINT) AS uid, CAST(l.l_suppkey AS BIGINT) AS touid,
          CAST(l.l_shipdate AS DATE) AS ds,
          CASE WHEN l.l_returnflag <> 'N' THEN 1.0 ELSE 0.0 END::DOUBLE AS y_ctr,
