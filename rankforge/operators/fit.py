@@ -22,6 +22,9 @@ from rankforge.functions.features import count_below
 from rankforge.spec import FeatureSpec
 
 
+MEAN_DECIMAL = "decimal(38,12)"
+
+
 def boundary_ranks(n: int) -> list:
     """Percentile ranks for ``n`` buckets: int(100/n), int(100*i/n) for
     i = 2..n-1 (integer truncation, as the fitted specs were produced)."""
@@ -131,7 +134,9 @@ def norm_stats(df: DataFrame, cols, vector_cols=(), method: str = "exact") -> di
     scalar = [c for c in cols if c not in vector_cols]
     mom = {}
     if scalar:
-        row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in scalar],
+        # mean from an exact decimal sum: no drift over billions of rows and
+        # no dependence on summation order
+        row = df.agg(*[F.avg(F.col(c).cast(MEAN_DECIMAL)).cast("double").alias(f"m_{c}") for c in scalar],
                      *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in scalar]).first()
         mom = {c: (row[f"m_{c}"], row[f"s_{c}"]) for c in scalar}
     for c in vector_cols:

@@ -127,7 +127,7 @@ def embed_lookup(ids: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def embed_bag(ids: DataFrame, table: DataFrame, dim: int, combiner: str = "sum",
-              group_cols=("sample_id", "field"), keep=()) -> DataFrame:
+              group_cols=("sample_id", "field"), keep=(), snap_digits: int | None = None) -> DataFrame:
     """Combine the vectors of a multi-valued field per sample: ``sum``,
     ``mean`` or ``sqrtn`` (sum / sqrt(count)). Per-dimension sums are plain
     aggregates, so partial aggregation happens before the shuffle. Empty
@@ -138,6 +138,9 @@ def embed_bag(ids: DataFrame, table: DataFrame, dim: int, combiner: str = "sum",
     aggs.append(F.count(F.lit(1)).alias("n_ids"))
     aggs += [F.any_value(k).alias(k) for k in keep]
     g = j.groupBy(*group_cols).agg(*aggs)
+    if snap_digits is not None:
+        for d in range(dim):
+            g = g.withColumn(f"s{d}", F.round(F.col(f"s{d}") * F.lit(10.0 ** snap_digits)) / F.lit(10.0 ** snap_digits))
     if combiner == "sum":
         scale = F.lit(1.0)
     elif combiner == "mean":

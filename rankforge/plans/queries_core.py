@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 from rankforge.operators.metrics import auc_exact, weighted_logloss
 from rankforge.operators.scoring import score_lr
 from rankforge.plans import sqlgen as Q
-from rankforge.plans.catalog import query, with_ctes
+from rankforge.plans.catalog import pyround, query, rnd, with_ctes
 from rankforge.plans.demo import SAMPLES_LI_SQL, li_spec, samples_li
 
 R = 6  # decimals kept in floating outputs (summation order differs between engines)
 
 
 def r(c, name):
-    return F.round(c, R).alias(name)
+    return rnd(c, name)
 
 
 def _li_scored(spark, sf):

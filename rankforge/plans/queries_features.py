@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rankforge.functions import features as X
 from rankforge.operators.fit import norm_stats
 from rankforge.plans import sqlgen as Q
-from rankforge.plans.catalog import query, with_ctes
+from rankforge.plans.catalog import pyround, query, rnd, with_ctes
 from rankforge.plans.demo import SAMPLES_EV_SQL, SAMPLES_LI_SQL, li_spec, samples_ev, samples_li
 from rankforge.sources.tables import read_table
 from rankforge.sources.typed import role_projection, typed_read
@@ -17,7 +17,7 @@ R = 6
 
 
 def r(c, name):
-    return F.round(c, R).alias(name)
+    return rnd(c, name)
 
 
 LI = [SAMPLES_LI_SQL]
@@ -169,7 +169,7 @@ def feat_indicator(spark, sf):
 
 
 @query("feat_normalise", sql=with_ctes(*LI, """
-st AS (SELECT quantile_cont(price, 0.01) AS mn, quantile_cont(price, 0.99) AS mx, avg(price) AS mu,
+st AS (SELECT quantile_cont(price, 0.01) AS mn, quantile_cont(price, 0.99) AS mx, avg(CAST(price AS DECIMAL(38,12)))::DOUBLE AS mu,
               stddev_pop(price) AS sd FROM samples_li)""", body="""
 SELECT sample_id, round((least(greatest(price, mn), mx) - mu) / sd, 6) AS price_z,
        round((least(greatest(price, mn), mx) - mn) / (mx - mn), 6) AS price_mm

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rankforge.operators.fit import (approx_quantiles, boundary_ranks, fit_all_features, fit_boundaries,
                                      norm_stats)
-from rankforge.plans.catalog import query, with_ctes
+from rankforge.plans.catalog import pyround, query, rnd, with_ctes
 from rankforge.plans.demo import SAMPLES_LI_SQL, samples_li
 from rankforge.sources.tables import read_table
 from rankforge.spec import parse_ini
@@ -27,7 +27,7 @@ def _boundaries_sql(parts: str) -> str:
 
 
 def _rows(spark, fitted: dict, name="boundary"):
-    rows = [(c, i, round(float(v), 6)) for c, vs in fitted.items() for i, v in enumerate(vs)]
+    rows = [(c, i, pyround(float(v))) for c, vs in fitted.items() for i, v in enumerate(vs)]
     return spark.createDataFrame(rows, f"feature string, idx bigint, {name} double")
 
 
@@ -63,11 +63,11 @@ NORM_COLS = ("price", "acctbal", "z_price", "discount")
 
 @query("fit_norm_stats", sql=with_ctes(SAMPLES_LI_SQL, body=" UNION ALL ".join(
     f"""SELECT '{c}' AS feature, unnest(['max', 'mean', 'min', 'std']) AS stat,
-    round(unnest([quantile_cont({c}, 0.99), avg({c}), quantile_cont({c}, 0.01), stddev_pop({c})]), 6) AS value
+    round(unnest([quantile_cont({c}, 0.99), avg(CAST({c} AS DECIMAL(38,12)))::DOUBLE, quantile_cont({c}, 0.01), stddev_pop({c})]), 6) AS value
     FROM samples_li""" for c in NORM_COLS)))
 def q_fit_norm_stats(spark, sf):
     st = norm_stats(samples_li(spark, sf), list(NORM_COLS))
-    rows = [(c, k, round(float(v), 6)) for c, d in st.items() for k, v in d.items()]
+    rows = [(c, k, pyround(float(v))) for c, d in st.items() for k, v in d.items()]
     return spark.createDataFrame(rows, "feature string, stat string, value double")
 
 
@@ -118,7 +118,7 @@ group = linear
        CAST(row_number() OVER (PARTITION BY feature ORDER BY i) - 1 AS BIGINT) AS idx, round(v, 6) AS value FROM kept
     UNION ALL
     SELECT feature, unnest(['max', 'mean', 'min', 'std']) AS stat, CAST(0 AS BIGINT) AS idx,
-           round(unnest([quantile_cont(x, 0.99), avg(x), quantile_cont(x, 0.01), stddev_pop(x)]), 6) AS value
+           round(unnest([quantile_cont(x, 0.99), avg(CAST(x AS DECIMAL(38,12)))::DOUBLE, quantile_cont(x, 0.01), stddev_pop(x)]), 6) AS value
     FROM (SELECT 'price_n' AS feature, price AS x FROM samples_li UNION ALL SELECT 'tax_n', tax FROM samples_li)
     GROUP BY feature"""))
 def q_fit_all_features(spark, sf):
@@ -128,4 +128,4 @@ def q_fit_all_features(spark, sf):
     s = samples_li(spark, sf).withColumn("label", F.col("y_ctr"))
     _, table = fit_all_features(s, FIT_SPEC)
     return table.select("feature", "stat", F.posexplode("values").alias("idx", "value")).select(
-        "feature", "stat", F.col("idx").cast("bigint").alias("idx"), F.round("value", 6).alias("value"))
+        "feature", "stat", F.col("idx").cast("bigint").alias("idx"), rnd("value", "value"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rankforge.operators import metrics as M
-from rankforge.plans.catalog import query, with_ctes
+from rankforge.plans.catalog import pyround, query, rnd, with_ctes
 from rankforge.plans.queries_core import LR_SCORED_SQL, _li_scored, r
 from rankforge.operators.metrics import thresholds
 

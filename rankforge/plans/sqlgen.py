@@ -92,3 +92,59 @@ def long_ids_cte(spec: FeatureSpec, src: str, id_col: str = "sample_id", keep=()
         parts.append(f"SELECT {id_col}{extra}, '__bias__' AS field, CAST(-1 AS BIGINT) AS fid, "
                      f"CAST(0 AS BIGINT) AS bucket, 1.0::DOUBLE AS value FROM {src}")
     return f"{name} AS (" + "\n  UNION ALL ".join(parts) + ")"
+
+
+def sparse_ctes(spec: FeatureSpec, dim: int, lin_fields=(), emb_fields=(), numeric=(), keep=(),
+                shared: dict | None = None, src: str = "samples_li") -> list:
+    """feats → ids (with bias row) → sp: per-sample lin_<f> and e_<f>_<d>."""
+    feat_keep = ("sample_id",) + tuple(keep) + tuple(numeric)
+    ctes = feature_ctes(spec, src, feat_keep)
+    want = set(lin_fields) | set(emb_fields)
+    idx = spec.field_index()
+    extra = "".join(f", {k}" for k in keep)
+    parts = []
+    for f in spec.categorical():
+        if f.name not in want:
+            continue
+        parts.append(f"SELECT sample_id{extra}, '{f.name}' AS field, CAST({idx[f.name]} AS BIGINT) AS fid, "
+                     f"CAST({f.name} AS BIGINT) AS bucket, 1.0::DOUBLE AS value FROM feats WHERE {f.name} >= 0")
+    base = len(spec.features)
+    for i, c in enumerate(numeric):
+        parts.append(f"SELECT sample_id{extra}, '{c}' AS field, CAST({base + i} AS BIGINT) AS fid, "
+                     f"CAST(0 AS BIGINT) AS bucket, CAST({c} AS DOUBLE) AS value FROM feats")
+    parts.append(f"SELECT sample_id{extra}, '__bias__' AS field, CAST(-1 AS BIGINT) AS fid, "
+                 f"CAST(0 AS BIGINT) AS bucket, 1.0::DOUBLE AS value FROM feats")
+    ctes.append("ids AS (" + "\n  UNION ALL ".join(parts) + ")")
+    shared = shared or {}
+    cols = [f"any_value({k}) AS {k}" for k in keep]
+    for f in list(lin_fields) + list(numeric):
+        cols.append(f"coalesce(sum(CASE WHEN field = '{f}' THEN value * {init_value('fid', 'bucket')} END), 0) AS lin_{f}")
+    for f in list(emb_fields) + list(numeric):
+        tf = str(shared[f][0]) if f in shared else "fid"
+        for d in range(dim):
+            cols.append(f"coalesce(sum(CASE WHEN field = '{f}' THEN value * {init_value(tf, 'bucket', str(d))} END), 0) AS e_{f}_{d}")
+    ctes.append(f"sp AS (SELECT sample_id, {', '.join(cols)} FROM ids GROUP BY sample_id)")
+    return ctes
+
+
+def long_vector_cte(name: str, cols, src: str = "sp", key: str = "sample_id") -> str:
+    parts = [f"SELECT {key}, {i} AS i, CAST({c} AS DOUBLE) AS v FROM {src}" for i, c in enumerate(cols)]
+    return f"{name} AS (" + " UNION ALL ".join(parts) + ")"
+
+
+def mlp_ctes(src: str, head: int, sizes, prefix: str, out_bias: bool = False, hidden_only: bool = False) -> tuple:
+    """Layer l: W fid 1000+10·head+l, bias fid 2000+10·head+l, relu on hidden
+    layers; final CTE has i = 0 holding the logit."""
+    ctes, prev = [], src
+    n = len(sizes) - 1
+    for l in range(n):
+        last = l == n - 1 and not hidden_only
+        b = "0" if (last and not out_bias) else init_value(str(2000 + 10 * head + l), "0", "r.j")
+        expr = f"sum(x.v * {init_value(str(1000 + 10 * head + l), 'x.i', 'r.j')}) + {b}"
+        if not last:
+            expr = f"greatest({expr}, 0)"
+        name = f"{prefix}{l + 1}"
+        ctes.append(f"{name} AS (SELECT x.sample_id, r.j AS i, {expr} AS v FROM {prev} x, "
+                    f"range({sizes[l + 1]}) r(j) GROUP BY x.sample_id, r.j)")
+        prev = name
+    return ctes, prev
