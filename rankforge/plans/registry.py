@@ -7,6 +7,7 @@ from rankforge.plans import queries_fit  # noqa: F401
 from rankforge.plans import queries_metrics  # noqa: F401
 from rankforge.plans import queries_models  # noqa: F401
 from rankforge.plans import queries_samples  # noqa: F401
+from rankforge.plans import queries_train  # noqa: F401
 
 QUERIES = catalog.QUERIES
 ORACLES = catalog.ORACLES
