@@ -219,21 +219,40 @@ def feature_column(f: Feature, compiled: dict) -> Column:
 
 
 def compile_features(df: DataFrame, spec: FeatureSpec, keep=(), list_crosses: dict | None = None) -> DataFrame:
-    """One ``select`` producing every column-type feature of the spec plus the
-    ``keep`` pass-through columns (ids, labels, weights)."""
-    compiled: dict = {}
-    out = [F.col(k) for k in keep]
+    """Every column-type feature of the spec plus the ``keep`` pass-through
+    columns. Two projections: base features first, then crosses and
+    indicators over the *materialised* base columns, so each hash is
+    computed once per row (Catalyst does not inline an expensive expression
+    into several consumers)."""
+    base, derived = [], []
     for f in spec:
         if f.ftype in ("embedding", "shared_embedding"):
             continue
+        (derived if f.ftype in ("cross", "indicator") else base).append(f)
+    base_names = {f.name for f in base}
+    # helper columns referenced by crosses are kept through the first step
+    needed = {k for f in derived for k in (f.keys + f.cat_col) if k in base_names}
+    first = [F.col(k) for k in keep]
+    raw_refs = sorted({k for f in derived for k in (f.keys + f.cat_col)
+                       if k not in base_names and k not in keep})
+    first += [F.col(k) for k in raw_refs]
+    for f in base:
+        if f.is_out or f.name in needed:
+            first.append(feature_column(f, {}).alias(f.name))
+    step1 = df.select(*first)
+    if not derived:
+        return step1
+    cols = {f.name: F.col(f.name) for f in base}
+    out = [F.col(k) for k in keep] + [F.col(f.name) for f in base if f.is_out]
+    for f in derived:
         if f.ftype == "cross" and list_crosses and f.name in list_crosses:
-            col = cross_list([compiled.get(k, F.col(k)) for k in f.keys], f.num_buckets)
+            col = cross_list([cols.get(k, F.col(k)) for k in f.keys], f.num_buckets)
         else:
-            col = feature_column(f, compiled)
-        compiled[f.name] = col
+            col = feature_column(f, cols)
+        cols[f.name] = F.col(f.name)
         if f.is_out:
             out.append(col.alias(f.name))
-    return df.select(*out)
+    return step1.select(*out)
 
 
 def input_layer(cols: dict) -> Column:

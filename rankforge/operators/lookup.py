@@ -80,6 +80,33 @@ def maybe_broadcast(table: DataFrame, fields, dim: int = 0, limit: int = BROADCA
     return bounded_broadcast(table, table_rows(fields), row_bytes, limit)
 
 
+def fits_broadcast(fields, dim: int = 0, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
+    """True when every field's slice of the table (n_ids rows, known from the
+    spec) fits under the broadcast limit — then gathers are map-side."""
+    row_bytes = 48 + 8 * max(dim, 1)
+    return all(f[2] * row_bytes <= limit for f in fields) and not any(f[3] for f in fields)
+
+
+def gather_columns(df: DataFrame, fields, table: DataFrame, value_col: str, prefix: str) -> DataFrame:
+    """Wide-form gather: for each scalar id field, a broadcast hash join with
+    that field's slice of the table adds ``<prefix><field>`` (null when the
+    id is unknown/negative). All joins are map-side in one stage: no explode,
+    no shuffle. Only for tables whose size bound was checked
+    (``fits_broadcast``)."""
+    out = df
+    for name, fid, _n, _is_list in fields:
+        t = table.where(F.col("fid") == F.lit(fid)).select(
+            F.col("bucket").alias(f"_b_{name}"), F.col(value_col).alias(f"{prefix}{name}"))
+        out = out.join(F.broadcast(t), F.col(name) == F.col(f"_b_{name}"), "left").drop(f"_b_{name}")
+    return out
+
+
+def scalar_param(table: DataFrame, fid: int, value_col: str = "w"):
+    """One parameter (e.g. the bias row) as a Python value — a single row."""
+    row = table.where(F.col("fid") == F.lit(fid)).select(value_col).first()
+    return None if row is None else row[0]
+
+
 # ---------------------------------------------------------------- long ids
 def long_ids(df: DataFrame, fields, id_col: str = "sample_id", keep=(), numeric=(),
              with_bias: bool = False) -> DataFrame:

@@ -127,22 +127,46 @@ def _quantile_bounds(scores: DataFrame, col: str, bins: int) -> list:
     return sorted(set(float(v) for v in q if v is not None))
 
 
+def logit_bin(score, per_unit: int = 64, clamp: float = 20.0):
+    """Monotone, statistics-free bin of a score: floor(logit(p)·k) with the
+    logit clamped to ±``clamp``; p ≤ 0 → bottom bin, p ≥ 1 (and NaN, which
+    Spark orders last) → top bin. Fine where probabilities concentrate."""
+    x = F.col(score) if isinstance(score, str) else score
+    lo, hi = -clamp * per_unit, clamp * per_unit
+    lg = F.log(x / (F.lit(1.0) - x))
+    b = F.floor(F.least(F.greatest(lg, F.lit(-clamp)), F.lit(clamp)) * F.lit(float(per_unit)))
+    return (F.when(x <= 0, F.lit(lo)).when(x >= 1, F.lit(hi)).when(F.isnan(x), F.lit(hi))
+            .otherwise(b)).cast("bigint")
+
+
 def auc_exact(df: DataFrame, y: str, p: str, weight: str | None = None, group_cols=(),
-              bins: int = 256) -> DataFrame:
+              bins: int = 256, with_logloss: bool = False, binning: str = "logit") -> DataFrame:
     """Rank AUC with half credit for ties: Σ_pos w·(neg mass below + ½ neg
     mass at the same score) ÷ (P·N). Null when a group lacks a class.
 
     Scale plan: (1) aggregate to distinct (group, score) rows; (2) cut the
-    score axis at approximate quantiles so each (group, bin) window partition
-    holds a bounded share of distinct scores even if one group dominates;
+    score axis into monotone bins — fixed logit bins (no extra pass over the
+    data) or, with ``binning="quantile"``, approximate quantiles of the
+    distinct scores (one extra job) — so a (group, bin) window partition
+    holds a share of a group's distinct scores even if one group dominates;
     (3) a tiny per-bin table gives the mass below each bin; (4) a window
-    inside each (group, bin) adds the mass below within the bin."""
+    inside each (group, bin) adds the mass below within the bin.
+    ``with_logloss`` also returns ``n`` and the weighted log-loss (÷ rows)
+    from the same distinct-score aggregate — one pass over the scores."""
     w = _w(weight)
     yc = F.col(y).cast("double")
-    s = df.groupBy(*group_cols, F.col(p).cast("double").alias("_s")).agg(
-        F.sum(w * yc).alias("pos"), F.sum(w * (F.lit(1.0) - yc)).alias("neg"))
-    bounds = _quantile_bounds(s, "_s", bins)
-    s = s.withColumn("_bin", count_below(F.col("_s"), bounds, strict=False))
+    extra = [F.count(F.lit(1)).alias("cnt"), F.sum(w * logloss_terms(y, p)).alias("ll")] if with_logloss else []
+    sc = F.col(p).cast("double")
+    if binning == "quantile":
+        base = df.groupBy(*group_cols, sc.alias("_s")).agg(
+            F.sum(w * yc).alias("pos"), F.sum(w * (F.lit(1.0) - yc)).alias("neg"), *extra)
+        bounds = _quantile_bounds(base, "_s", bins)
+        s = base.withColumn("_bin", count_below(F.col("_s"), bounds, strict=False))
+    else:
+        # the bin is a function of the score, so it joins the grouping keys and
+        # the later (group, bin) windows reuse this aggregate's partitioning
+        s = df.groupBy(*group_cols, logit_bin(sc).alias("_bin"), sc.alias("_s")).agg(
+            F.sum(w * yc).alias("pos"), F.sum(w * (F.lit(1.0) - yc)).alias("neg"), *extra)
     keys = list(group_cols)
     per_bin = s.groupBy(*keys, "_bin").agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"))
     wb = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
@@ -151,14 +175,15 @@ def auc_exact(df: DataFrame, y: str, p: str, weight: str | None = None, group_co
                .withColumn("P", F.sum("bpos").over(wg)).withColumn("N", F.sum("bneg").over(wg))
                .select(*keys, "_bin", "neg_before", "P", "N"))
     if not keys:
-        per_bin = F.broadcast(per_bin)  # at most `bins` rows
+        per_bin = F.broadcast(per_bin)  # at most 2·20·64 + 1 bins
     ws = Window.partitionBy(*keys, "_bin").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     t = (s.join(per_bin, keys + ["_bin"])
          .withColumn("below", F.col("neg_before") + F.coalesce(F.sum("neg").over(ws), F.lit(0.0))))
     contrib = F.col("pos") * (F.col("below") + F.lit(0.5) * F.col("neg"))
-    return t.groupBy(*keys).agg(
-        F.when(F.first("P") * F.first("N") > 0, F.sum(contrib) / (F.first("P") * F.first("N")))
-        .alias("auc"))
+    out = [F.when(F.first("P") * F.first("N") > 0, F.sum(contrib) / (F.first("P") * F.first("N"))).alias("auc")]
+    if with_logloss:
+        out += [F.sum("cnt").alias("n"), (F.sum("ll") / F.sum("cnt")).alias("logloss")]
+    return t.groupBy(*keys).agg(*out)
 
 
 def auc_per_task(df: DataFrame, tasks: dict, weight: str | None = None, group_cols=(),

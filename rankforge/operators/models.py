@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankforge.functions.features import compile_features
-from rankforge.operators.lookup import id_fields, long_ids, maybe_broadcast, param_table
+from rankforge.operators.lookup import (fits_broadcast, gather_columns, id_fields, long_ids, maybe_broadcast,
+                                        param_table)
 from rankforge.operators.metrics import sigmoid
 from rankforge.spec import FeatureSpec
 
@@ -103,6 +104,14 @@ def sparse_inputs(samples: DataFrame, spec: FeatureSpec, dim: int, lin_fields=()
     base = len(spec.features)
     num = [(c, base + i) for i, c in enumerate(numeric)]
     feats = compile_features(samples, spec, keep=[id_col, *keep, *numeric])
+    tables = cat + [(c, fid, 1, False) for c, fid in num]
+    if shared:
+        tables += [(f"shared_{t}", t, n, False) for t, n in set(shared.values())]
+    vec_t = param_table(spark, tables, dim=dim, with_bias=False)
+    w_t = param_table(spark, cat + [(c, fid, 1, False) for c, fid in num], with_bias=False)
+    if fits_broadcast(tables, dim):
+        return _sparse_inputs_wide(feats, cat, num, dim, lin_fields, emb_fields, shared or {}, vec_t, w_t,
+                                   id_col, keep)
     ids = long_ids(feats, cat, id_col, keep=keep, numeric=num, with_bias=True)
     if shared:
         ids = ids.withColumn("tfid", F.col("fid"))
@@ -110,11 +119,8 @@ def sparse_inputs(samples: DataFrame, spec: FeatureSpec, dim: int, lin_fields=()
             ids = ids.withColumn("tfid", F.when(F.col("field") == fld, F.lit(tfid)).otherwise(F.col("tfid")))
     else:
         ids = ids.withColumn("tfid", F.col("fid"))
-    tables = cat + [(c, fid, 1, False) for c, fid in num]
-    if shared:
-        tables += [(f"shared_{t}", t, n, False) for t, n in set(shared.values())]
-    vec = maybe_broadcast(param_table(spark, tables, dim=dim, with_bias=False), tables, dim)
-    w = maybe_broadcast(param_table(spark, cat + [(c, fid, 1, False) for c, fid in num], with_bias=False), tables)
+    vec = maybe_broadcast(vec_t, tables, dim)
+    w = maybe_broadcast(w_t, tables)
     j = (ids.join(w.select("fid", "bucket", "w"), ["fid", "bucket"], "left")
          .join(vec.select(F.col("fid").alias("tfid"), "bucket", "vec"), ["tfid", "bucket"], "left"))
     aggs = []
@@ -129,6 +135,39 @@ def sparse_inputs(samples: DataFrame, spec: FeatureSpec, dim: int, lin_fields=()
     return j.groupBy(id_col).agg(*aggs)
 
 
+def _sparse_inputs_wide(feats, cat, num, dim, lin_fields, emb_fields, shared, vec_t, w_t, id_col, keep):
+    """Bounded tables: per-field broadcast gathers, all columns per row —
+    no explode and no shuffle (the same outputs as the long path)."""
+    g = feats
+    lin_cat = [f for f in cat if f[0] in set(lin_fields)]
+    emb_cat = [(f[0], shared[f[0]][0] if f[0] in shared else f[1], f[2], False)
+               for f in cat if f[0] in set(emb_fields)]
+    if lin_cat:
+        g = gather_columns(g, lin_cat, w_t, "w", "_w_")
+    if emb_cat:
+        g = gather_columns(g, emb_cat, vec_t, "vec", "_v_")
+    cols = [F.col(id_col), *[F.col(k) for k in keep]]
+    for f in lin_fields:
+        cols.append(F.coalesce(F.col(f"_w_{f}"), F.lit(0.0)).alias(f"lin_{f}"))
+    # numeric fields: one parameter row each (bucket 0) — a bounded summary
+    consts = {}
+    if num:
+        rows = vec_t.where(F.col("fid").isin([fid for _, fid in num])).select("fid", "vec").collect()
+        wrow = w_t.where(F.col("fid").isin([fid for _, fid in num])).select("fid", "w").collect()
+        consts = {r.fid: (list(r.vec), None) for r in rows}
+        for r in wrow:
+            consts[r.fid] = (consts.get(r.fid, ([0.0] * dim, None))[0], r.w)
+    for c, fid in num:
+        cols.append((F.col(c).cast("double") * F.lit(float(consts[fid][1]))).alias(f"lin_{c}"))
+    for f in emb_fields:
+        for d in range(dim):
+            cols.append(F.coalesce(F.col(f"_v_{f}").getItem(d), F.lit(0.0)).alias(f"e_{f}_{d}"))
+    for c, fid in num:
+        for d in range(dim):
+            cols.append((F.col(c).cast("double") * F.lit(float(consts[fid][0][d]))).alias(f"e_{c}_{d}"))
+    return g.select(*cols)
+
+
 def emb_array(fields, dim: int) -> Column:
     return F.array(*[F.col(f"e_{f}_{d}") for f in fields for d in range(dim)])
 

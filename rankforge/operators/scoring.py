@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankforge.functions.features import compile_features
-from rankforge.operators.lookup import (embed_lookup, id_fields, init_value, linear_lookup, long_ids,
-                                        maybe_broadcast, param_table)
+from rankforge.operators.lookup import (BIAS_FID, embed_lookup, fits_broadcast, gather_columns, id_fields,
+                                        init_value, linear_lookup, long_ids, maybe_broadcast, param_table,
+                                        scalar_param)
 from rankforge.operators.metrics import sigmoid
 from rankforge.spec import FeatureSpec
 
@@ -34,8 +35,16 @@ def score_lr(samples: DataFrame, spec: FeatureSpec, weights: DataFrame | None =
     if weights is None:
         weights = param_table(samples.sparkSession, fields)
     feats = compile_features(samples, spec, keep=[id_col, *keep])
-    ids = long_ids(feats, fields, id_col, keep=keep, with_bias=True)
-    s = linear_lookup(ids, maybe_broadcast(weights, fields), id_col, keep)
+    if fits_broadcast(fields):
+        # bounded tables: map-side gathers, the logit is a per-row sum
+        g = gather_columns(feats, fields, weights, "w", "_w_")
+        bias = scalar_param(weights, BIAS_FID) or 0.0
+        z = sum((F.coalesce(F.col(f"_w_{f[0]}"), F.lit(0.0)) for f in fields[1:]),
+                F.coalesce(F.col(f"_w_{fields[0][0]}"), F.lit(0.0))) + F.lit(float(bias))
+        s = g.select(id_col, *keep, z.alias("logit"))
+    else:
+        ids = long_ids(feats, fields, id_col, keep=keep, with_bias=True)
+        s = linear_lookup(ids, maybe_broadcast(weights, fields), id_col, keep)
     if logit_digits is not None:
         s = s.withColumn("logit", F.round("logit", logit_digits))
     return s.withColumn("p", sigmoid("logit"))
@@ -65,16 +74,38 @@ def fm_terms(ids: DataFrame, vectors: DataFrame, weights: DataFrame, dim: int, i
 def score_fm(samples: DataFrame, spec: FeatureSpec, dim: int = 4, numeric=(), id_col: str = "sample_id",
              keep=(), bias: float = 0.0) -> DataFrame:
     """M2/M3: FM over the spec's categorical ids plus ``numeric`` value fields
-    (vocabulary of one, value multiplies weight and vector)."""
-    spark = samples.sparkSession
-    fields = id_fields(spec)
-    base = len(spec.features)
-    num = [(c, base + i) for i, c in enumerate(numeric)]
-    all_fields = fields + [(c, fid, 1, False) for c, fid in num]
-    feats = compile_features(samples, spec, keep=[id_col, *keep, *numeric])
-    ids = long_ids(feats, fields, id_col, keep=keep, numeric=num)
-    vec = maybe_broadcast(param_table(spark, all_fields, dim=dim, with_bias=False), all_fields, dim)
-    w = maybe_broadcast(param_table(spark, all_fields, with_bias=False), all_fields)
-    t = fm_terms(ids, vec, w, dim, id_col, keep)
+    (vocabulary of one, value multiplies weight and vector):
+    logit = Σ x·w + ½Σ_d((Σ x·v_d)² − Σ (x·v_d)²) + bias. Inputs come from
+    ``sparse_inputs`` (map-side gathers for bounded tables, one shuffle
+    otherwise); the identity is per-row arithmetic, no pairwise expansion."""
+    from rankforge.operators.models import sparse_inputs
+    cats = [f.name for f in spec.categorical()]
+    sp = sparse_inputs(samples, spec, dim, cats, cats, numeric, id_col=id_col, keep=keep)
+    fields = cats + list(numeric)
+    linear = sum((F.col(f"lin_{f}") for f in fields[1:]), F.col(f"lin_{fields[0]}"))
+    sq, q = None, None
+    for d in range(dim):
+        s_d = sum((F.col(f"e_{f}_{d}") for f in fields[1:]), F.col(f"e_{fields[0]}_{d}"))
+        q_d = sum((F.col(f"e_{f}_{d}") * F.col(f"e_{f}_{d}") for f in fields[1:]),
+                  F.col(f"e_{fields[0]}_{d}") * F.col(f"e_{fields[0]}_{d}"))
+        sq = s_d * s_d if sq is None else sq + s_d * s_d
+        q = q_d if q is None else q + q_d
+    pair = F.lit(0.5) * (sq - q)
+    t = sp.select(id_col, *keep, linear.alias("linear"), pair.alias("pair"))
     logit = F.col("linear") + F.col("pair") + F.lit(bias)
     return t.withColumn("logit", logit).withColumn("p", sigmoid(logit))
+
+
+# ---------------------------------------------------------------- N1 model registry
+def model_registry() -> dict:
+    """Name → scoring function (``(samples, spec, ...) -> DataFrame``)."""
+    from rankforge.operators import models as MD
+    return {"lr": score_lr, "wide": score_lr, "fm": score_fm, "fm_layer": MD.fm_layer, "dnn": MD.mlp_logit,
+            "deepfm": MD.deepfm_logit, "esmm": MD.esmm_heads, "mmoe": MD.mmoe_heads, "two_tower": MD.dot}
+
+
+def get_model(name: str):
+    reg = model_registry()
+    if name not in reg:
+        raise KeyError(f"unknown model {name!r}; known: {sorted(reg)}")
+    return reg[name]

@@ -44,9 +44,8 @@ def wide_eval_by_day(spark, sf):
     """Minimum slice: score samples_li with the wide model; AUC and weighted
     log-loss per ship day."""
     s = _li_scored(spark, sf)
-    auc = auc_exact(s, "y_ctr", "p", "wt", ["ds"])
-    ll = weighted_logloss(s, "y_ctr", "p", "wt", ["ds"])
-    return ll.join(auc, "ds").select("ds", "n", r(F.col("auc"), "auc"), r(F.col("logloss"), "logloss"))
+    rep = auc_exact(s, "y_ctr", "p", "wt", ["ds"], with_logloss=True)
+    return rep.select("ds", "n", r(F.col("auc"), "auc"), r(F.col("logloss"), "logloss"))
 
 
 @query("score_lr", sql=with_ctes(*LR_SCORED_SQL,

@@ -11,8 +11,24 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None, spread: bool = True) -> DataFrame:
     """Parquet scan; selecting ``columns`` here makes the pruning explicit
-    (Catalyst would prune anyway once the plan projects)."""
+    (Catalyst would prune anyway once the plan projects).
+
+    ``spread``: a scan with fewer splits than the cluster's parallelism
+    (e.g. one small file holding a single row group) is round-robin
+    repartitioned so per-row work uses every core. Large inputs already have
+    thousands of splits, so the rule never adds a shuffle there."""
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return df.select(*columns) if columns else df
+    if columns:
+        df = df.select(*columns)
+    if spread:
+        df = spread_small(df)
+    return df
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
