@@ -107,6 +107,17 @@ def scalar_param(table: DataFrame, fid: int, value_col: str = "w"):
     return None if row is None else row[0]
 
 
+ROW_ID = "_rid"
+
+
+def with_row_id(df: DataFrame) -> DataFrame:
+    """Internal per-row key for long-form aggregation: sample ids need not be
+    unique (exact duplicate records), and grouping by them would merge rows.
+    The id is derived from the partition and position, so a recomputed
+    partition of the same deterministic input gets the same ids."""
+    return df.withColumn(ROW_ID, F.monotonically_increasing_id())
+
+
 # ---------------------------------------------------------------- long ids
 def long_ids(df: DataFrame, fields, id_col: str = "sample_id", keep=(), numeric=(),
              with_bias: bool = False) -> DataFrame:

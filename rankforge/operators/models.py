@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankforge.functions.features import compile_features
-from rankforge.operators.lookup import (fits_broadcast, gather_columns, id_fields, long_ids, maybe_broadcast,
-                                        param_table)
+from rankforge.operators.lookup import (ROW_ID, fits_broadcast, gather_columns, id_fields, long_ids,
+                                        maybe_broadcast, param_table, with_row_id)
 from rankforge.operators.metrics import sigmoid
 from rankforge.spec import FeatureSpec
 
@@ -112,7 +112,7 @@ def sparse_inputs(samples: DataFrame, spec: FeatureSpec, dim: int, lin_fields=()
     if fits_broadcast(tables, dim):
         return _sparse_inputs_wide(feats, cat, num, dim, lin_fields, emb_fields, shared or {}, vec_t, w_t,
                                    id_col, keep)
-    ids = long_ids(feats, cat, id_col, keep=keep, numeric=num, with_bias=True)
+    ids = long_ids(with_row_id(feats), cat, ROW_ID, keep=(id_col, *keep), numeric=num, with_bias=True)
     if shared:
         ids = ids.withColumn("tfid", F.col("fid"))
         for fld, (tfid, _n) in shared.items():
@@ -131,8 +131,8 @@ def sparse_inputs(samples: DataFrame, spec: FeatureSpec, dim: int, lin_fields=()
         for d in range(dim):
             aggs.append(F.coalesce(F.sum(F.when(F.col("field") == f, F.col("vec").getItem(d) * F.col("value"))),
                                    F.lit(0.0)).alias(f"e_{f}_{d}"))
-    aggs += [F.any_value(k).alias(k) for k in keep]
-    return j.groupBy(id_col).agg(*aggs)
+    aggs += [F.any_value(k).alias(k) for k in (id_col, *keep)]
+    return j.groupBy(ROW_ID).agg(*aggs).select(id_col, *keep, *_agg_names(lin_fields, emb_fields, numeric, dim))
 
 
 def _sparse_inputs_wide(feats, cat, num, dim, lin_fields, emb_fields, shared, vec_t, w_t, id_col, keep):
@@ -168,6 +168,12 @@ def _sparse_inputs_wide(feats, cat, num, dim, lin_fields, emb_fields, shared, ve
     return g.select(*cols)
 
 
+def _agg_names(lin_fields, emb_fields, numeric, dim) -> list:
+    names = [f"lin_{f}" for f in list(lin_fields) + list(numeric)]
+    names += [f"e_{f}_{d}" for f in list(emb_fields) + list(numeric) for d in range(dim)]
+    return names
+
+
 def emb_array(fields, dim: int) -> Column:
     return F.array(*[F.col(f"e_{f}_{d}") for f in fields for d in range(dim)])
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankforge.functions.features import compile_features
-from rankforge.operators.lookup import (BIAS_FID, embed_lookup, fits_broadcast, gather_columns, id_fields,
+from rankforge.operators.lookup import (BIAS_FID, ROW_ID, embed_lookup, with_row_id, fits_broadcast, gather_columns, id_fields,
                                         init_value, linear_lookup, long_ids, maybe_broadcast, param_table,
                                         scalar_param)
 from rankforge.operators.metrics import sigmoid
@@ -43,8 +43,8 @@ def score_lr(samples: DataFrame, spec: FeatureSpec, weights: DataFrame | None =
                 F.coalesce(F.col(f"_w_{fields[0][0]}"), F.lit(0.0))) + F.lit(float(bias))
         s = g.select(id_col, *keep, z.alias("logit"))
     else:
-        ids = long_ids(feats, fields, id_col, keep=keep, with_bias=True)
-        s = linear_lookup(ids, maybe_broadcast(weights, fields), id_col, keep)
+        ids = long_ids(with_row_id(feats), fields, ROW_ID, keep=(id_col, *keep), with_bias=True)
+        s = linear_lookup(ids, maybe_broadcast(weights, fields), ROW_ID, (id_col, *keep)).drop(ROW_ID)
     if logit_digits is not None:
         s = s.withColumn("logit", F.round("logit", logit_digits))
     return s.withColumn("p", sigmoid("logit"))

@@ -154,7 +154,9 @@ def samples_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("event_type") == "purchase").cast("double").alias("y_ctcvr"))
 
 
-# SQL twins of the two sample builders, for oracle queries.
+# SQL twins of the two sample builders, for oracle queries. ``rid`` is a
+# per-row key: exact duplicate records share a sample_id, and per-sample
+# aggregates in SQL must not merge them (identical copies may swap numbers).
 SAMPLES_LI_SQL = """
 samples_li AS (
   SELECT concat_ws(':', l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey) AS sample_id,
@@ -168,7 +170,8 @@ samples_li AS (
          p.p_brand AS z_brand, p.p_type AS z_type, CAST(p.p_size AS BIGINT) AS z_size,
          p.p_retailprice AS z_price, p.p_size / 50.0 AS z_size_n,
          l.l_extendedprice AS price, l.l_discount AS discount, l.l_tax AS tax,
-         l.l_partkey AS partkey, l.l_shipdate AS ts
+         l.l_partkey AS partkey, l.l_shipdate AS ts,
+         row_number() OVER (ORDER BY l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey) AS rid
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
        JOIN customer c ON o.o_custkey = c.c_custkey
        JOIN supplier s ON l.l_suppkey = s.s_suppkey

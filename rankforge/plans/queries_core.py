@@ -28,8 +28,8 @@ def li_feats_sql(keep=("sample_id", "ds", "y_ctr", "y_ctcvr", "wt", "uid", "toui
 
 LR_SCORED_SQL = li_feats_sql() + [
     Q.long_ids_cte(li_spec(), "feats", keep=("ds", "y_ctr", "wt"), with_bias=True),
-    f"""scored AS (SELECT sample_id, any_value(ds) AS ds, any_value(y_ctr) AS y_ctr, any_value(wt) AS wt,
-        round(sum(value * {Q.init_value('fid', 'bucket')}), 9) AS logit FROM ids GROUP BY sample_id)""",
+    f"""scored AS (SELECT rid, any_value(sample_id) AS sample_id, any_value(ds) AS ds, any_value(y_ctr) AS y_ctr,
+        any_value(wt) AS wt, round(sum(value * {Q.init_value('fid', 'bucket')}), 9) AS logit FROM ids GROUP BY rid)""",
     f"scored_p AS (SELECT *, {Q.sigmoid('logit')} AS p FROM scored)"]
 
 

@@ -287,10 +287,9 @@ def alias_fields(spark, sf):
     """Several features from one raw field (numeric, bucketized, hashed)."""
     s = samples_li(spark, sf).select("sample_id", "price",
                                      F.round(F.col("price") * 100).cast("bigint").cast("string").alias("price_key"))
-    spec = ALIAS_SPEC
-    c = X.compile_features(s.withColumnRenamed("price", "price"), spec.drop(["price_hash"]), keep=["sample_id"])
-    h = s.select("sample_id", X.hash_bucket("price_key", 13).alias("price_hash"))
-    return c.join(h, "sample_id").select("sample_id", r(F.col("price"), "price"), "price_cat", "price_hash")
+    c = X.compile_features(s, ALIAS_SPEC.drop(["price_hash"]), keep=["sample_id", "price_key"])
+    return c.select("sample_id", r(F.col("price"), "price"), "price_cat",
+                    X.hash_bucket("price_key", 13).alias("price_hash"))
 
 
 @query("multitask_labels", sql=with_ctes(*LI, body="""

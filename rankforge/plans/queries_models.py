@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rankforge.functions import features as X
 from rankforge.operators import models as MD
-from rankforge.operators.lookup import (embed_bag, embed_lookup, id_fields, init_value, linear_lookup, long_ids,
+from rankforge.operators.lookup import (ROW_ID, with_row_id, embed_bag, embed_lookup, id_fields, init_value, linear_lookup, long_ids,
                                         maybe_broadcast, param_table, warm_start)
 from rankforge.operators.metrics import sigmoid
 from rankforge.operators.scoring import score_fm
@@ -65,18 +65,19 @@ def _ids_sql(with_bias=False):
 
 
 @query("linear_lookup", sql=with_ctes(*_ids_sql(), body=f"""
-SELECT sample_id, count(*) AS n_ids, round(sum(value * {Q.init_value('fid', 'bucket')}), 9) AS linear
-FROM ids GROUP BY sample_id"""))
+SELECT any_value(sample_id) AS sample_id, count(*) AS n_ids, round(sum(value * {Q.init_value('fid', 'bucket')}), 9) AS linear
+FROM ids GROUP BY rid"""))
 def q_linear_lookup(spark, sf):
     """Σ weights over every id of a sample (sum combiner), bias excluded."""
     spec = _spec()
     fields = id_fields(spec)
-    feats = X.compile_features(samples_li(spark, sf), spec, keep=["sample_id"])
-    ids = long_ids(feats, fields)
+    feats = with_row_id(X.compile_features(samples_li(spark, sf), spec, keep=["sample_id"]))
+    ids = long_ids(feats, fields, ROW_ID, keep=("sample_id",))
     w = maybe_broadcast(param_table(spark, fields, with_bias=False), fields)
-    s = ids.join(w.select("fid", "bucket", "w"), ["fid", "bucket"], "left").groupBy("sample_id").agg(
-        F.count(F.lit(1)).alias("n_ids"), r9(F.sum(F.col("value") * F.coalesce("w", F.lit(0.0))), "linear"))
-    return s
+    s = ids.join(w.select("fid", "bucket", "w"), ["fid", "bucket"], "left").groupBy(ROW_ID).agg(
+        F.any_value("sample_id").alias("sample_id"), F.count(F.lit(1)).alias("n_ids"),
+        r9(F.sum(F.col("value") * F.coalesce("w", F.lit(0.0))), "linear"))
+    return s.drop(ROW_ID)
 
 
 @query("embed_lookup", sql=with_ctes(SAMPLES_LI_SQL, *Q.feature_ctes(_spec(), "samples_li", ("sample_id",))[0:2],
@@ -181,8 +182,8 @@ def _fm_sql(numeric=()):
         Q.long_ids_cte(spec, "feats", numeric=numeric)]
     s = ", ".join(f"sum(value * {Q.init_value('fid', 'bucket', str(d))}) AS s{d}" for d in range(D))
     q = " + ".join(f"sum(pow(value * {Q.init_value('fid', 'bucket', str(d))}, 2))" for d in range(D))
-    ctes.append(f"t AS (SELECT sample_id, sum(value * {Q.init_value('fid', 'bucket')}) AS lin, {s}, {q} AS q "
-                f"FROM ids GROUP BY sample_id)")
+    ctes.append(f"t AS (SELECT any_value(sample_id) AS sample_id, sum(value * {Q.init_value('fid', 'bucket')}) AS lin, "
+                f"{s}, {q} AS q FROM ids GROUP BY rid)")
     pair = "0.5 * (" + " + ".join(f"s{d} * s{d}" for d in range(D)) + " - q)"
     ctes.append(f"z AS (SELECT sample_id, lin + {pair} AS logit FROM t)")
     d = 9 if not numeric else 6
@@ -264,8 +265,8 @@ _L1_CTES, _L1 = Q.mlp_ctes("x0", 7, [WIDTH, 8], "d", hidden_only=True)
 
 
 @query("dense_relu", sql=with_ctes(*_sp_sql(), _x0_sql(), *_L1_CTES, body=f"""
-SELECT sample_id, CAST(sum(CASE WHEN v > 0 THEN 1 ELSE 0 END) AS BIGINT) AS active_units, round(sum(v), 9) AS total
-FROM {_L1} GROUP BY sample_id"""))
+SELECT any_value(sample_id) AS sample_id, CAST(sum(CASE WHEN v > 0 THEN 1 ELSE 0 END) AS BIGINT) AS active_units,
+       round(sum(v), 9) AS total FROM {_L1} GROUP BY rid"""))
 def q_dense_relu(spark, sf):
     """One dense relu layer (8 units) per sample: active units and sum."""
     sp = _sp(spark, sf)
@@ -277,8 +278,8 @@ def q_dense_relu(spark, sf):
 
 @query("batch_norm", sql=with_ctes(*_sp_sql(), _x0_sql(), *_L1_CTES, f"""
 st AS (SELECT i, avg(v) AS m, var_pop(v) AS s2 FROM {_L1} GROUP BY i)""", body=f"""
-SELECT h.sample_id, round(sum((h.v - st.m) / sqrt(st.s2 + 0.001)), 6) AS bn_total
-FROM {_L1} h JOIN st ON h.i = st.i GROUP BY h.sample_id"""))
+SELECT any_value(h.sample_id) AS sample_id, round(sum((h.v - st.m) / sqrt(st.s2 + 0.001)), 6) AS bn_total
+FROM {_L1} h JOIN st ON h.i = st.i GROUP BY h.rid"""))
 def q_batch_norm(spark, sf):
     """Batch normalisation with frozen population statistics of the layer."""
     sp = _sp(spark, sf)
@@ -301,10 +302,10 @@ def _poly_sql(d):
 
 @query("score_deepfm", sql=with_ctes(*_sp_sql(lin=DNN), _x0_sql(), *_DEEP_CTES,
                                      Q.long_vector_cte("fmp", FM_COLS + [_poly_sql(d) for d in range(D)]),
-                                     f"""allp AS (SELECT sample_id, i, v FROM fmp UNION ALL
-                                                  SELECT sample_id, i + {len(DNN) + D}, v FROM {_DEEP_LAST})""",
-                                     f"""z AS (SELECT sample_id, sum(v * {Q.init_value(str(_DFM_FINAL_FID), 'i', '0')}) AS logit
-                                             FROM allp GROUP BY sample_id)""",
+                                     f"""allp AS (SELECT rid, sample_id, i, v FROM fmp UNION ALL
+                                                  SELECT rid, sample_id, i + {len(DNN) + D}, v FROM {_DEEP_LAST})""",
+                                     f"""z AS (SELECT any_value(sample_id) AS sample_id, sum(v * {Q.init_value(str(_DFM_FINAL_FID), 'i', '0')}) AS logit
+                                             FROM allp GROUP BY rid)""",
                                      body=f"SELECT sample_id, round(logit, 6) AS logit, round({Q.sigmoid('logit')}, 6) AS p FROM z"))
 def q_score_deepfm(spark, sf):
     """DeepFM: [per-field linear outputs, FM second-order vector, DNN hidden]
@@ -323,7 +324,7 @@ _WD_CTES, _WD_LAST = Q.mlp_ctes("x0", 2, [WIDTH, *HIDDEN, 1], "w")
 
 @query("score_wide_deep", sql=with_ctes(*_sp_sql(lin=LIN_ALL), _x0_sql(), *_WD_CTES, f"""
 z AS (SELECT sp.sample_id, {' + '.join('sp.lin_' + f for f in LIN_ALL)} + {Q.init_value('-1', '0')} AS wide, d.v AS deep
-      FROM sp JOIN {_WD_LAST} d ON sp.sample_id = d.sample_id)""", body=f"""
+      FROM sp JOIN {_WD_LAST} d ON sp.rid = d.rid)""", body=f"""
 SELECT sample_id, round(wide, 6) AS wide, round(deep, 6) AS deep, round({Q.sigmoid('wide + deep')}, 6) AS p FROM z"""))
 def q_score_wide_deep(spark, sf):
     """Wide (all linear ids + bias) and deep (DNN) logits added → sigmoid."""
@@ -337,7 +338,8 @@ def q_score_wide_deep(spark, sf):
 
 @query("shared_input", sql=with_ctes(*_sp_sql(lin=DNN), Q.long_vector_cte(
     "blk", FM_COLS + [_poly_sql(d) for d in range(D)] + X0_COLS), body="""
-SELECT sample_id, count(*) AS width, round(sum(v), 6) AS total, round(sum(v * v), 6) AS sq FROM blk GROUP BY sample_id"""))
+SELECT any_value(sample_id) AS sample_id, count(*) AS width, round(sum(v), 6) AS total, round(sum(v * v), 6) AS sq
+FROM blk GROUP BY rid"""))
 def q_shared_input(spark, sf):
     """Shared input block concat(linear outputs, FM vector, dense part),
     summarised per sample (width, Σ, Σ²)."""
@@ -360,8 +362,8 @@ def _esmm_sql(shared_units=None):
     c0, l0 = Q.mlp_ctes(src, 0, [w, *HIDDEN, 1], "c")
     c1, l1 = Q.mlp_ctes(src, 1, [w, *HIDDEN, 1], "v")
     ctes += c0 + c1
-    ctes.append(f"""pz AS (SELECT a.sample_id, {Q.sigmoid('a.v')} AS p_ctr, {Q.sigmoid('b.v')} AS p_cvr
-                    FROM {l0} a JOIN {l1} b ON a.sample_id = b.sample_id)""")
+    ctes.append(f"""pz AS (SELECT a.rid, a.sample_id, {Q.sigmoid('a.v')} AS p_ctr, {Q.sigmoid('b.v')} AS p_cvr
+                    FROM {l0} a JOIN {l1} b ON a.rid = b.rid)""")
     return ctes
 
 
@@ -407,23 +409,24 @@ N_EXP, UNITS, TOWER = 3, 8, [4]
 def _mmoe_sql():
     iv = Q.init_value
     ctes = [
-        f"""ex AS (SELECT x.sample_id, e.e, r.j AS u,
+        f"""ex AS (SELECT x.rid, e.e, r.j AS u,
                greatest(sum(x.v * {iv('4000 + e.e', 'x.i', 'r.j')}) + {iv('4100 + e.e', '0', 'r.j')}, 0) AS v
-               FROM x0 x, range({N_EXP}) e(e), range({UNITS}) r(j) GROUP BY x.sample_id, e.e, r.j)""",
-        f"""gz AS (SELECT x.sample_id, t.t, g.g AS e,
+               FROM x0 x, range({N_EXP}) e(e), range({UNITS}) r(j) GROUP BY x.rid, e.e, r.j)""",
+        f"""gz AS (SELECT x.rid, t.t, g.g AS e,
                sum(x.v * {iv('4200 + t.t', 'x.i', 'g.g')}) + {iv('4300 + t.t', '0', 'g.g')} AS z
-               FROM x0 x, range(2) t(t), range({N_EXP}) g(g) GROUP BY x.sample_id, t.t, g.g)""",
-        "gm AS (SELECT *, max(z) OVER (PARTITION BY sample_id, t) AS zm FROM gz)",
-        "gate AS (SELECT sample_id, t, e, exp(z - zm) / sum(exp(z - zm)) OVER (PARTITION BY sample_id, t) AS g FROM gm)",
-        """mix AS (SELECT ex.sample_id, gate.t, ex.u AS i, sum(gate.g * ex.v) AS v
-               FROM ex JOIN gate ON ex.sample_id = gate.sample_id AND ex.e = gate.e GROUP BY ex.sample_id, gate.t, ex.u)""",
-        f"""tw1 AS (SELECT x.sample_id, x.t, r.j AS i,
+               FROM x0 x, range(2) t(t), range({N_EXP}) g(g) GROUP BY x.rid, t.t, g.g)""",
+        "gm AS (SELECT *, max(z) OVER (PARTITION BY rid, t) AS zm FROM gz)",
+        "gate AS (SELECT rid, t, e, exp(z - zm) / sum(exp(z - zm)) OVER (PARTITION BY rid, t) AS g FROM gm)",
+        """mix AS (SELECT ex.rid, gate.t, ex.u AS i, sum(gate.g * ex.v) AS v
+               FROM ex JOIN gate ON ex.rid = gate.rid AND ex.e = gate.e GROUP BY ex.rid, gate.t, ex.u)""",
+        f"""tw1 AS (SELECT x.rid, x.t, r.j AS i,
                greatest(sum(x.v * {iv('1000 + 10 * (20 + x.t)', 'x.i', 'r.j')}) + {iv('2000 + 10 * (20 + x.t)', '0', 'r.j')}, 0) AS v
-               FROM mix x, range({TOWER[0]}) r(j) GROUP BY x.sample_id, x.t, r.j)""",
-        f"""tw2 AS (SELECT x.sample_id, x.t, sum(x.v * {iv('1000 + 10 * (20 + x.t) + 1', 'x.i', '0')}) AS logit
-               FROM tw1 x GROUP BY x.sample_id, x.t)""",
-        f"""pz AS (SELECT sample_id, max(CASE WHEN t = 0 THEN {Q.sigmoid('logit')} END) AS p_ctr,
-               max(CASE WHEN t = 1 THEN {Q.sigmoid('logit')} END) AS p_cvr FROM tw2 GROUP BY sample_id)"""]
+               FROM mix x, range({TOWER[0]}) r(j) GROUP BY x.rid, x.t, r.j)""",
+        f"""tw2 AS (SELECT x.rid, x.t, sum(x.v * {iv('1000 + 10 * (20 + x.t) + 1', 'x.i', '0')}) AS logit
+               FROM tw1 x GROUP BY x.rid, x.t)""",
+        f"""pz0 AS (SELECT rid, max(CASE WHEN t = 0 THEN {Q.sigmoid('logit')} END) AS p_ctr,
+               max(CASE WHEN t = 1 THEN {Q.sigmoid('logit')} END) AS p_cvr FROM tw2 GROUP BY rid)""",
+        "pz AS (SELECT pz0.*, sp.sample_id FROM pz0 JOIN sp ON pz0.rid = sp.rid)"]
     return ctes
 
 

@@ -34,11 +34,11 @@ def _grad_sql():
     spec = li_spec()
     return [SAMPLES_LI_SQL] + Q.feature_ctes(spec, "samples_li", ("sample_id", "y_ctr", "wt")) + [
         Q.long_ids_cte(spec, "feats", keep=("y_ctr", "wt"), with_bias=True),
-        f"""scored AS (SELECT sample_id, sum(value * {Q.init_value('fid', 'bucket')}) AS logit,
-                   any_value(y_ctr) AS y, any_value(wt) AS w FROM ids GROUP BY sample_id)""",
-        f"resid AS (SELECT sample_id, ({Q.sigmoid('logit')} - y) * w AS r FROM scored)",
+        f"""scored AS (SELECT rid, sum(value * {Q.init_value('fid', 'bucket')}) AS logit,
+                   any_value(y_ctr) AS y, any_value(wt) AS w FROM ids GROUP BY rid)""",
+        f"resid AS (SELECT rid, ({Q.sigmoid('logit')} - y) * w AS r FROM scored)",
         """g AS (SELECT i.field, i.fid, i.bucket, sum(r.r * i.value) / (SELECT count(*) FROM scored) AS grad
-               FROM ids i JOIN resid r ON i.sample_id = r.sample_id GROUP BY 1, 2, 3)"""]
+               FROM ids i JOIN resid r ON i.rid = r.rid GROUP BY 1, 2, 3)"""]
 
 
 @query("grad_step_lr", sql=with_ctes(*_grad_sql(), body=f"""
@@ -73,16 +73,17 @@ def _ll(y, p, w="wt"):
     return f"{w} * -({y} * ln({p} + 1e-7) + (1 - {y}) * ln(1 - {p} + 1e-7))"
 
 
-def _esmm_preds(spark, sf):
-    sp = _sp(spark, sf)
+def _esmm_preds(spark, sf, extra=()):
+    from rankforge.plans.queries_models import KEEP, _spec
+    sp = MD.sparse_inputs(samples_li(spark, sf), _spec(), D, (), DNN, (), keep=KEEP + tuple(extra))
     h = MD.esmm_heads(_x(), WIDTH, HIDDEN)
-    return sp.select("sample_id", "y_ctr", "y_ctcvr", "wt", h.alias("h")).select(
-        "sample_id", "y_ctr", "y_ctcvr", "wt", "h.*")
+    return sp.select("sample_id", "y_ctr", "y_ctcvr", "wt", *extra, h.alias("h")).select(
+        "sample_id", "y_ctr", "y_ctcvr", "wt", *extra, "h.*")
 
 
 ESMM_P_SQL = _sp_sql() + [_x0_sql()] + _esmm_sql() + [
-    """preds AS (SELECT pz.sample_id, sp.y_ctr, sp.y_ctcvr, sp.wt, pz.p_ctr, pz.p_cvr, pz.p_ctr * pz.p_cvr AS p_ctcvr
-                 FROM pz JOIN sp ON pz.sample_id = sp.sample_id)"""]
+    """preds AS (SELECT pz.rid, pz.sample_id, sp.y_ctr, sp.y_ctcvr, sp.wt, pz.p_ctr, pz.p_cvr, pz.p_ctr * pz.p_cvr AS p_ctcvr
+                 FROM pz JOIN sp ON pz.rid = sp.rid)"""]
 
 
 @query("loss_esmm", sql=with_ctes(*ESMM_P_SQL, f"""
@@ -97,8 +98,8 @@ def q_loss_esmm(spark, sf):
 
 
 @query("loss_mmoe", sql=with_ctes(*_sp_sql(), _x0_sql(), *_mmoe_sql(), """
-preds AS (SELECT pz.sample_id, sp.y_ctr, sp.y_ctcvr, sp.wt, pz.p_ctr, pz.p_cvr, pz.p_ctr * pz.p_cvr AS p_ctcvr
-          FROM pz JOIN sp ON pz.sample_id = sp.sample_id)""", body=f"""
+preds AS (SELECT pz.rid, pz.sample_id, sp.y_ctr, sp.y_ctcvr, sp.wt, pz.p_ctr, pz.p_cvr, pz.p_ctr * pz.p_cvr AS p_ctcvr
+          FROM pz JOIN sp ON pz.rid = sp.rid)""", body=f"""
 SELECT 'ctr' AS task, round(sum({_ll('y_ctr', 'p_ctr')}) / count(*), 6) AS loss, count(*) AS n FROM preds
 UNION ALL SELECT 'ctcvr', round(sum({_ll('y_ctcvr', 'p_ctcvr')}) / count(*), 6), count(*) FROM preds
 UNION ALL SELECT 'cvr', round(sum(CASE WHEN y_ctr = 1 THEN {_ll('y_ctcvr', 'p_cvr')} END) / count(CASE WHEN y_ctr = 1 THEN 1 END), 6),
@@ -117,15 +118,15 @@ TOTAL = 30
 
 
 @query("lbtw_weights", sql=with_ctes(*ESMM_P_SQL, f"""
-sl AS (SELECT ds, 'ctr' AS task, sum({_ll('preds.y_ctr', 'p_ctr', 'preds.wt')}) / count(*) AS loss FROM preds JOIN samples_li USING (sample_id) GROUP BY ds
-       UNION ALL SELECT ds, 'ctcvr', sum({_ll('preds.y_ctcvr', 'p_ctcvr', 'preds.wt')}) / count(*) FROM preds JOIN samples_li USING (sample_id) GROUP BY ds)""",
+sl AS (SELECT ds, 'ctr' AS task, sum({_ll('preds.y_ctr', 'p_ctr', 'preds.wt')}) / count(*) AS loss FROM preds JOIN samples_li USING (rid) GROUP BY ds
+       UNION ALL SELECT ds, 'ctcvr', sum({_ll('preds.y_ctcvr', 'p_ctcvr', 'preds.wt')}) / count(*) FROM preds JOIN samples_li USING (rid) GROUP BY ds)""",
     """st AS (SELECT *, dense_rank() OVER (ORDER BY ds) - 1 AS step FROM sl)""",
     f"""lh AS (SELECT *, pow(loss / first_value(loss) OVER (PARTITION BY task, floor(step / {TOTAL}) ORDER BY step), 0.5) AS inv FROM st)""",
     body="""SELECT CAST(step AS BIGINT) AS step, task, round(count(*) OVER (PARTITION BY step) * inv / sum(inv) OVER (PARTITION BY step), 6) AS weight FROM lh"""))
 def q_lbtw_weights(spark, sf):
     """Loss-balanced task weights per day-step (reset every 30 steps) from
     the per-day ESMM task losses."""
-    pr = _esmm_preds(spark, sf).join(samples_li(spark, sf).select("sample_id", "ds"), "sample_id")
+    pr = _esmm_preds(spark, sf, extra=("ds",))
     tl = TR.task_losses(pr, {"ctr": ("y_ctr", "p_ctr", None), "ctcvr": ("y_ctcvr", "p_ctcvr", None)},
                         group_cols=["ds"])
     steps = tl.select("ds").distinct().withColumn("step", F.dense_rank().over(Window.orderBy("ds")) - 1)

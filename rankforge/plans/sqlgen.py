@@ -70,13 +70,16 @@ def feature_ctes(spec: FeatureSpec, src: str, keep, name: str = "feats") -> list
             first.append(f"{identity(s, f.num_buckets, f.default)} AS {f.name}")
         elif f.ftype == "cross":
             second.append(f"{cross(f.keys, f.num_buckets)} AS {f.name}")
+    keep = tuple(keep)
+    if "sample_id" in keep and "rid" not in keep and src == "samples_li":
+        keep = ("rid",) + keep
     k = ", ".join(keep)
     c1 = f"{name}_1 AS (SELECT {k}, {', '.join(first)} FROM {src})"
     c2 = f"{name} AS (SELECT *{', ' + ', '.join(second) if second else ''} FROM {name}_1)"
     return [c1, c2]
 
 
-def long_ids_cte(spec: FeatureSpec, src: str, id_col: str = "sample_id", keep=(), with_bias: bool = False,
+def long_ids_cte(spec: FeatureSpec, src: str, id_col: str = "rid, sample_id", keep=(), with_bias: bool = False,
                  numeric=(), name: str = "ids") -> str:
     idx = spec.field_index()
     extra = "".join(f", {k}" for k in keep)
@@ -97,7 +100,7 @@ def long_ids_cte(spec: FeatureSpec, src: str, id_col: str = "sample_id", keep=()
 def sparse_ctes(spec: FeatureSpec, dim: int, lin_fields=(), emb_fields=(), numeric=(), keep=(),
                 shared: dict | None = None, src: str = "samples_li") -> list:
     """feats → ids (with bias row) → sp: per-sample lin_<f> and e_<f>_<d>."""
-    feat_keep = ("sample_id",) + tuple(keep) + tuple(numeric)
+    feat_keep = ("rid", "sample_id") + tuple(keep) + tuple(numeric)
     ctes = feature_ctes(spec, src, feat_keep)
     want = set(lin_fields) | set(emb_fields)
     idx = spec.field_index()
@@ -106,13 +109,13 @@ def sparse_ctes(spec: FeatureSpec, dim: int, lin_fields=(), emb_fields=(), numer
     for f in spec.categorical():
         if f.name not in want:
             continue
-        parts.append(f"SELECT sample_id{extra}, '{f.name}' AS field, CAST({idx[f.name]} AS BIGINT) AS fid, "
+        parts.append(f"SELECT rid, sample_id{extra}, '{f.name}' AS field, CAST({idx[f.name]} AS BIGINT) AS fid, "
                      f"CAST({f.name} AS BIGINT) AS bucket, 1.0::DOUBLE AS value FROM feats WHERE {f.name} >= 0")
     base = len(spec.features)
     for i, c in enumerate(numeric):
-        parts.append(f"SELECT sample_id{extra}, '{c}' AS field, CAST({base + i} AS BIGINT) AS fid, "
+        parts.append(f"SELECT rid, sample_id{extra}, '{c}' AS field, CAST({base + i} AS BIGINT) AS fid, "
                      f"CAST(0 AS BIGINT) AS bucket, CAST({c} AS DOUBLE) AS value FROM feats")
-    parts.append(f"SELECT sample_id{extra}, '__bias__' AS field, CAST(-1 AS BIGINT) AS fid, "
+    parts.append(f"SELECT rid, sample_id{extra}, '__bias__' AS field, CAST(-1 AS BIGINT) AS fid, "
                  f"CAST(0 AS BIGINT) AS bucket, 1.0::DOUBLE AS value FROM feats")
     ctes.append("ids AS (" + "\n  UNION ALL ".join(parts) + ")")
     shared = shared or {}
@@ -123,11 +126,11 @@ def sparse_ctes(spec: FeatureSpec, dim: int, lin_fields=(), emb_fields=(), numer
         tf = str(shared[f][0]) if f in shared else "fid"
         for d in range(dim):
             cols.append(f"coalesce(sum(CASE WHEN field = '{f}' THEN value * {init_value(tf, 'bucket', str(d))} END), 0) AS e_{f}_{d}")
-    ctes.append(f"sp AS (SELECT sample_id, {', '.join(cols)} FROM ids GROUP BY sample_id)")
+    ctes.append(f"sp AS (SELECT rid, any_value(sample_id) AS sample_id, {', '.join(cols)} FROM ids GROUP BY rid)")
     return ctes
 
 
-def long_vector_cte(name: str, cols, src: str = "sp", key: str = "sample_id") -> str:
+def long_vector_cte(name: str, cols, src: str = "sp", key: str = "rid, sample_id") -> str:
     parts = [f"SELECT {key}, {i} AS i, CAST({c} AS DOUBLE) AS v FROM {src}" for i, c in enumerate(cols)]
     return f"{name} AS (" + " UNION ALL ".join(parts) + ")"
 
@@ -144,7 +147,7 @@ def mlp_ctes(src: str, head: int, sizes, prefix: str, out_bias: bool = False, hi
         if not last:
             expr = f"greatest({expr}, 0)"
         name = f"{prefix}{l + 1}"
-        ctes.append(f"{name} AS (SELECT x.sample_id, r.j AS i, {expr} AS v FROM {prev} x, "
-                    f"range({sizes[l + 1]}) r(j) GROUP BY x.sample_id, r.j)")
+        ctes.append(f"{name} AS (SELECT x.rid, any_value(x.sample_id) AS sample_id, r.j AS i, {expr} AS v "
+                    f"FROM {prev} x, range({sizes[l + 1]}) r(j) GROUP BY x.rid, r.j)")
         prev = name
     return ctes, prev
