@@ -53,15 +53,36 @@ def exact_quantiles(df: DataFrame, probs: dict, vector_cols=(), bins: int = 64)
     """``probs`` = {column: [q in 0..1]} → {column: [value]} with linear
     interpolation between order statistics. Vector columns are pooled over
     all elements."""
+    return quantiles_and_moments(df, probs, vector_cols, bins)[0]
+
+
+def quantiles_and_moments(df: DataFrame, probs: dict, vector_cols=(), bins: int = 64):
+    """One pass over ``df``: exact quantiles for every column in ``probs`` and
+    (mean, population std) per column, both from the distributed
+    (feature, value) → count table (moments from exact decimal sums)."""
     scalar = [c for c in probs if c not in vector_cols]
     vc = _long_values(df, scalar, [c for c in vector_cols if c in probs]) \
         .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
     vc = vc.persist()
     try:
+        xv = F.col("value").cast(MEAN_DECIMAL)
         stats = vc.groupBy("feature").agg(
             F.sum("cnt").alias("n"),
+            F.sum(xv * F.col("cnt")).alias("sx"),
             F.percentile_approx("value", [i / bins for i in range(1, bins)], 10000).alias("cuts")).collect()
         info = {r.feature: (int(r.n), sorted(set(r.cuts or []))) for r in stats}
+        means = {r.feature: (r.sx / r.n) for r in stats}     # exact Decimal arithmetic on the driver
+        var = {}
+        if means:
+            mexpr = None
+            for c, m in means.items():
+                cond = F.col("feature") == F.lit(c)
+                lit = F.lit(str(m)).cast(MEAN_DECIMAL)
+                mexpr = F.when(cond, lit) if mexpr is None else mexpr.when(cond, lit)
+            dev = (xv - mexpr).cast("double")
+            for r in vc.groupBy("feature").agg(F.sum(dev * dev * F.col("cnt")).alias("ss")).collect():
+                var[r.feature] = r.ss / info[r.feature][0]
+        moments = {c: (float(means[c]), float(var.get(c, 0.0)) ** 0.5) for c in means}
         targets, plan = {}, {}
         for c, qs in probs.items():
             if c not in info:
@@ -75,7 +96,7 @@ def exact_quantiles(df: DataFrame, probs: dict, vector_cols=(), bins: int = 64)
                 plan[c].append((k1, k2, rk - k1))
                 targets.setdefault(c, set()).update((k1, k2))
         if not targets:
-            return {c: [] for c in probs}
+            return {c: [] for c in probs}, moments
         bin_expr, tgt_expr = None, None
         for c, (n, cuts) in info.items():
             if c not in targets:
@@ -99,7 +120,7 @@ def exact_quantiles(df: DataFrame, probs: dict, vector_cols=(), bins: int = 64)
         out = {}
         for c, qs in probs.items():
             out[c] = [at[(c, k1)] + f * (at[(c, k2)] - at[(c, k1)]) for k1, k2, f in plan.get(c, [])]
-        return out
+        return out, moments
     finally:
         vc.unpersist()
 
@@ -121,29 +142,45 @@ def approx_quantiles(df: DataFrame, probs: dict, vector_cols=(), accuracy: int =
 
 def fit_boundaries(df: DataFrame, auto: dict, vector_cols=(), method: str = "exact") -> dict:
     """A1: ``auto`` = {column: n buckets} → {column: boundaries}."""
-    probs = {c: [rk / 100.0 for rk in boundary_ranks(n)] for c, n in auto.items() if n > 1}
-    q = (exact_quantiles if method == "exact" else approx_quantiles)(df, probs, vector_cols)
-    return {c: keep_increasing(v) for c, v in q.items()}
+    return _fit_pass(df, auto, [], tuple(vector_cols), method)[0]
 
 
 def norm_stats(df: DataFrame, cols, vector_cols=(), method: str = "exact") -> dict:
-    """A3: p1 as min, p99 as max, mean, population std — one aggregate for
-    the moments plus the quantile selection."""
-    probs = {c: [0.01, 0.99] for c in cols}
-    q = (exact_quantiles if method == "exact" else approx_quantiles)(df, probs, vector_cols)
-    scalar = [c for c in cols if c not in vector_cols]
-    mom = {}
-    if scalar:
-        # mean from an exact decimal sum: no drift over billions of rows and
-        # no dependence on summation order
-        row = df.agg(*[F.avg(F.col(c).cast(MEAN_DECIMAL)).cast("double").alias(f"m_{c}") for c in scalar],
-                     *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in scalar]).first()
-        mom = {c: (row[f"m_{c}"], row[f"s_{c}"]) for c in scalar}
-    for c in vector_cols:
-        if c in cols:
-            row = df.select(F.explode(c).alias("x")).agg(F.avg("x").alias("m"), F.stddev_pop("x").alias("s")).first()
+    """A3: p1 as min, p99 as max, mean, population std."""
+    return _fit_pass(df, {}, list(cols), tuple(vector_cols), method)[1]
+
+
+def _fit_pass(df: DataFrame, auto: dict, norm_cols, vector_cols=(), method: str = "exact"):
+    """Boundaries for ``auto`` = {column: n} and stats for ``norm_cols`` from
+    ONE pass over the data (exact) or one aggregate (approximate)."""
+    probs: dict = {}
+    for c, n in auto.items():
+        if n > 1:
+            probs.setdefault(c, [])
+            probs[c] += [rk / 100.0 for rk in boundary_ranks(n)]
+    for c in norm_cols:
+        probs.setdefault(c, [])
+        probs[c] += [0.01, 0.99]
+    if method == "exact":
+        q, mom = quantiles_and_moments(df, probs, vector_cols)
+    else:
+        q = approx_quantiles(df, probs, vector_cols)
+        mom = {}
+        for c in norm_cols:
+            src = df.select(F.explode(c).alias("x")) if c in vector_cols else df.select(F.col(c).alias("x"))
+            row = src.agg(F.avg(F.col("x").cast(MEAN_DECIMAL)).cast("double").alias("m"),
+                          F.stddev_pop("x").alias("s")).first()
             mom[c] = (row.m, row.s)
-    return {c: {"min": q[c][0], "max": q[c][1], "mean": mom[c][0], "std": mom[c][1]} for c in cols}
+    bnd = {}
+    for c, n in auto.items():
+        if n > 1:
+            k = len(boundary_ranks(n))
+            bnd[c] = keep_increasing(q[c][:k])
+    st = {}
+    for c in norm_cols:
+        lo, hi = q[c][-2], q[c][-1]
+        st[c] = {"min": lo, "max": hi, "mean": mom[c][0], "std": mom[c][1]}
+    return bnd, st
 
 
 def fit_all_features(df: DataFrame, spec: FeatureSpec, method: str = "exact", label_cols=("label",)):
@@ -160,9 +197,8 @@ def fit_all_features(df: DataFrame, spec: FeatureSpec, method: str = "exact", la
             if f.shape > 1:
                 vec.add(f.source)
     norm = [f for f in spec if "norm" in f.group and f.ftype == "numeric" and f.name not in label_cols]
-    bnd = fit_boundaries(df, auto, tuple(vec), method) if auto else {}
-    st = norm_stats(df, sorted({f.source for f in norm}),
-                    tuple(f.source for f in norm if f.shape > 1), method) if norm else {}
+    vec |= {f.source for f in norm if f.shape > 1}
+    bnd, st = _fit_pass(df, auto, sorted({f.source for f in norm}), tuple(vec), method)
     by_name_b = {n: bnd[s] for s, names in src.items() if s in bnd for n in names}
     by_name_s = {f.name: st[f.source] for f in norm}
     fitted = spec.with_fitted(by_name_b, by_name_s)

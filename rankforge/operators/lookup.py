@@ -43,7 +43,8 @@ def id_fields(spec: FeatureSpec, names=None) -> list:
     return out
 
 
-def param_table(spark: SparkSession, fields, dim: int = 0, with_bias: bool = True) -> DataFrame:
+def param_table(spark: SparkSession, fields, dim: int = 0, with_bias: bool = True,
+                with_w: bool = False) -> DataFrame:
     """Parameter table over the whole id space of ``fields`` ((name, fid, n, …)).
 
     One ``spark.range`` over the summed id space, split across tasks; the
@@ -68,7 +69,10 @@ def param_table(spark: SparkSession, fields, dim: int = 0, with_bias: bool = Tru
                  (F.col("id") - base_expr).cast("bigint").alias("bucket"))
     if dim == 0:
         return t.withColumn("w", init_value(F.col("fid"), F.col("bucket")))
-    return t.withColumn("vec", F.array(*[init_value(F.col("fid"), F.col("bucket"), d) for d in range(dim)]))
+    t = t.withColumn("vec", F.array(*[init_value(F.col("fid"), F.col("bucket"), d) for d in range(dim)]))
+    if with_w:  # linear weight and vector in one table (one gather per field)
+        t = t.withColumn("w", init_value(F.col("fid"), F.col("bucket")))
+    return t
 
 
 def table_rows(fields, with_bias: bool = True) -> int:
@@ -87,16 +91,58 @@ def fits_broadcast(fields, dim: int = 0, limit: int = BROADCAST_LIMIT_BYTES) ->
     return all(f[2] * row_bytes <= limit for f in fields) and not any(f[3] for f in fields)
 
 
-def gather_columns(df: DataFrame, fields, table: DataFrame, value_col: str, prefix: str) -> DataFrame:
+def gather_fold(df: DataFrame, fields, table: DataFrame, values, init: dict, fold) -> DataFrame:
+    """Wide-form gather that folds each field's gathered values into running
+    accumulators right after its broadcast join, then drops them: rows stay
+    narrow through the join chain and every projection stays small (one big
+    fused expression over dozens of gathered columns compiles into code the
+    JIT will not optimise). ``values`` = [(table column expr, name)];
+    ``init`` = {acc: Column}; ``fold(acc_cols, gathered) -> {acc: Column}``."""
+    out = df.select("*", *[c.alias(a) for a, c in init.items()])
+    accs = list(init)
+    for name, fid, _n, _is_list in fields:
+        tag = f"_g_{name}"
+        t = table.where(F.col("fid") == F.lit(fid)).select(
+            F.col("bucket").alias(f"{tag}_b"), *[v.alias(f"{tag}_{k}") for v, k in values])
+        j = out.join(F.broadcast(t), F.col(name) == F.col(f"{tag}_b"), "left")
+        got = {k: F.coalesce(F.col(f"{tag}_{k}"), F.lit(0.0)) for _, k in values}
+        new = fold({a: F.col(a) for a in accs}, got)
+        keep = [c for c in out.columns if c not in accs and c != name]
+        out = j.select(*keep, *[new[a].alias(a) for a in accs])
+    return out
+
+
+def gather_pair(df: DataFrame, fields, w_table: DataFrame, vec_table: DataFrame, dim: int,
+                w_prefix: str = "_w_", v_prefix: str = "_v_") -> DataFrame:
+    """Linear weight and vector of each field in ONE broadcast join per field
+    (the two tables share (fid, bucket) keys)."""
+    both = (vec_table if "w" in vec_table.columns else
+            vec_table.select("fid", "bucket", "vec").join(w_table.select("fid", "bucket", "w"), ["fid", "bucket"], "full"))
+    out = df
+    for name, fid, _n, _is_list in fields:
+        t = both.where(F.col("fid") == F.lit(fid)).select(
+            F.col("bucket").alias(f"_b_{name}"), F.col("w").alias(f"{w_prefix}{name}"),
+            *[F.col("vec").getItem(d).alias(f"{v_prefix}{name}_{d}") for d in range(dim)])
+        out = out.join(F.broadcast(t), F.col(name) == F.col(f"_b_{name}"), "left").drop(f"_b_{name}")
+    return out
+
+
+def gather_columns(df: DataFrame, fields, table: DataFrame, value_col: str, prefix: str,
+                   dim: int | None = None) -> DataFrame:
     """Wide-form gather: for each scalar id field, a broadcast hash join with
     that field's slice of the table adds ``<prefix><field>`` (null when the
     id is unknown/negative). All joins are map-side in one stage: no explode,
     no shuffle. Only for tables whose size bound was checked
-    (``fits_broadcast``)."""
+    (``fits_broadcast``). With ``dim`` the vector is carried as ``dim``
+    fixed-width columns ``<prefix><field>_<d>`` (cheaper to move through a
+    chain of joins than array values)."""
     out = df
     for name, fid, _n, _is_list in fields:
-        t = table.where(F.col("fid") == F.lit(fid)).select(
-            F.col("bucket").alias(f"_b_{name}"), F.col(value_col).alias(f"{prefix}{name}"))
+        if dim is None:
+            vals = [F.col(value_col).alias(f"{prefix}{name}")]
+        else:
+            vals = [F.col(value_col).getItem(d).alias(f"{prefix}{name}_{d}") for d in range(dim)]
+        t = table.where(F.col("fid") == F.lit(fid)).select(F.col("bucket").alias(f"_b_{name}"), *vals)
         out = out.join(F.broadcast(t), F.col(name) == F.col(f"_b_{name}"), "left").drop(f"_b_{name}")
     return out
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankforge.functions.features import compile_features
-from rankforge.operators.lookup import (ROW_ID, fits_broadcast, gather_columns, id_fields, long_ids,
+from rankforge.operators.lookup import (ROW_ID, fits_broadcast, gather_columns, gather_pair, id_fields, long_ids,
                                         maybe_broadcast, param_table, with_row_id)
 from rankforge.operators.metrics import sigmoid
 from rankforge.spec import FeatureSpec
@@ -107,7 +107,7 @@ def sparse_inputs(samples: DataFrame, spec: FeatureSpec, dim: int, lin_fields=()
     tables = cat + [(c, fid, 1, False) for c, fid in num]
     if shared:
         tables += [(f"shared_{t}", t, n, False) for t, n in set(shared.values())]
-    vec_t = param_table(spark, tables, dim=dim, with_bias=False)
+    vec_t = param_table(spark, tables, dim=dim, with_bias=False, with_w=True)
     w_t = param_table(spark, cat + [(c, fid, 1, False) for c, fid in num], with_bias=False)
     if fits_broadcast(tables, dim):
         return _sparse_inputs_wide(feats, cat, num, dim, lin_fields, emb_fields, shared or {}, vec_t, w_t,
@@ -142,10 +142,16 @@ def _sparse_inputs_wide(feats, cat, num, dim, lin_fields, emb_fields, shared, ve
     lin_cat = [f for f in cat if f[0] in set(lin_fields)]
     emb_cat = [(f[0], shared[f[0]][0] if f[0] in shared else f[1], f[2], False)
                for f in cat if f[0] in set(emb_fields)]
-    if lin_cat:
-        g = gather_columns(g, lin_cat, w_t, "w", "_w_")
-    if emb_cat:
-        g = gather_columns(g, emb_cat, vec_t, "vec", "_v_")
+    lin_names = {f[0] for f in lin_cat}
+    # fields needing both a weight and a vector from the same table: one join
+    both = [f for f in emb_cat if f[0] in lin_names and f[0] not in shared]
+    both_names = {f[0] for f in both}
+    if both:
+        g = gather_pair(g, both, w_t, vec_t, dim)
+    if [f for f in lin_cat if f[0] not in both_names]:
+        g = gather_columns(g, [f for f in lin_cat if f[0] not in both_names], w_t, "w", "_w_")
+    if [f for f in emb_cat if f[0] not in both_names]:
+        g = gather_columns(g, [f for f in emb_cat if f[0] not in both_names], vec_t, "vec", "_v_", dim=dim)
     cols = [F.col(id_col), *[F.col(k) for k in keep]]
     for f in lin_fields:
         cols.append(F.coalesce(F.col(f"_w_{f}"), F.lit(0.0)).alias(f"lin_{f}"))
@@ -161,7 +167,7 @@ def _sparse_inputs_wide(feats, cat, num, dim, lin_fields, emb_fields, shared, ve
         cols.append((F.col(c).cast("double") * F.lit(float(consts[fid][1]))).alias(f"lin_{c}"))
     for f in emb_fields:
         for d in range(dim):
-            cols.append(F.coalesce(F.col(f"_v_{f}").getItem(d), F.lit(0.0)).alias(f"e_{f}_{d}"))
+            cols.append(F.coalesce(F.col(f"_v_{f}_{d}"), F.lit(0.0)).alias(f"e_{f}_{d}"))
     for c, fid in num:
         for d in range(dim):
             cols.append((F.col(c).cast("double") * F.lit(float(consts[fid][0][d]))).alias(f"e_{c}_{d}"))

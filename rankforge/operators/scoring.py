@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankforge.functions.features import compile_features
-from rankforge.operators.lookup import (BIAS_FID, ROW_ID, embed_lookup, with_row_id, fits_broadcast, gather_columns, id_fields,
+from rankforge.operators.lookup import (BIAS_FID, ROW_ID, embed_lookup, gather_fold, with_row_id, fits_broadcast, gather_columns, id_fields,
                                         init_value, linear_lookup, long_ids, maybe_broadcast, param_table,
                                         scalar_param)
 from rankforge.operators.metrics import sigmoid
@@ -36,12 +36,11 @@ def score_lr(samples: DataFrame, spec: FeatureSpec, weights: DataFrame | None =
         weights = param_table(samples.sparkSession, fields)
     feats = compile_features(samples, spec, keep=[id_col, *keep])
     if fits_broadcast(fields):
-        # bounded tables: map-side gathers, the logit is a per-row sum
-        g = gather_columns(feats, fields, weights, "w", "_w_")
+        # bounded tables: map-side gathers folded into a running logit
         bias = scalar_param(weights, BIAS_FID) or 0.0
-        z = sum((F.coalesce(F.col(f"_w_{f[0]}"), F.lit(0.0)) for f in fields[1:]),
-                F.coalesce(F.col(f"_w_{fields[0][0]}"), F.lit(0.0))) + F.lit(float(bias))
-        s = g.select(id_col, *keep, z.alias("logit"))
+        g = gather_fold(feats, fields, weights, [(F.col("w"), "w")], {"logit": F.lit(float(bias))},
+                        lambda acc, got: {"logit": acc["logit"] + got["w"]})
+        s = g.select(id_col, *keep, "logit")
     else:
         ids = long_ids(with_row_id(feats), fields, ROW_ID, keep=(id_col, *keep), with_bias=True)
         s = linear_lookup(ids, maybe_broadcast(weights, fields), ROW_ID, (id_col, *keep)).drop(ROW_ID)
@@ -80,6 +79,36 @@ def score_fm(samples: DataFrame, spec: FeatureSpec, dim: int = 4, numeric=(), id
     otherwise); the identity is per-row arithmetic, no pairwise expansion."""
     from rankforge.operators.models import sparse_inputs
     cats = [f.name for f in spec.categorical()]
+    fields = id_fields(spec)
+    base = len(spec.features)
+    num = [(c, base + i) for i, c in enumerate(numeric)]
+    tables = fields + [(c, fid, 1, False) for c, fid in num]
+    if fits_broadcast(tables, dim):
+        spark = samples.sparkSession
+        both = param_table(spark, tables, dim=dim, with_bias=False, with_w=True)
+        feats = compile_features(samples, spec, keep=[id_col, *keep, *numeric])
+        init = {"_lin": F.lit(0.0), "_q": F.lit(0.0), **{f"_s{d}": F.lit(0.0) for d in range(dim)}}
+
+        def fold(acc, got):
+            out = {"_lin": acc["_lin"] + got["w"],
+                   "_q": acc["_q"] + sum((got[f"v{d}"] * got[f"v{d}"] for d in range(1, dim)), got["v0"] * got["v0"])}
+            out.update({f"_s{d}": acc[f"_s{d}"] + got[f"v{d}"] for d in range(dim)})
+            return out
+        vals = [(F.col("w"), "w")] + [(F.col("vec").getItem(d), f"v{d}") for d in range(dim)]
+        g = gather_fold(feats, fields, both, vals, init, fold)
+        # numeric fields: x·w and x·v with their single parameter row (bounded)
+        for c, fid in num:
+            prow = both.where(F.col("fid") == F.lit(fid)).first()
+            x = F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+            xv = [x * F.lit(float(prow.vec[d])) for d in range(dim)]
+            g = g.select(*[k for k in g.columns if not k.startswith("_") or k == id_col],
+                         (F.col("_lin") + x * F.lit(float(prow.w))).alias("_lin"),
+                         (F.col("_q") + sum((v * v for v in xv[1:]), xv[0] * xv[0])).alias("_q"),
+                         *[(F.col(f"_s{d}") + xv[d]).alias(f"_s{d}") for d in range(dim)])
+        sq = sum((F.col(f"_s{d}") * F.col(f"_s{d}") for d in range(1, dim)), F.col("_s0") * F.col("_s0"))
+        t = g.select(id_col, *keep, F.col("_lin").alias("linear"), (F.lit(0.5) * (sq - F.col("_q"))).alias("pair"))
+        logit = F.col("linear") + F.col("pair") + F.lit(bias)
+        return t.withColumn("logit", logit).withColumn("p", sigmoid(logit))
     sp = sparse_inputs(samples, spec, dim, cats, cats, numeric, id_col=id_col, keep=keep)
     fields = cats + list(numeric)
     linear = sum((F.col(f"lin_{f}") for f in fields[1:]), F.col(f"lin_{fields[0]}"))

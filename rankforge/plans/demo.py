@@ -113,10 +113,12 @@ def samples_li(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                                   "l_quantity", "l_extendedprice", "l_discount", "l_tax",
                                                   "l_returnflag", "l_shipdate"])
-    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
-    c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_acctbal", "c_mktsegment", "c_nationkey"])
-    s = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_acctbal", "s_nationkey"])
-    p = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand", "p_type", "p_size", "p_retailprice"])
+    # only the streamed (fact) side is spread over cores; dimension sides are
+    # either broadcast (small) or already split into many partitions (large)
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"], spread=False)
+    c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_acctbal", "c_mktsegment", "c_nationkey"], spread=False)
+    s = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_acctbal", "s_nationkey"], spread=False)
+    p = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand", "p_type", "p_size", "p_retailprice"], spread=False)
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
          .join(c, F.col("o_custkey") == c.c_custkey)
          .join(s, F.col("l_suppkey") == s.s_suppkey)
