@@ -218,7 +218,8 @@ def feature_column(f: Feature, compiled: dict) -> Column:
     raise ValueError(f"{f.ftype} is a lookup, not a column: use rankforge.operators.lookup")
 
 
-def compile_features(df: DataFrame, spec: FeatureSpec, keep=(), list_crosses: dict | None = None) -> DataFrame:
+def compile_features(df: DataFrame, spec: FeatureSpec, keep=(), list_crosses: dict | None = None,
+                     include=()) -> DataFrame:
     """Every column-type feature of the spec plus the ``keep`` pass-through
     columns. Two projections: base features first, then crosses and
     indicators over the *materialised* base columns, so each hash is
@@ -230,9 +231,13 @@ def compile_features(df: DataFrame, spec: FeatureSpec, keep=(), list_crosses: di
             continue
         (derived if f.ftype in ("cross", "indicator") else base).append(f)
     base_names = {f.name for f in base}
+    include = set(include)
     # helper columns referenced by crosses are kept through the first step
-    needed = {k for f in derived for k in (f.keys + f.cat_col) if k in base_names}
+    needed = {k for f in derived for k in (f.keys + f.cat_col) if k in base_names} | include
     first = [F.col(k) for k in keep]
+    if not derived:
+        first += [feature_column(f, {}).alias(f.name) for f in base if f.is_out or f.name in include]
+        return df.select(*first)
     raw_refs = sorted({k for f in derived for k in (f.keys + f.cat_col)
                        if k not in base_names and k not in keep})
     first += [F.col(k) for k in raw_refs]
@@ -243,14 +248,14 @@ def compile_features(df: DataFrame, spec: FeatureSpec, keep=(), list_crosses: di
     if not derived:
         return step1
     cols = {f.name: F.col(f.name) for f in base}
-    out = [F.col(k) for k in keep] + [F.col(f.name) for f in base if f.is_out]
+    out = [F.col(k) for k in keep] + [F.col(f.name) for f in base if f.is_out or f.name in include]
     for f in derived:
         if f.ftype == "cross" and list_crosses and f.name in list_crosses:
             col = cross_list([cols.get(k, F.col(k)) for k in f.keys], f.num_buckets)
         else:
             col = feature_column(f, cols)
         cols[f.name] = F.col(f.name)
-        if f.is_out:
+        if f.is_out or f.name in include:
             out.append(col.alias(f.name))
     return step1.select(*out)
 

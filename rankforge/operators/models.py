@@ -315,3 +315,64 @@ def dot(a: Column, b: Column) -> Column:
 
 def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+
+
+# ---------------------------------------------------------------- F13 / F14 / F16 from the spec
+def spec_embeddings(samples: DataFrame, spec: FeatureSpec, tables: dict | None = None,
+                    id_col: str = "sample_id", keep=()) -> DataFrame:
+    """Compile the spec's ``embedding`` and ``shared_embedding`` sections.
+
+    Each section owns one table keyed by the section's fid (a shared section
+    is read by all its ``cat_col`` inputs). Scalar inputs are gathered with a
+    size-checked broadcast; list inputs are exploded, joined and combined per
+    row (``combiner`` sum / mean / sqrtn). A section emits one array column;
+    a shared section with several inputs emits their concatenation in
+    ``cat_col`` order. ``tables`` = {section: (fid, bucket, vec) DataFrame};
+    missing tables use the deterministic initialisation."""
+    from rankforge.operators.lookup import embed_bag, gather_columns
+    idx = spec.field_index()
+    sections = [f for f in spec if f.ftype in ("embedding", "shared_embedding")]
+    inputs = sorted({c for f in sections for c in f.cat_col})
+    feats = with_row_id(compile_features(samples, spec, keep=[id_col, *keep], include=inputs))
+    out = feats
+    spark = samples.sparkSession
+    for sec in sections:
+        fid = idx[sec.name]
+        n = max(spec[c].n_ids() for c in sec.cat_col)
+        dim = sec.dimension
+        table = (tables or {}).get(sec.name)
+        if table is None:
+            table = param_table(spark, [(sec.name, fid, n, False)], dim=dim, with_bias=False)
+        parts = []
+        for c in sec.cat_col:
+            col = f"_emb_{sec.name}_{c}"
+            if spec[c].is_list or not fits_broadcast([(c, fid, n, False)], dim):
+                ids = long_ids(out.select(ROW_ID, c), [(c, fid, n, spec[c].is_list)], ROW_ID)
+                bag = embed_bag(ids, maybe_broadcast(table, [(c, fid, n, False)], dim), dim, sec.combiner,
+                                group_cols=(ROW_ID,)).select(ROW_ID, F.col("vec").alias(col))
+                out = out.join(bag, ROW_ID, "left")
+            else:
+                out = gather_columns(out, [(c, fid, n, False)], table, "vec", f"_emb_{sec.name}_", dim=dim)
+                out = out.withColumn(col, F.array(*[F.coalesce(F.col(f"{col}_{d}"), F.lit(0.0))
+                                                    for d in range(dim)])).drop(
+                    *[f"{col}_{d}" for d in range(dim)])
+            out = out.withColumn(col, F.coalesce(F.col(col), F.array_repeat(F.lit(0.0), dim)))
+            parts.append(col)
+        out = out.withColumn(sec.name, F.concat(*[F.col(p) for p in parts]) if len(parts) > 1 else F.col(parts[0]))
+        out = out.drop(*parts)
+    return out.drop(ROW_ID, *[c for c in inputs if not spec[c].is_out])
+
+
+def spec_input_layer(df: DataFrame, spec: FeatureSpec, role: str, out: str = "input") -> tuple:
+    """F16 from the spec: the role's emitted numeric features and embedding
+    sections concatenated in name order; returns (DataFrame, width)."""
+    cols, width = {}, 0
+    for f in spec.role(role):
+        if f.ftype == "numeric":
+            cols[f.name] = (F.col(f.name), f.shape > 1)
+            width += max(f.shape, 1)
+        elif f.ftype in ("embedding", "shared_embedding"):
+            cols[f.name] = (F.col(f.name), True)
+            width += f.dimension * (len(f.cat_col) if f.ftype == "shared_embedding" else 1)
+    from rankforge.functions.features import input_layer
+    return df.withColumn(out, input_layer(cols)), width
