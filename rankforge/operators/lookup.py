@@ -84,11 +84,16 @@ def maybe_broadcast(table: DataFrame, fields, dim: int = 0, limit: int = BROADCA
     return bounded_broadcast(table, table_rows(fields), row_bytes, limit)
 
 
-def fits_broadcast(fields, dim: int = 0, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
+def fits_broadcast(fields, dim: int = 0, limit: int = BROADCAST_LIMIT_BYTES,
+                   total_limit: int = 4 * BROADCAST_LIMIT_BYTES) -> bool:
     """True when every field's slice of the table (n_ids rows, known from the
-    spec) fits under the broadcast limit — then gathers are map-side."""
+    spec) fits under the broadcast limit AND all slices together fit under
+    ``total_limit`` (executors hold every slice at once) — then gathers are
+    map-side. List-valued fields always take the long path."""
     row_bytes = 48 + 8 * max(dim, 1)
-    return all(f[2] * row_bytes <= limit for f in fields) and not any(f[3] for f in fields)
+    sizes = [f[2] * row_bytes for f in fields]
+    return (all(s <= limit for s in sizes) and sum(sizes) <= total_limit
+            and not any(f[3] for f in fields))
 
 
 def gather_fold(df: DataFrame, fields, table: DataFrame, values, init: dict, fold) -> DataFrame:
