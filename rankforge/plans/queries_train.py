@@ -264,7 +264,10 @@ def q_train_eval_loop(spark, sf):
     report keyed by (epoch, group)."""
     sp = SC.shard_groups(_sp(spark, sf).select("sample_id", _x().alias("x"), "y_ctr", "wt"),
                          key="sample_id", n_shards=4, divisor=2)
-    sp = SC.split_train_test(sp, "sample_id", 0.2, seed=9).persist()
+    # epochs × groups passes over the same assembled features: cut the lineage
+    # once with a reliable checkpoint in the cluster's checkpoint folder
+    from rankforge.session import cut_lineage
+    sp = cut_lineage(SC.split_train_test(sp, "sample_id", 0.2, seed=9))
     rows = []
     try:
         dev = sp.where("split = 'test'")
@@ -276,7 +279,7 @@ def q_train_eval_loop(spark, sf):
                 auc = M.auc_exact(s, "y_ctr", "p", "wt").first()["auc"]
                 rows.append((epoch, grp, float(hist[-1][1]), float(auc) if auc is not None else None))
     finally:
-        sp.unpersist()
+        pass
     return spark.createDataFrame(rows, "epoch long, shard_group long, train_loss double, dev_auc double")
 
 
