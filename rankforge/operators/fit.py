@@ -60,6 +60,8 @@ def quantiles_and_moments(df: DataFrame, probs: dict, vector_cols=(), bins: int
     """One pass over ``df``: exact quantiles for every column in ``probs`` and
     (mean, population std) per column, both from the distributed
     (feature, value) → count table (moments from exact decimal sums)."""
+    from rankforge.session import ensure_defaults
+    ensure_defaults(df.sparkSession)
     scalar = [c for c in probs if c not in vector_cols]
     vc = _long_values(df, scalar, [c for c in vector_cols if c in probs]) \
         .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt"))

@@ -35,9 +35,14 @@ def build_session(master: str = "local[8]", app: str = "rankforge", shuffle_part
 
 
 def ensure_defaults(spark: SparkSession) -> None:
-    """Pin the settings results depend on (UTC dates). Idempotent."""
+    """Pin the settings results depend on (UTC dates) and let AQE coalesce
+    the partitions of cached intermediate tables (fitting persists a
+    (feature, value) table that is re-read by several small jobs). Idempotent."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    key = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+    if spark.conf.get(key, "false") != "true":
+        spark.conf.set(key, "true")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
