@@ -121,7 +121,7 @@ def _bags(spark, sf, combiner):
     ids = long_ids(s, fields, id_col="uid")
     table = maybe_broadcast(param_table(spark, fields, dim=D, with_bias=False), fields, D)
     bag = embed_bag(ids, table, D, combiner, group_cols=("uid",), snap_digits=9)
-    cu = read_table(spark, sf, "customer", ["c_custkey"])
+    cu = read_table(spark, sf, "customer", ["c_custkey"], spread=False)
     j = cu.join(bag, cu.c_custkey == bag.uid, "left")
     vec = F.coalesce(F.col("vec"), F.array_repeat(F.lit(0.0), D))
     return j.select(F.col("c_custkey").alias("uid"), F.lit(combiner).alias("combiner"),
