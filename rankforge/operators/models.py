@@ -23,7 +23,6 @@ from pyspark.sql import types as T
 from rankforge.functions.features import compile_features
 from rankforge.operators.lookup import (ROW_ID, fits_broadcast, gather_columns, gather_pair, id_fields, long_ids,
                                         maybe_broadcast, param_table, with_row_id)
-from rankforge.operators.metrics import sigmoid
 from rankforge.spec import FeatureSpec
 
 # Dense heads run inside Python workers: ship this module's functions by

@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankforge.functions.features import compile_features
-from rankforge.operators.lookup import (BIAS_FID, ROW_ID, embed_lookup, gather_fold, with_row_id, fits_broadcast, gather_columns, id_fields,
-                                        init_value, linear_lookup, long_ids, maybe_broadcast, param_table,
-                                        scalar_param)
+from rankforge.operators.lookup import (BIAS_FID, ROW_ID, fits_broadcast, gather_fold, id_fields, linear_lookup,
+                                        long_ids, maybe_broadcast, param_table, scalar_param, with_row_id)
 from rankforge.operators.metrics import sigmoid
 from rankforge.spec import FeatureSpec
 
@@ -50,26 +49,6 @@ def score_lr(samples: DataFrame, spec: FeatureSpec, weights: DataFrame | None =
 
 
 # ---------------------------------------------------------------- M2 / M3 factorization machine
-def fm_terms(ids: DataFrame, vectors: DataFrame, weights: DataFrame, dim: int, id_col: str = "sample_id",
-             keep=()) -> DataFrame:
-    """Per sample: linear Σ x·w and the FM pair term ½Σ_d((Σ x·v_d)² − Σ (x·v_d)²).
-    Linear weights and vectors are gathered in one join (the tables share
-    keys); per-dimension sums are aggregates, so the identity costs one
-    shuffle and no pairwise expansion."""
-    table = vectors.select("fid", "bucket", "vec").join(weights.select("fid", "bucket", "w"),
-                                                         ["fid", "bucket"], "full")
-    j = ids.join(table, ["fid", "bucket"], "left")
-    x = F.col("value")
-    v = [F.coalesce(F.col("vec").getItem(d), F.lit(0.0)) * x for d in range(dim)]
-    aggs = [F.sum(F.coalesce(F.col("w"), F.lit(0.0)) * x).alias("linear")]
-    aggs += [F.sum(v[d]).alias(f"_s{d}") for d in range(dim)]
-    aggs.append(F.sum(sum((v[d] * v[d] for d in range(1, dim)), v[0] * v[0])).alias("_q"))
-    aggs += [F.any_value(k).alias(k) for k in keep]
-    g = j.groupBy(id_col).agg(*aggs)
-    sq = sum((F.col(f"_s{d}") * F.col(f"_s{d}") for d in range(1, dim)), F.col("_s0") * F.col("_s0"))
-    return g.select(id_col, *keep, "linear", (F.lit(0.5) * (sq - F.col("_q"))).alias("pair"))
-
-
 def score_fm(samples: DataFrame, spec: FeatureSpec, dim: int = 4, numeric=(), id_col: str = "sample_id",
              keep=(), bias: float = 0.0) -> DataFrame:
     """M2/M3: FM over the spec's categorical ids plus ``numeric`` value fields

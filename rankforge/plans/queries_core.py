@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rankforge.operators.metrics import auc_exact, weighted_logloss
+from rankforge.operators.metrics import auc_exact
 from rankforge.operators.scoring import score_lr
 from rankforge.plans import sqlgen as Q
-from rankforge.plans.catalog import pyround, query, rnd, with_ctes
+from rankforge.plans.catalog import query, rnd, with_ctes
 from rankforge.plans.demo import SAMPLES_LI_SQL, li_spec, samples_li
 
 R = 6  # decimals kept in floating outputs (summation order differs between engines)
@@ -26,11 +26,18 @@ def li_feats_sql(keep=("sample_id", "ds", "y_ctr", "y_ctcvr", "wt", "uid", "toui
     return [SAMPLES_LI_SQL] + Q.feature_ctes(li_spec(), "samples_li", keep)
 
 
-LR_SCORED_SQL = li_feats_sql() + [
-    Q.long_ids_cte(li_spec(), "feats", keep=("ds", "y_ctr", "wt"), with_bias=True),
-    f"""scored AS (SELECT rid, any_value(sample_id) AS sample_id, any_value(ds) AS ds, any_value(y_ctr) AS y_ctr,
-        any_value(wt) AS wt, round(sum(value * {Q.init_value('fid', 'bucket')}), 9) AS logit FROM ids GROUP BY rid)""",
-    f"scored_p AS (SELECT *, {Q.sigmoid('logit')} AS p FROM scored)"]
+def lr_scored_sql(labels=("y_ctr",)):
+    """CTEs ending in ``scored_p`` (rid, sample_id, ds, labels..., wt, logit, p)."""
+    keep = ("ds", *labels, "wt")
+    carried = ", ".join(f"any_value({k}) AS {k}" for k in keep)
+    return li_feats_sql() + [
+        Q.long_ids_cte(li_spec(), "feats", keep=keep, with_bias=True),
+        f"""scored AS (SELECT rid, any_value(sample_id) AS sample_id, {carried},
+        round(sum(value * {Q.init_value('fid', 'bucket')}), 9) AS logit FROM ids GROUP BY rid)""",
+        f"scored_p AS (SELECT *, {Q.sigmoid('logit')} AS p FROM scored)"]
+
+
+LR_SCORED_SQL = lr_scored_sql()
 
 
 @query("wide_eval_by_day", headline=True, sql=with_ctes(*LR_SCORED_SQL,

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rankforge.operators import metrics as M
-from rankforge.plans.catalog import pyround, query, rnd, with_ctes
-from rankforge.plans.queries_core import LR_SCORED_SQL, _li_scored, r
+from rankforge.plans.catalog import query, with_ctes
+from rankforge.plans.queries_core import LR_SCORED_SQL, _li_scored, lr_scored_sql, r
 from rankforge.operators.metrics import thresholds
 
 
@@ -65,10 +65,6 @@ def q_pr_auc(spark, sf):
     return M.auc_200(s, "y_ctr", "p", "wt", curve="PR", method="careful_interpolation").select(r(F.col("auc"), "auc"))
 
 
-SC_TYPE = SC[:1] + [SC[1].replace('feats_1 AS (SELECT sample_id, ds, y_ctr, y_ctcvr, wt, uid, touid,',
-                                  'feats_1 AS (SELECT sample_id, ds, y_ctr, y_ctcvr, wt, uid, touid, z_type,')] + SC[2:]
-
-
 def _auc_sql(group: str, src: str, y: str = "y_ctr", p: str = "p", w: str = "wt") -> str:
     return f"""agg AS (SELECT {group}, {p} AS s, sum({w} * {y}) AS pos, sum({w} * (1 - {y})) AS neg FROM {src} GROUP BY {group}, {p}),
     cum AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY {group} ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM agg)"""
@@ -86,24 +82,12 @@ def q_auc_exact(spark, sf):
     return M.auc_exact(s, "y_ctr", "p", "wt").select(r(F.col("auc"), "auc"))
 
 
-def _per_task_sql():
-    src = """u AS (SELECT 'ctr' AS task, y_ctr AS y, p, wt FROM scored_p
+_PT_SRC = """u AS (SELECT 'ctr' AS task, y_ctr AS y, p, wt FROM scored_p
              UNION ALL SELECT 'ctcvr', y_ctcvr, p, wt FROM scored_p
              UNION ALL SELECT 'cvr', y_ctcvr, p, wt FROM scored_p WHERE y_ctr = 1)"""
-    sc = [x.replace("any_value(y_ctr) AS y_ctr,", "any_value(y_ctr) AS y_ctr, any_value(y_ctcvr) AS y_ctcvr,")
-          for x in SC]
-    sc[-2] = sc[-2].replace("keep", "keep")
-    return sc, src
-
-
-_PT_SC, _PT_SRC = _per_task_sql()
-_PT_SC = [_PT_SC[0], _PT_SC[1], _PT_SC[2],
-          _PT_SC[3].replace("sample_id, ds, y_ctr, wt,", "sample_id, ds, y_ctr, y_ctcvr, wt,").replace(
-              "SELECT sample_id, ds, y_ctr, wt, '", "SELECT sample_id, ds, y_ctr, y_ctcvr, wt, '"),
-          _PT_SC[4], _PT_SC[5]]
 
 
-@query("auc_per_task", sql=with_ctes(*_PT_SC, _PT_SRC, _auc_sql("task", "u", "y", "p", "wt"),
+@query("auc_per_task", sql=with_ctes(*lr_scored_sql(("y_ctr", "y_ctcvr")), _PT_SRC, _auc_sql("task", "u", "y", "p", "wt"),
                                      body=AUC_BODY.format(g="task")))
 def q_auc_per_task(spark, sf):
     """ctr and ctcvr AUC on all rows, cvr AUC on clicked rows only."""
