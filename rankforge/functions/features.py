@@ -73,9 +73,28 @@ def bucketize_vector(c, boundaries, length: int) -> Column:
 
 
 # ---------------------------------------------------------------- hashing
+HASH_CONF = "rankforge.hash"
+
+
+def hash_method() -> str:
+    """``md5`` (default: reproducible by any SQL engine) or ``xxhash64``
+    (about 10x cheaper per row, Spark-only ids), read from the active
+    session's ``rankforge.hash`` setting when the plan is built."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    m = spark.conf.get(HASH_CONF, "md5") if spark is not None else "md5"
+    if m not in ("md5", "xxhash64"):
+        raise ValueError(f"{HASH_CONF} must be md5 or xxhash64, not {m!r}")
+    return m
+
+
 def stable_hash(c) -> Column:
-    """60-bit non-negative integer from the md5 of the value's string form."""
-    return F.conv(F.substring(F.md5(_c(c).cast("string")), 1, 15), 16, 10).cast("bigint")
+    """Non-negative 60-bit integer of the value's string form: the first 15
+    hex digits of its md5, or xxhash64 with the sign bit cleared."""
+    s = _c(c).cast("string")
+    if hash_method() == "xxhash64":
+        return F.xxhash64(s).bitwiseAND(F.lit((1 << 60) - 1))
+    return F.conv(F.substring(F.md5(s), 1, 15), 16, 10).cast("bigint")
 
 
 def hash_bucket(c, n: int) -> Column:

@@ -127,3 +127,16 @@ def test_count_below_tree(spark):
     got = [r[0] for r in df.select(X.count_below("x", bounds), X.count_below("x", bounds, strict=False)).collect()]
     exp = [sum(1 for b in bounds if b < x) for x in xs]
     assert got == exp
+
+
+def test_fast_hash_option(spark):
+    df = spark.createDataFrame([(str(i),) for i in range(200)], "s string")
+    md5_ids = [r[0] for r in df.select(X.hash_bucket("s", 37)).collect()]
+    spark.conf.set(X.HASH_CONF, "xxhash64")
+    try:
+        fast = [r[0] for r in df.select(X.hash_bucket("s", 37)).collect()]
+    finally:
+        spark.conf.unset(X.HASH_CONF)
+    assert all(0 <= v < 37 for v in fast) and fast != md5_ids
+    assert len(set(fast)) > 30                                  # spreads over the buckets
+    assert [r[0] for r in df.select(X.hash_bucket("s", 37)).collect()] == md5_ids
