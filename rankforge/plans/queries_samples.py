@@ -55,7 +55,7 @@ def q_follow_positives(spark, sf):
 @query("watch_time_label", sql=with_ctes(*EV, body="""
 SELECT uid, touid, ds, round(sum(CASE WHEN event_type IN ('view', 'click') THEN watch_time ELSE 0 END), 6) AS watch,
        count(*) AS n_entries,
-       CASE WHEN sum(CASE WHEN event_type IN ('view', 'click') THEN watch_time ELSE 0 END) >= 30 THEN 1.0 ELSE 0.0 END AS label
+       CASE WHEN sum(CASE WHEN event_type IN ('view', 'click') THEN watch_time ELSE 0 END) >= 30 THEN 1.0 ELSE 0.0 END::DOUBLE AS label
 FROM samples_ev GROUP BY uid, touid, ds"""))
 def q_watch_time_label(spark, sf):
     """Watch time of view/click entries per (user, item, day) → label ≥ 30."""

@@ -36,6 +36,10 @@ def _rows(rows, cols):
     return sorted(tuple(_norm(r[i]) for i in idx) for r in rows)
 
 
+# SQL result type → Spark type name
+TYPES = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date", "INTEGER": "int",
+         "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz", "FLOAT": "float"}
+
 SLOW = {"train_gbt", "score_gbt", "train_fm", "train_lr", "train_eval_loop", "gradnorm_weights", "train_deep"}
 
 
@@ -51,6 +55,8 @@ def test_query(spark, con, name):
         return
     rel = con.sql(sql)
     assert sorted(df.columns) == sorted(rel.columns)
+    sql_types = {c: TYPES.get(str(t), str(t).lower()) for c, t in zip(rel.columns, rel.types)}
+    assert dict(df.dtypes) == sql_types
     assert _rows(rows, df.columns) == _rows(rel.fetchall(), rel.columns)
 
 
