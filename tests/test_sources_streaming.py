@@ -56,3 +56,14 @@ def test_daily_ingest_idempotent(spark, sf_small, tmp_path):
     assert sum(r[2] for r in first) == sum(r.n for r in exp)
     again = sorted(tuple(r) for r in read_daily(spark, out).collect())
     assert again == first
+
+
+def test_shard_groups_from_file_names(spark, tmp_path):
+    path = str(tmp_path / "day")
+    spark.range(40).repartition(4).write.parquet(path)          # part-00000 … part-00003
+    df = SC.shard_groups(spark.read.parquet(path), key=None, divisor=2)
+    got = {r.shard: r.shard_group for r in df.select("shard", "shard_group").distinct().collect()}
+    assert got == {0: 0, 1: 0, 2: 1, 3: 1}
+    keyed = SC.shard_groups(spark.range(100).withColumn("k", F.col("id").cast("string")), key="k",
+                            n_shards=10, divisor=5)
+    assert {r.shard_group for r in keyed.select("shard_group").distinct().collect()} <= {0, 1}
