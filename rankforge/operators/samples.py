@@ -69,8 +69,13 @@ def cap_per_key(df: DataFrame, keys, order_cols, cap: int, salt_col: str = "samp
 
 
 # ---------------------------------------------------------------- W3
-def day_number(c) -> Column:
-    return F.datediff(F.col(c) if isinstance(c, str) else c, F.lit("1970-01-01").cast("date"))
+def day_number(c, string_days: bool = False) -> Column:
+    """Days since 1970-01-01 of a date column (or of a ``yyyyMMdd`` string,
+    the day-folder naming, with ``string_days``)."""
+    col = F.col(c) if isinstance(c, str) else c
+    if string_days:
+        col = F.to_date(col, "yyyyMMdd")
+    return F.datediff(col, F.lit("1970-01-01").cast("date"))
 
 
 def trailing_ctr(df: DataFrame, key: str, day: str = "ds", label: str = "y_ctr",
@@ -79,7 +84,8 @@ def trailing_ctr(df: DataFrame, key: str, day: str = "ds", label: str = "y_ctr",
     (day d never contributes to itself); 0 when there were no impressions.
     Daily pre-aggregation first, then range windows over the day number."""
     daily = df.groupBy(key, day).agg(F.sum(F.col(label)).alias("_clk"), F.count(F.lit(1)).alias("_imp"))
-    daily = daily.withColumn("_dn", day_number(day))
+    string_days = dict(df.dtypes).get(day) == "string"
+    daily = daily.withColumn("_dn", day_number(day, string_days))
     out = daily
     for n in windows:
         w = Window.partitionBy(key).orderBy("_dn").rangeBetween(-n, -1)

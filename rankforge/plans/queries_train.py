@@ -163,12 +163,8 @@ FROM sc s JOIN auc ON s.ds = auc.ds GROUP BY s.ds"""))
 def q_walk_forward(spark, sf):
     """Fit on the days before d (item trailing 7-day CTR), test on day d:
     AUC and log-loss per test day."""
-    ev = samples_ev(spark, sf)
-    tr = SM.trailing_ctr(ev, "touid", windows=(7,))
-    sc = ev.join(tr, ["touid", "ds"]).select("ds", "y_ctr", F.col("ctr_7").alias("p"))
-    auc = M.auc_exact(sc, "y_ctr", "p", None, ["ds"])
-    ll = M.weighted_logloss(sc, "y_ctr", "p", None, ["ds"])
-    return ll.join(auc, "ds").select("ds", "n", r(F.col("auc"), "auc"), r(F.col("logloss"), "logloss"))
+    w = TR.walk_forward(samples_ev(spark, sf), "touid", window=7)
+    return w.select("ds", "n", r(F.col("auc"), "auc"), r(F.col("logloss"), "logloss"))
 
 
 @query("score_check", sql=with_ctes(*LR_SCORED_SQL, body="""

@@ -70,3 +70,20 @@ def test_pref_tfidf(spark):
     import math
     assert got[("a", "x")] == pytest.approx(2 / 3 * math.log(2 / 1))
     assert got[("a", "y")] == pytest.approx(0.0)
+
+
+def test_trailing_ctr_string_days(spark):
+    rows = [("u", "20240101", 1.0), ("u", "20240102", 0.0), ("u", "20240103", 1.0)]
+    df = spark.createDataFrame(rows, "uid string, ds string, y_ctr double")
+    got = {r.ds: r.ctr_2 for r in SM.trailing_ctr(df, "uid", windows=(2,)).collect()}
+    assert got == {"20240101": 0.0, "20240102": 1.0, "20240103": 0.5}
+
+
+def test_walk_forward_uses_only_past_days(spark):
+    from rankforge.operators.training import walk_forward
+    rows = [("a", d("2024-01-01"), 1.0), ("b", d("2024-01-01"), 0.0),
+            ("a", d("2024-01-02"), 1.0), ("b", d("2024-01-02"), 0.0)]
+    df = spark.createDataFrame(rows, "k string, ds date, y_ctr double")
+    got = {r.ds: r for r in walk_forward(df, "k", window=7).collect()}
+    assert got[d("2024-01-01")].auc == 0.5          # no history: every score 0 → all ties
+    assert got[d("2024-01-02")].auc == 1.0          # day-1 CTRs rank day 2 perfectly
