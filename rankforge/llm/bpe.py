@@ -35,6 +35,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 _SHIFT = 20  # ranks are below 2^20
 
@@ -181,8 +182,8 @@ def bpe_encode(docs: DataFrame, rank_file: str, pattern: str, with_ids: bool = T
     size is that of a vocabulary, below 2^20 tokens)."""
     with open(rank_file, "rb") as f:
         lines = docs.sparkSession.sparkContext.broadcast(f.read())
-    new = [("n_tokens", "bigint"), ("ids_sha256", "string"), ("decoded_sha256", "string")]
-    new += [("ids", "array<int>")] * with_ids
+    new = [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
+    new += [("ids", T.ArrayType(T.IntegerType()))] * with_ids
     kept = [c for c in docs.columns if c not in dict(new) and (c != "text" or with_ids)]
     schema = docs.select(*kept).schema
     for name, kind in new:
