@@ -125,7 +125,7 @@ def _found(text: Column, no: int, kind: Kind) -> Column:
 
     def spans(b: Column) -> Column:
         lengths = F.transform(b["m"], lambda m, i: F.length(b["gap"][i]) + F.length(m))
-        starts = let(lengths, _offsets)
+        starts = let(lengths, lambda x: _offsets(x))
         return let(starts, lambda at: F.transform(b["m"], lambda m, i: span(m, at[i] + F.length(b["gap"][i]))))
 
     matches = F.struct(F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("m"),

@@ -26,7 +26,7 @@ from rankforge.llm.pii import let
 
 SPACE = r"[\x20\x09-\x0D]+"
 WINDOW = 5
-MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_caps", "n_lines", "n_dup_lines", "n_repeat_words"]
 
 #: Rules in bit order: name and condition of failure, in integers.
 RULES: list[tuple[str, str]] = [
@@ -36,11 +36,12 @@ RULES: list[tuple[str, str]] = [
     ("dup_lines", "n_lines >= 4 and 100 * n_dup_lines > 50 * n_lines"),
     ("long_words", "word_chars > 25 * n_words"),
     ("tiny_words", "word_chars < 2 * n_words"),
+    ("shouting", "n_words >= 10 and 100 * n_caps > 50 * word_chars"),
 ]
 #: Versioned policies: the rules that each applies.
 POLICIES: dict[str, list[str]] = {
     "base": ["short", "repeats"],
-    "v1": ["short", "repeats", "symbols", "dup_lines", "long_words", "tiny_words"],
+    "v1": ["short", "repeats", "symbols", "dup_lines", "long_words", "tiny_words", "shouting"],
 }
 
 
@@ -68,13 +69,14 @@ def measure(docs: DataFrame) -> DataFrame:
     lines = let(full, lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup")))
     of_words = let(words, lambda w: F.struct(
         F.size(w).alias("n"), F.length(F.array_join(w, "")).alias("chars"), _repeat_words(w).alias("repeat")))
-    symbols = F.length(text) - F.length(F.regexp_replace(text, "[#*$%&|<>]", ""))
-    got = docs.withColumns({"_words": of_words, "_lines": lines, "_symbols": symbols})
+    count = lambda chars: F.length(text) - F.length(F.regexp_replace(text, chars, ""))
+    got = docs.withColumns({"_words": of_words, "_lines": lines, "_symbols": count("[#*$%&|<>]"),
+                            "_caps": count("[A-Z]")})
     return got.withColumns({
         "n_words": F.col("_words.n").cast("long"), "word_chars": F.col("_words.chars").cast("long"),
-        "n_symbols": F.col("_symbols").cast("long"), "n_lines": F.col("_lines.n").cast("long"),
+        "n_symbols": F.col("_symbols").cast("long"), "n_caps": F.col("_caps").cast("long"), "n_lines": F.col("_lines.n").cast("long"),
         "n_dup_lines": F.col("_lines.dup").cast("long"), "n_repeat_words": F.col("_words.repeat"),
-    }).drop("_words", "_lines", "_symbols")
+    }).drop("_words", "_lines", "_symbols", "_caps")
 
 
 def ledger(docs: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankforge.llm import bpe, language_id, ngram_join
+from rankforge.llm import bpe, embedding_neardup, language_id, ngram_join, pii, quality, source_mix
 from rankforge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,60 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the bytes decoded from them, as digests."""
     return bpe.bpe_encode(table(spark, sf_dir, "documents").select("doc_id", "text"),
                           public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False)
+
+
+@_register
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of 150 % of all words takes of every document."""
+    return source_mix.mix_sources(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "copies", "part_words")
+
+
+@_register
+def op5_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measurements, failure bits and the verdicts of two policies."""
+    rows = quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", *quality.MEASURES, "fail_bits", (~quality.passes("base")).alias("base_failed"),
+                       (quality.passes("base") & quality.passes("v1")).alias("kept"))
+
+
+ORACLES["op5_quality_ledger"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+g AS (SELECT rid, i, ws[i:i + 4] AS g FROM (SELECT rid, ws, unnest(range(1, len(ws) - 3)) AS i FROM w)),
+r AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM g) WHERE c > 1),
+c AS (SELECT rid, count(DISTINCT j) AS n FROM (SELECT rid, unnest(range(i, i + 5)) AS j FROM r) GROUP BY rid),
+l AS (SELECT rid, count(*) AS n, count(*) - count(DISTINCT line) AS dup
+      FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d)
+      WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid),
+m AS (SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+             len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+             len(regexp_extract_all(t, '[A-Z]'))::BIGINT AS n_caps, coalesce(l.n, 0)::BIGINT AS n_lines,
+             coalesce(l.dup, 0)::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words
+      FROM w LEFT JOIN l USING (rid) LEFT JOIN c USING (rid)),
+b AS (SELECT *, (n_words < 10)::INT AS b0, (100 * n_repeat_words > 20 * n_words)::INT AS b1,
+             (10 * n_symbols > 3 * n_words)::INT AS b2, (n_lines >= 4 AND 100 * n_dup_lines > 50 * n_lines)::INT AS b3,
+             (word_chars > 25 * n_words)::INT AS b4, (word_chars < 2 * n_words)::INT AS b5,
+             (n_words >= 10 AND 100 * n_caps > 50 * word_chars)::INT AS b6 FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_caps, n_lines, n_dup_lines, n_repeat_words,
+       (b0 + 2 * b1 + 4 * b2 + 8 * b3 + 16 * b4 + 32 * b5 + 64 * b6)::BIGINT AS fail_bits,
+       b0 + b1 > 0 AS base_failed, b0 + b1 + b2 + b3 + b4 + b5 + b6 = 0 AS kept
+FROM b
+"""
+
+
+@_register
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and places of personal data in every document."""
+    rows = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "pii")
+    base = F.filter("pii", lambda s: s["kind_no"] < len(pii.BASE))
+    counts = [F.size(F.filter("pii", lambda s, i=i: s["kind_no"] == i)).cast("long").alias(f"n_{k.name}")
+              for i, k in enumerate(pii.KINDS)]
+    return rows.select("doc_id", *counts, F.sha2(pii.joined(base).cast("binary"), 256).alias("base_sha256"),
+                       pii.joined(F.col("pii")).alias("spans"))
+
+
+@_register
+def op10_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of vectors at a cosine of 0.9."""
+    return embedding_neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
