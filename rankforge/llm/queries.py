@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankforge.llm import bpe, embedding_neardup, language_id, ngram_join, pii, quality, source_mix
+from rankforge.llm import (bpe, embedding_neardup, html_extract, language_id, ngram_join, pii, quality, source_mix,
+                           url_filter, warc_fixity)
 from rankforge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +97,106 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of vectors at a cosine of 0.9."""
     return embedding_neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+#: Rules of the production url filter.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+@_register
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's url; hosts are judged by their links."""
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def _url_sql(rounds: int = 30) -> str:
+    up = f"'{url_filter.UPPER}', '{url_filter.LOWER}'"
+    host = f"translate(regexp_extract(coalesce({{0}}, ''), '://([^/?#]*)', 1), {up})"
+    fits = " ".join(
+        f"WHEN (host = '{r.split('/')[0]}' OR ends_with(host, '.{r.split('/')[0]}')) "
+        f"AND starts_with(path, '/{r.split('/', 1)[1]}') THEN '{v} {r}'"
+        for v, r in sorted(URL_RULES, key=lambda r: -len(r[1])))
+    steps = "".join(f"""
+m{i} AS MATERIALIZED (SELECT kind, e.dst AS host, sum(mass * 85 // 100 // degree)::BIGINT AS mass
+      FROM m{i - 1} m JOIN e USING (kind, host) GROUP BY ALL HAVING sum(mass * 85 // 100 // degree) > 0),"""
+                    for i in range(1, rounds + 1))
+    union = " UNION ALL ".join(f"SELECT * FROM m{i}" for i in range(rounds + 1))
+    href = url_filter.HREF.replace("\\x22'", "\\x22''")
+    return f"""
+WITH u AS (SELECT page_id, {host.format('url')} AS host,
+                  regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path, html FROM pages),
+f AS (SELECT *, CASE {fits} END AS fit FROM u),
+h AS (SELECT host, (1000000000000 * count(*) FILTER (fit LIKE 'allow%') // count(*))::BIGINT AS trust,
+             (1000000000000 * count(*) FILTER (fit LIKE 'block%') // count(*))::BIGINT AS distrust
+      FROM f WHERE host <> '' GROUP BY host),
+k AS (SELECT host AS src, unnest(regexp_extract_all(html, '{href}', 1)) AS link FROM u),
+l AS (SELECT DISTINCT src, dst FROM (SELECT src, {host.format("CASE WHEN starts_with(link, '//') THEN 'x:' || link ELSE link END")} AS dst FROM k)
+      WHERE src <> '' AND dst <> '' AND src <> dst),
+b AS (SELECT 'trust' AS kind, src AS host, dst FROM l UNION ALL SELECT 'distrust', dst, src FROM l),
+e AS MATERIALIZED (SELECT kind, host, dst, count(*) OVER (PARTITION BY kind, host) AS degree FROM b),
+m0 AS MATERIALIZED (SELECT 'trust' AS kind, host, trust AS mass FROM h WHERE trust > 0
+      UNION ALL SELECT 'distrust', host, distrust FROM h WHERE distrust > 0),{steps}
+s AS (SELECT kind, host, sum(mass)::BIGINT * 15 // 100 AS score FROM ({union}) GROUP BY ALL),
+r AS (SELECT host, coalesce(sum(score) FILTER (kind = 'trust'), 0)::BIGINT AS trust,
+             coalesce(sum(score) FILTER (kind = 'distrust'), 0)::BIGINT AS distrust FROM s GROUP BY host)
+SELECT page_id, f.host, path, substr(fit, 7) AS rule,
+       CASE WHEN fit IS NOT NULL THEN substr(fit, 1, 5)
+            WHEN coalesce(distrust, 0) - coalesce(trust, 0) > 75000000000 THEN 'block' ELSE 'allow' END AS verdict,
+       coalesce(trust, 0)::BIGINT AS trust, coalesce(distrust, 0)::BIGINT AS distrust
+FROM f LEFT JOIN r ON f.host = r.host
+"""
+
+
+ORACLES["op1_url_filter"] = _url_sql()
+
+
+@_register
+def op4_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit of the pages as WARC files against a replica in which some records
+    have changed bytes and some are gone."""
+    records = warc_fixity.warc_records(table(spark, sf_dir, "pages"))
+    middle = F.floor(F.length("body") / 2).cast("int")
+    rotten = F.concat(F.substring(F.col("body"), F.lit(1), middle), F.lit("~"),
+                      F.substring(F.col("body"), middle + 2, F.length("body")))
+    replica = records.filter("page_id is null or page_id % 211 <> 5").withColumn(
+        "body", F.when(F.col("page_id") % 97 == 13, rotten).otherwise(F.col("body")))
+    return warc_fixity.report(records, replica)
+
+
+def _warc_sql() -> str:
+    def tree(side: str) -> str:
+        sql, below = "", f"rec_{side}"
+        for i in range(warc_fixity.LEVELS + 1):
+            at = "offs" if i == 0 else "node"
+            node = f"offs // {warc_fixity.RANGE}" if i == 0 else \
+                "0" if i == warc_fixity.LEVELS else f"node // {warc_fixity.FAN_OUT}"
+            sql += f"""
+{side}{i} AS (SELECT file, {node} AS up, sha256(string_agg({at}::VARCHAR || ':' || digest, ',' ORDER BY {at})) AS digest,
+      sum(n)::BIGINT AS n FROM (SELECT file, {at}, digest, n FROM {below}) GROUP BY file, {node}),"""
+            below = f"(SELECT file, up AS node, digest, n FROM {side}{i})"
+        return sql
+
+    return f"""
+WITH p AS (SELECT page_id, page_id // 500 AS file, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10)
+      || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, ''))::VARCHAR
+      || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS body FROM pages),
+o AS (SELECT *, coalesce(sum(strlen(body)) OVER (PARTITION BY file ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS offs FROM p),
+rec_a AS (SELECT file, offs, page_id, sha256(body) AS digest, 1 AS n FROM o),
+rec_b AS (SELECT file, offs, page_id, sha256(CASE WHEN page_id % 97 = 13 THEN substr(body, 1, length(body) // 2) || '~' || substr(body, length(body) // 2 + 2) ELSE body END) AS digest, 1 AS n
+      FROM o WHERE page_id % 211 <> 5),{tree('a')}{tree('b')}
+d AS (SELECT a.file, a.offs, CASE WHEN b.digest IS NULL THEN 'missing' ELSE 'corrupt' END AS status
+      FROM rec_a a LEFT JOIN rec_b b ON a.file = b.file AND a.offs = b.offs WHERE a.digest IS DISTINCT FROM b.digest),
+g AS (SELECT file, count(*) AS n_bad, string_agg(offs::VARCHAR || ':' || status, ',' ORDER BY offs, status) AS bad FROM d GROUP BY file)
+SELECT a.file, a.n AS n_records, a.digest AS root, b.digest AS replica_root, a.digest IS NOT DISTINCT FROM b.digest AS intact,
+       coalesce(n_bad, 0)::BIGINT AS n_bad, coalesce(bad, '') AS bad
+FROM a{warc_fixity.LEVELS} a LEFT JOIN b{warc_fixity.LEVELS} b ON a.file = b.file LEFT JOIN g ON a.file = g.file
+"""
+
+
+ORACLES["op4_warc_fixity"] = _warc_sql()
+
+
+@_register
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
