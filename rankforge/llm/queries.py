@@ -169,7 +169,7 @@ def _warc_sql() -> str:
         for i in range(warc_fixity.LEVELS + 1):
             at = "offs" if i == 0 else "node"
             node = f"offs // {warc_fixity.RANGE}" if i == 0 else \
-                "0" if i == warc_fixity.LEVELS else f"node // {warc_fixity.FAN_OUT}"
+                "node * 0" if i == warc_fixity.LEVELS else f"node // {warc_fixity.FAN_OUT}"
             sql += f"""
 {side}{i} AS (SELECT file, {node} AS up, sha256(string_agg({at}::VARCHAR || ':' || digest, ',' ORDER BY {at})) AS digest,
       sum(n)::BIGINT AS n FROM (SELECT file, {at}, digest, n FROM {below}) GROUP BY file, {node}),"""
