@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankforge.llm import bpe, language_id, ngram_join, pii, source_mix
@@ -31,10 +31,11 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Jaccard similarity 90 %): the one with the smallest doc_id; of rows that
     share it (repeated or conflicting ones), the first by content."""
     parts = ngram_join.ngram_components(docs, n=3, threshold=90)
-    first = parts.select("component_id").distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("component_id")), "left_semi")
+    first = parts.select(F.xxhash64("component_id").alias("_k"), "component_id").distinct()
     same = F.struct(*(F.col(c) for c in docs.columns))
-    return kept.groupBy("doc_id").agg(F.min(same).alias("row")).select("row.*")
+    kept = docs.withColumn("_k", F.xxhash64("doc_id")).join(first, "_k") \
+        .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return kept.groupBy("_k", "doc_id").agg(F.min(same).alias("row")).select("row.*")
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,15 +46,17 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it; the one per source that is
-    taken in part ends after these words."""
-    plan = source_mix.mix_sources(docs).filter("copies > 0 or part_words > 0") \
-        .select(F.col("doc_id").alias("_id"), "copies", "part_words")
+    taken in part ends after these words. Equal rows are told apart by number."""
+    equal = Window.partitionBy("_k").orderBy("doc_id", "source")
+    plan = source_mix.mix_sources(docs).select(F.col("row_key").alias("_k"), "doc_id", "source", "copies", "part_words") \
+        .withColumn("_m", F.row_number().over(equal)).drop("doc_id", "source")
     words = F.array_remove(F.split("text", source_mix.SPACE), "")
     part = F.array_join(F.slice(words, F.lit(1), F.col("part_words").cast("int")), " ")
     texts = F.concat(F.array_repeat(F.col("text"), F.col("copies").cast("int")),
                      F.when(F.col("part_words") > 0, F.array(part)).otherwise(F.array().cast("array<string>")))
-    taken = docs.join(plan, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return taken.withColumn("text", F.explode(texts)) \
+    rows = docs.withColumn("_k", source_mix.row_key()).withColumn("_n", F.row_number().over(equal))
+    # both inequalities instead of an equality: the join then keeps the partitions of the window
+    return rows.join(plan, "_k").filter("_n <= _m and _n >= _m").withColumn("text", F.explode(texts)) \
         .withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

@@ -28,7 +28,7 @@ import hashlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankforge.llm.common import cut
@@ -96,26 +96,30 @@ def pivot(size: np.ndarray, part: np.ndarray, rng: np.random.Generator) -> np.nd
     return part
 
 
+def row_key() -> Column:
+    """Key of a row of documents by content; equal rows share it."""
+    return F.xxhash64("doc_id", "source", "text")
+
+
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0,
                 seed: int = 17, bucket_rows: int = 4096, fan_in: int = 256) -> DataFrame:
-    """``(doc_id, source, size, source_size, target, copies, part_words,
-    taken)`` of every row of ``docs(doc_id, text, source)``."""
+    """``(doc_id, source, row_key, size, source_size, target, copies,
+    part_words, taken)`` of every row of ``docs(doc_id, text, source)``."""
     size = F.size(F.array_remove(F.split(F.coalesce(F.col("text"), F.lit("")), SPACE), "")).cast("long")
-    sized = cut(docs.select("doc_id", "source", size.alias("size")))
+    sized = cut(docs.select("doc_id", "source", row_key().alias("row_key"), size.alias("size")))
     targets = source_targets(sized, weights, share, most)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     buckets = F.ceil(F.col("n_docs") / F.lit(bucket_rows))
-    # without a hash of the row a null doc_id or repeated rows would share a bucket; equal rows may
     rows = (sized.join(targets.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
             .withColumn("copies", F.floor(rate).cast("long"))
             .withColumn("part", rate - F.floor(rate))
-            .withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size", F.lit(seed)), buckets))
+            .withColumn("bucket", F.pmod(F.xxhash64("row_key", F.lit(seed)), buckets))
             .drop("n_docs"))
     schema = rows.schema
 
     def settle(level: int):
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(["size", "doc_id"], kind="stable")
+            pdf = pdf.sort_values(["size", "row_key"], kind="stable")
             name = f"{seed}:{level}:{pdf['source'].iloc[0]!r}:{pdf['bucket'].iloc[0]}"
             rng = np.random.default_rng(int.from_bytes(hashlib.sha256(name.encode()).digest()[:8], "big"))
             return pdf.assign(part=pivot(pdf["size"].to_numpy(), pdf["part"].to_numpy(), rng))
@@ -136,5 +140,5 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: fl
         out = out.unionByName(x)
     whole = F.col("copies") + F.when(F.col("part") >= 1, 1).otherwise(0)
     words = F.when(open_, F.round(F.col("size") * F.col("part"))).otherwise(0).cast("long")
-    return out.select("doc_id", "source", "size", "source_size", "target", whole.alias("copies"),
+    return out.select("doc_id", "source", "row_key", "size", "source_size", "target", whole.alias("copies"),
                       words.alias("part_words")).withColumn("taken", F.col("size") * F.col("copies") + F.col("part_words"))
