@@ -141,7 +141,7 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
         if closing:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
-                    if tag not in BLOCK and any(s[1] != stack[i][1] for s in stack[i:]):
+                    if tag not in BLOCK:
                         flush()
                     del stack[i:]
                     break
@@ -174,10 +174,13 @@ def main_blocks(page: str) -> tuple[list[str], int]:
         else:
             each = re.findall(r"\w+", words.lower())
             labels.append(main or sum(w in STOP_WORDS for w in each) >= STOPS * len(each))
+    # blocks outside the region, and lists of links inside an article, say nothing about their neighbours
+    speaks = [x is not None and not dropped and (x if main else not has_main)
+              for x, (_, _, dropped, main) in zip(labels, found)]
     far = len(found) + 1
     before, last, near = [], None, far
-    for i, (_, _, dropped, main) in enumerate(found):
-        if labels[i] is not None and not (dropped or has_main and not main):
+    for i in range(len(found)):
+        if speaks[i]:
             last, near = labels[i], 0
         before.append((near, last))
         near += 1
@@ -189,7 +192,7 @@ def main_blocks(page: str) -> tuple[list[str], int]:
             good[i] = near_label is not False
         else:
             good[i] = bool(labels[i])
-            if not (found[i][2] or has_main and not found[i][3]):
+            if speaks[i]:
                 last, near = labels[i], 0
         near += 1
     return [b[0] for b, g in zip(found, good) if g], len(found)
