@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankforge.spec import Feature, FeatureSpec
 
@@ -162,11 +163,13 @@ def cross_list(cols, n: int) -> Column:
 
 
 # ---------------------------------------------------------------- indicator
-def indicator_counts(c) -> Column:
-    """Sparse multi-hot counts: sorted array<struct<id,count>>; a scalar id is
-    one-hot; negative ids are dropped."""
+def indicator_counts(c, is_list: bool = True) -> Column:
+    """Sparse multi-hot counts: sorted array<struct<id,count>>; a scalar id
+    (``is_list`` false) is one-hot; negative and null ids are dropped."""
     x = _c(c)
-    ids = F.filter(x, lambda i: i >= 0)
+    if not is_list:
+        x = F.array(x)
+    ids = F.filter(F.coalesce(x, F.array()), lambda i: i >= 0)
     return F.transform(F.array_sort(F.array_distinct(ids)),
                        lambda i: F.struct(i.alias("id"),
                                           F.size(F.filter(ids, lambda j: j == i)).cast("bigint").alias("count")))
@@ -267,10 +270,17 @@ def compile_features(df: DataFrame, spec: FeatureSpec, keep=(), list_crosses: di
     if not derived:
         return step1
     cols = {f.name: F.col(f.name) for f in base}
+    lists = {x.name for x in step1.schema if isinstance(x.dataType, T.ArrayType)}
     out = [F.col(k) for k in keep] + [F.col(f.name) for f in base if f.is_out or f.name in include]
     for f in derived:
-        if f.ftype == "cross" and list_crosses and f.name in list_crosses:
-            col = cross_list([cols.get(k, F.col(k)) for k in f.keys], f.num_buckets)
+        if f.ftype == "cross" and (lists.intersection(f.keys) or f.name in (list_crosses or ())):
+            # the cross of a list has one id per combination, so is a list itself
+            col = cross_list([F.coalesce(F.col(k).cast("array<string>"), F.array()) if k in lists else
+                              F.when(F.col(k).isNull(), F.array()).otherwise(F.array(F.col(k).cast("string")))
+                              for k in f.keys], f.num_buckets)
+            lists.add(f.name)
+        elif f.ftype == "indicator":
+            col = indicator_counts(F.col(f.cat_col[0]), f.cat_col[0] in lists)
         else:
             col = feature_column(f, cols)
         cols[f.name] = F.col(f.name)

@@ -15,16 +15,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankforge.functions.features import count_below
+from rankforge.functions.features import count_below, numeric, vector
 from rankforge.spec import FeatureSpec
 
 
-MEAN_DECIMAL = "decimal(38,12)"
-
-
 def boundary_ranks(n: int) -> list:
     """Percentile ranks for ``n`` buckets: int(100/n), int(100*i/n) for
     i = 2..n-1 (integer truncation, as the fitted specs were produced)."""
@@ -41,6 +38,12 @@ def keep_increasing(values: list) -> list:
     return out
 
 
+def parsed_values(f) -> Column:
+    """The numbers of a spec section, with its default (0 if it has none) in gaps."""
+    d = 0.0 if f.default is None else float(f.default)
+    return vector(F.col(f.source), f.shape, d) if f.shape > 1 else numeric(F.col(f.source), d)
+
+
 def _long_values(df: DataFrame, cols, vector_cols=()) -> DataFrame:
     parts = [F.array(F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))) for c in cols]
     def tag(name):
@@ -59,7 +62,8 @@ def exact_quantiles(df: DataFrame, probs: dict, vector_cols=(), bins: int = 64)
 def quantiles_and_moments(df: DataFrame, probs: dict, vector_cols=(), bins: int = 64):
     """One pass over ``df``: exact quantiles for every column in ``probs`` and
     (mean, population std) per column, both from the distributed
-    (feature, value) → count table (moments from exact decimal sums)."""
+    (feature, value) → count table (moments from sums of doubles, the spread
+    in a second pass around the mean)."""
     from rankforge.session import ensure_defaults
     ensure_defaults(df.sparkSession)
     scalar = [c for c in probs if c not in vector_cols]
@@ -67,21 +71,20 @@ def quantiles_and_moments(df: DataFrame, probs: dict, vector_cols=(), bins: int
         .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
     vc = vc.persist()
     try:
-        xv = F.col("value").cast(MEAN_DECIMAL)
         stats = vc.groupBy("feature").agg(
             F.sum("cnt").alias("n"),
-            F.sum(xv * F.col("cnt")).alias("sx"),
+            F.sum(F.col("value") * F.col("cnt")).alias("sx"),
             F.percentile_approx("value", [i / bins for i in range(1, bins)], 10000).alias("cuts")).collect()
         info = {r.feature: (int(r.n), sorted(set(r.cuts or []))) for r in stats}
-        means = {r.feature: (r.sx / r.n) for r in stats}     # exact Decimal arithmetic on the driver
+        means = {r.feature: (r.sx / r.n) for r in stats}
         var = {}
         if means:
             mexpr = None
             for c, m in means.items():
                 cond = F.col("feature") == F.lit(c)
-                lit = F.lit(str(m)).cast(MEAN_DECIMAL)
+                lit = F.lit(float(m))
                 mexpr = F.when(cond, lit) if mexpr is None else mexpr.when(cond, lit)
-            dev = (xv - mexpr).cast("double")
+            dev = F.col("value") - mexpr
             for r in vc.groupBy("feature").agg(F.sum(dev * dev * F.col("cnt")).alias("ss")).collect():
                 var[r.feature] = r.ss / info[r.feature][0]
         moments = {c: (float(means[c]), float(var.get(c, 0.0)) ** 0.5) for c in means}
@@ -170,7 +173,7 @@ def _fit_pass(df: DataFrame, auto: dict, norm_cols, vector_cols=(), method: str
         mom = {}
         for c in norm_cols:
             src = df.select(F.explode(c).alias("x")) if c in vector_cols else df.select(F.col(c).alias("x"))
-            row = src.agg(F.avg(F.col("x").cast(MEAN_DECIMAL)).cast("double").alias("m"),
+            row = src.agg(F.avg(F.col("x").cast("double")).alias("m"),
                           F.stddev_pop("x").alias("s")).first()
             mom[c] = (row.m, row.s)
     bnd = {}
@@ -188,21 +191,15 @@ def _fit_pass(df: DataFrame, auto: dict, norm_cols, vector_cols=(), method: str
 def fit_all_features(df: DataFrame, spec: FeatureSpec, method: str = "exact", label_cols=("label",)):
     """A4: boundaries for every feature with ``auto_boundaries > 0`` and stats
     for numeric features in a ``norm`` group (labels excluded). Returns the
-    fitted spec and the fitted-spec table ``(feature, stat, values)`` (S9)."""
-    auto = {}
-    vec = set()
-    src = {}
-    for f in spec:
-        if f.auto_boundaries > 0:
-            auto[f.source] = f.auto_boundaries
-            src.setdefault(f.source, []).append(f.name)
-            if f.shape > 1:
-                vec.add(f.source)
+    fitted spec and the fitted-spec table ``(feature, stat, values)`` (S9).
+    Each section is fitted by itself, on the values it would parse: its default
+    stands where the field is null."""
+    auto = {f.name: f.auto_boundaries for f in spec if f.auto_boundaries > 0}
     norm = [f for f in spec if "norm" in f.group and f.ftype == "numeric" and f.name not in label_cols]
-    vec |= {f.source for f in norm if f.shape > 1}
-    bnd, st = _fit_pass(df, auto, sorted({f.source for f in norm}), tuple(vec), method)
-    by_name_b = {n: bnd[s] for s, names in src.items() if s in bnd for n in names}
-    by_name_s = {f.name: st[f.source] for f in norm}
+    used = [f for f in spec if f.name in auto or f in norm]
+    df = df.select(*(parsed_values(f).alias(f.name) for f in used)) if used else df
+    vec = {f.name for f in used if f.shape > 1}
+    by_name_b, by_name_s = _fit_pass(df, auto, sorted(f.name for f in norm), tuple(vec), method)
     fitted = spec.with_fitted(by_name_b, by_name_s)
     rows = [(n, "boundaries", [float(x) for x in b]) for n, b in by_name_b.items()]
     rows += [(n, k, [float(v)]) for n, s in by_name_s.items() for k, v in sorted(s.items())]

@@ -163,13 +163,14 @@ def _sparse_inputs_wide(feats, cat, num, dim, lin_fields, emb_fields, shared, ve
         for r in wrow:
             consts[r.fid] = (consts.get(r.fid, ([0.0] * dim, None))[0], r.w)
     for c, fid in num:
-        cols.append((F.col(c).cast("double") * F.lit(float(consts[fid][1]))).alias(f"lin_{c}"))
+        cols.append(F.coalesce(F.col(c).cast("double") * F.lit(float(consts[fid][1])), F.lit(0.0)).alias(f"lin_{c}"))
     for f in emb_fields:
         for d in range(dim):
             cols.append(F.coalesce(F.col(f"_v_{f}_{d}"), F.lit(0.0)).alias(f"e_{f}_{d}"))
     for c, fid in num:
         for d in range(dim):
-            cols.append((F.col(c).cast("double") * F.lit(float(consts[fid][0][d]))).alias(f"e_{c}_{d}"))
+            cols.append(F.coalesce(F.col(c).cast("double") * F.lit(float(consts[fid][0][d])), F.lit(0.0))
+                        .alias(f"e_{c}_{d}"))
     return g.select(*cols)
 
 
@@ -332,9 +333,13 @@ def spec_embeddings(samples: DataFrame, spec: FeatureSpec, tables: dict | None =
     idx = spec.field_index()
     sections = [f for f in spec if f.ftype in ("embedding", "shared_embedding")]
     inputs = sorted({c for f in sections for c in f.cat_col})
-    feats = with_row_id(compile_features(samples, spec, keep=[id_col, *keep], include=inputs))
-    out = feats
     spark = samples.sparkSession
+    out = with_row_id(compile_features(samples, spec, keep=[id_col, *keep], include=inputs))
+    if any(spec[c].is_list or not fits_broadcast([(c, idx[sec.name], max(spec[x].n_ids() for x in sec.cat_col), False)],
+                                                 sec.dimension) for sec in sections for c in sec.cat_col):
+        # bags are joined back on the row id: it must not be computed twice
+        from rankforge.session import cut_lineage
+        out = cut_lineage(out)
     for sec in sections:
         fid = idx[sec.name]
         n = max(spec[c].n_ids() for c in sec.cat_col)

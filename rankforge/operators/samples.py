@@ -106,9 +106,10 @@ def union_positives(samples: DataFrame, positives: DataFrame, keys=("uid", "toui
 
 def negative_sampling(df: DataFrame, label: str, key: str, rate: float, seed: int = 0) -> DataFrame:
     """Keep every positive and a reproducible ``rate`` share of negatives
-    (md5 of seed:key, so every engine and every rerun keeps the same rows)."""
-    h = stable_hash(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))) % F.lit(1000)
-    return df.where((F.col(label) > 0) | (h < F.lit(int(round(rate * 1000)))))
+    (60 bits of the md5 of seed:key, so every engine and every rerun keeps the
+    same rows and no rate is too small)."""
+    h = stable_hash(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    return df.where((F.col(label) > 0) | (h < F.lit(int(rate * (1 << 60)))))
 
 
 def time_weight(df: DataFrame, time_col: str, label: str, out: str = "wt") -> DataFrame:

@@ -128,7 +128,7 @@ def q_union_positives(spark, sf):
 
 @query("negative_sampling", sql=with_ctes(*LI, body=f"""
 SELECT sample_id, y_ctr FROM samples_li
-WHERE y_ctr > 0 OR {Q.stable_hash("concat_ws(':', '11', sample_id)")} % 1000 < 300"""))
+WHERE y_ctr > 0 OR {Q.stable_hash("concat_ws(':', '11', sample_id)")} < {int(0.3 * (1 << 60))}"""))
 def q_negative_sampling(spark, sf):
     """All positives, a reproducible 30% of negatives."""
     s = samples_li(spark, sf)
@@ -172,7 +172,7 @@ def q_trailing_days(spark, sf):
 
 
 @query("split_train_test", sql=with_ctes(*LI, body=f"""
-SELECT CASE WHEN {Q.stable_hash("concat_ws(':', '5', sample_id)")} % 1000 < 100 THEN 'test' ELSE 'train' END AS split,
+SELECT CASE WHEN {Q.stable_hash("concat_ws(':', '5', sample_id)")} < {int(0.1 * (1 << 60))} THEN 'test' ELSE 'train' END AS split,
        count(*) AS n, CAST(sum(y_ctr) AS BIGINT) AS clicks FROM samples_li GROUP BY 1"""))
 def q_split_train_test(spark, sf):
     """Stable 90/10 train/test split by md5 of the sample key."""

@@ -87,7 +87,7 @@ ESMM_P_SQL = _sp_sql() + [_x0_sql()] + _esmm_sql() + [
 
 
 @query("loss_esmm", sql=with_ctes(*ESMM_P_SQL, f"""
-l AS (SELECT sum({_ll('y_ctr', 'p_ctr')}) / count(*) AS ctr, sum({_ll('y_ctcvr', 'p_ctcvr')}) / count(*) AS ctcvr FROM preds)""",
+l AS (SELECT sum({_ll('y_ctr', 'p_ctr')}) / count(*) AS ctr, sum({_ll('y_ctcvr', 'p_ctcvr', '1.0')}) / count(*) AS ctcvr FROM preds)""",
     body="""SELECT 'ctr' AS task, round(ctr, 6) AS loss FROM l UNION ALL SELECT 'ctcvr', round(ctcvr, 6) FROM l
     UNION ALL SELECT 'total', round(ctr + 1.5 * ctcvr, 6) FROM l"""))
 def q_loss_esmm(spark, sf):
@@ -101,8 +101,8 @@ def q_loss_esmm(spark, sf):
 preds AS (SELECT pz.rid, pz.sample_id, sp.y_ctr, sp.y_ctcvr, sp.wt, pz.p_ctr, pz.p_cvr, pz.p_ctr * pz.p_cvr AS p_ctcvr
           FROM pz JOIN sp ON pz.rid = sp.rid)""", body=f"""
 SELECT 'ctr' AS task, round(sum({_ll('y_ctr', 'p_ctr')}) / count(*), 6) AS loss, count(*) AS n FROM preds
-UNION ALL SELECT 'ctcvr', round(sum({_ll('y_ctcvr', 'p_ctcvr')}) / count(*), 6), count(*) FROM preds
-UNION ALL SELECT 'cvr', round(sum(CASE WHEN y_ctr = 1 THEN {_ll('y_ctcvr', 'p_cvr')} END) / count(CASE WHEN y_ctr = 1 THEN 1 END), 6),
+UNION ALL SELECT 'ctcvr', round(sum({_ll('y_ctcvr', 'p_ctcvr', '1.0')}) / count(*), 6), count(*) FROM preds
+UNION ALL SELECT 'cvr', round(sum(CASE WHEN y_ctr = 1 THEN {_ll('y_ctcvr', 'p_cvr', '1.0')} END) / count(CASE WHEN y_ctr = 1 THEN 1 END), 6),
                  count(CASE WHEN y_ctr = 1 THEN 1 END) FROM preds"""))
 def q_loss_mmoe(spark, sf):
     """MMoE losses: ctr and ctcvr on all rows, cvr on clicked rows only."""
@@ -119,7 +119,7 @@ TOTAL = 30
 
 @query("lbtw_weights", sql=with_ctes(*ESMM_P_SQL, f"""
 sl AS (SELECT ds, 'ctr' AS task, sum({_ll('preds.y_ctr', 'p_ctr', 'preds.wt')}) / count(*) AS loss FROM preds JOIN samples_li USING (rid) GROUP BY ds
-       UNION ALL SELECT ds, 'ctcvr', sum({_ll('preds.y_ctcvr', 'p_ctcvr', 'preds.wt')}) / count(*) FROM preds JOIN samples_li USING (rid) GROUP BY ds)""",
+       UNION ALL SELECT ds, 'ctcvr', sum({_ll('preds.y_ctcvr', 'p_ctcvr', '1.0')}) / count(*) FROM preds JOIN samples_li USING (rid) GROUP BY ds)""",
     """st AS (SELECT *, dense_rank() OVER (ORDER BY ds) - 1 AS step FROM sl)""",
     f"""lh AS (SELECT *, pow(loss / first_value(loss) OVER (PARTITION BY task, floor(step / {TOTAL}) ORDER BY step), 0.5) AS inv FROM st)""",
     body="""SELECT CAST(step AS BIGINT) AS step, task, round(count(*) OVER (PARTITION BY step) * inv / sum(inv) OVER (PARTITION BY step), 6) AS weight FROM lh"""))
@@ -214,16 +214,10 @@ def q_train_fm(spark, sf):
                                  "metric string, value double")
 
 
-_GBT_MODELS: dict = {}
-
-
 def _gbt(spark, sf):
-    """Train once per (session, data folder); train_gbt and score_gbt share it."""
+    """The model and its split data."""
     d = SC.split_train_test(_ml_frame(spark, sf), "sample_id", 0.2, seed=3)
-    key = (id(spark), sf)
-    if key not in _GBT_MODELS:
-        _GBT_MODELS[key] = TR.train_gbt(d.where("split = 'train'"), trees=10, depth=4)
-    return _GBT_MODELS[key], d
+    return TR.train_gbt(d.where("split = 'train'"), trees=10, depth=4), d
 
 
 @query("train_gbt")
@@ -256,26 +250,24 @@ def q_train_deep(spark, sf):
 
 @query("train_eval_loop")
 def q_train_eval_loop(spark, sf):
-    """Epoch × shard-group loop: train on a group, evaluate on the dev split;
-    report keyed by (epoch, group)."""
+    """Epoch × shard-group loop: train on a group, starting from the weights
+    that the group before left, and evaluate on the dev split; report keyed by
+    (epoch, group)."""
     sp = SC.shard_groups(_sp(spark, sf).select("sample_id", _x().alias("x"), "y_ctr", "wt"),
                          key="sample_id", n_shards=4, divisor=2)
     # epochs × groups passes over the same assembled features: cut the lineage
     # once with a reliable checkpoint in the cluster's checkpoint folder
     from rankforge.session import cut_lineage
     sp = cut_lineage(SC.split_train_test(sp, "sample_id", 0.2, seed=9))
-    rows = []
-    try:
-        dev = sp.where("split = 'test'")
-        for epoch in range(1):
-            for grp in range(2):
-                tr = sp.where((F.col("split") == "train") & (F.col("shard_group") == grp))
-                layers, hist = TR.train_deep(tr, "x", WIDTH, HIDDEN, steps=1, lr=0.01)
-                s = TR.score_dense(dev, "x", WIDTH, layers)
-                auc = M.auc_exact(s, "y_ctr", "p", "wt").first()["auc"]
-                rows.append((epoch, grp, float(hist[-1][1]), float(auc) if auc is not None else None))
-    finally:
-        pass
+    rows, layers = [], None
+    dev = sp.where("split = 'test'")
+    for epoch in range(2):
+        for grp in range(2):
+            tr = sp.where((F.col("split") == "train") & (F.col("shard_group") == grp))
+            layers, hist = TR.train_deep(tr, "x", WIDTH, HIDDEN, steps=1, lr=0.01, init_layers=layers)
+            s = TR.score_dense(dev, "x", WIDTH, layers)
+            auc = M.auc_exact(s, "y_ctr", "p", "wt").first()["auc"]
+            rows.append((epoch, grp, float(hist[-1][1]), float(auc) if auc is not None else None))
     return spark.createDataFrame(rows, "epoch long, shard_group long, train_loss double, dev_auc double")
 
 

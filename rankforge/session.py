@@ -3,7 +3,6 @@ size-checked broadcast."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,13 +46,15 @@ def ensure_defaults(spark: SparkSession) -> None:
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts. Reads the cluster's
-    ``spark.checkpoint.dir`` / SparkContext setting; only when none is set
-    (local tests) does it fall back to a fresh local folder."""
+    ``spark.checkpoint.dir`` / SparkContext setting; a local session (one
+    machine) that sets none gets a fresh folder, a cluster an error."""
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d and not sc.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="rankforge-ckpt-")
     sc.setCheckpointDir(d)
@@ -74,12 +75,3 @@ def bounded_broadcast(df: DataFrame, max_rows: int, row_bytes: int,
     if max_rows * row_bytes <= limit:
         return F.broadcast(df)
     return df
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder under the shared checkpoint location."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    path = os.path.join(base, "tables", name)
-    return path

@@ -18,8 +18,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None, spread
     ``spread``: a scan with fewer splits than the cluster's parallelism
     (e.g. one small file holding a single row group) is round-robin
     repartitioned so per-row work uses every core. Large inputs already have
-    thousands of splits, so the rule never adds a shuffle there."""
-    df = _scan(spark, os.path.join(sf_dir, f"{name}.parquet"))
+    at least as many splits as cores and are read as they are."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
     if columns:
         df = df.select(*columns)
     if spread:
@@ -27,26 +27,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None, spread
     return df
 
 
-_SCANS: dict = {}
-
-
-def _scan(spark: SparkSession, path: str) -> DataFrame:
-    """One reader per (session, path): file listing and footer/schema
-    inference happen once, not on every plan that reads the table (on a
-    100 TB table that listing is thousands of files)."""
-    key = (id(spark), path)
-    df = _SCANS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _SCANS[key] = df
-    return df
-
-
-def refresh_scans() -> None:
-    """Forget cached readers (after the files under a path changed)."""
-    _SCANS.clear()
-
-
 def spread_small(df: DataFrame) -> DataFrame:
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:

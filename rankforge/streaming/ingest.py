@@ -25,11 +25,14 @@ def daily_event_counts(batch: DataFrame) -> DataFrame:
 
 def ingest_daily(spark: SparkSession, source_dir: str, schema, glob: str, out_dir: str | None = None,
                  transform=daily_event_counts, max_files: int | None = None) -> str:
-    """Run the stream to completion over the files present; return the sink path."""
-    base = checkpoint_dir(spark).rstrip("/")
-    run = uuid.uuid4().hex
-    out = out_dir or f"{base}/ingest/{run}/table"
-    ckpt = f"{base}/ingest/{run}/_checkpoint"
+    """Run the stream to completion over the files present; return the sink path.
+
+    The stream's checkpoint lies beside the sink (``<sink>_checkpoint``), so the
+    next call with the same ``out_dir`` reads only files that came since and
+    batch numbers go on: late files add to their days, nothing counts twice.
+    Without ``out_dir`` the sink is a new folder under the shared one."""
+    out = (out_dir or f"{checkpoint_dir(spark).rstrip('/')}/ingest/{uuid.uuid4().hex}/table").rstrip("/")
+    ckpt = f"{out}_checkpoint"
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

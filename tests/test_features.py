@@ -140,3 +140,21 @@ def test_fast_hash_option(spark):
     assert all(0 <= v < 37 for v in fast) and fast != md5_ids
     assert len(set(fast)) > 30                                  # spreads over the buckets
     assert [r[0] for r in df.select(X.hash_bucket("s", 37)).collect()] == md5_ids
+
+
+def test_list_cross_and_scalar_indicator_through_the_compiler(spark):
+    from rankforge.functions.features import compile_features
+    from rankforge.spec import Feature, FeatureSpec
+    df = spark.createDataFrame([([1, 2], 1, 3), ([], 2, None), (None, 3, -1)], "ids array<long>, u long, s long")
+    spec = FeatureSpec([
+        Feature(name="id_list", ftype="cat_id", fname="ids", shape=0, num_buckets=100),
+        Feature(name="user", ftype="cat_id", fname="u", num_buckets=100),
+        Feature(name="single", ftype="cat_id", fname="s", num_buckets=100),
+        Feature(name="x", ftype="cross", keys=("id_list", "user"), num_buckets=1000),
+        Feature(name="one", ftype="indicator", cat_col=("single",)),
+        Feature(name="many", ftype="indicator", cat_col=("id_list",)),
+    ])
+    rows = compile_features(df, spec, keep=["u"]).orderBy("u").collect()
+    assert [len(r.x) for r in rows] == [2, 0, 0]
+    assert [[tuple(c) for c in r.one] for r in rows] == [[(3, 1)], [], []]
+    assert [[tuple(c) for c in r.many] for r in rows] == [[(1, 1), (2, 1)], [], []]

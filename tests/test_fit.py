@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from rankforge.operators.fit import (boundary_ranks, exact_quantiles, fit_all_features, fit_boundaries,
                                      keep_increasing, norm_stats)
@@ -72,3 +73,22 @@ auto_boundaries = 4
     assert np.allclose(fitted["b_cat"].boundaries, ref_bounds([v * 2 for v in vals], 4))
     stats = {(r.feature, r.stat) for r in table.collect()}
     assert ("a", "std") in stats and not any(f == "label" for f, _ in stats)
+
+
+def test_sections_are_fitted_by_themselves(spark):
+    from rankforge.operators.fit import fit_all_features
+    from rankforge.spec import Feature, FeatureSpec
+    rows = [(float(i), 5.0e-8 + i * 1e-11, None if i % 2 else float(i)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "x double, tiny double, gap double")
+    spec = FeatureSpec([
+        Feature(name="x5", ftype="bucketized", fname="x", auto_boundaries=5),
+        Feature(name="x10", ftype="bucketized", fname="x", auto_boundaries=10),
+        Feature(name="gap", ftype="bucketized", auto_boundaries=4, default=-1.0),
+        Feature(name="tiny", ftype="numeric", group=("norm",)),
+    ])
+    fitted, table = fit_all_features(df, spec)
+    got = {(r.feature, r.stat): r["values"] for r in table.collect()}
+    assert len(got["x5", "boundaries"]) == 4 and len(got["x10", "boundaries"]) == 9
+    assert got["gap", "boundaries"][0] == -1.0
+    assert got["tiny", "mean"][0] == pytest.approx(sum(r[1] for r in rows) / 1000, rel=1e-12)
+    assert got["tiny", "std"][0] == pytest.approx(1e-11 * (999 * 1001 / 12) ** 0.5, rel=1e-6)

@@ -87,3 +87,9 @@ def test_walk_forward_uses_only_past_days(spark):
     got = {r.ds: r for r in walk_forward(df, "k", window=7).collect()}
     assert got[d("2024-01-01")].auc == 0.5          # no history: every score 0 → all ties
     assert got[d("2024-01-02")].auc == 1.0          # day-1 CTRs rank day 2 perfectly
+
+
+def test_very_small_sampling_rate(spark):
+    df = spark.range(100_000).select(F.lit(0).alias("y"), F.col("id").alias("k"))
+    n = SM.negative_sampling(df, "y", "k", 0.0004).count()
+    assert 15 <= n <= 80

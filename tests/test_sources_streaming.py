@@ -1,3 +1,4 @@
+import datetime as dt
 import os
 
 from pyspark.sql import functions as F
@@ -36,7 +37,6 @@ def test_epoch_order_and_repeat(spark):
 
 def test_predictions_sink_overwrites_only_its_days(spark, tmp_path):
     path = str(tmp_path / "pred")
-    import datetime as dt
     d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
     SC.write_predictions(spark.createDataFrame([(d1, "a", 0.1), (d2, "b", 0.2)], "ds date, sample_id string, p double"), path)
     SC.write_predictions(spark.createDataFrame([(d2, "c", 0.3)], "ds date, sample_id string, p double"), path)
@@ -58,6 +58,27 @@ def test_daily_ingest_idempotent(spark, sf_small, tmp_path):
     assert again == first
 
 
+def test_daily_ingest_adds_a_late_file_once(spark, tmp_path):
+    src, out = tmp_path / "src", str(tmp_path / "daily")
+    event = lambda day, i: (dt.datetime(2024, 1, day), "click", float(i))
+    schema = "ts timestamp, event_type string, value double"
+
+    def add(name, rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / name))
+        part = next((tmp_path / name).glob("part-*.parquet"))
+        src.mkdir(exist_ok=True)
+        (src / f"{name}.parquet").write_bytes(part.read_bytes())
+
+    add("a", [event(1, 1), event(1, 2)])
+    add("b", [event(2, 3)])
+    types = spark.createDataFrame([], schema).schema
+    ingest_daily(spark, str(src), types, "*.parquet", out_dir=out, max_files=1)
+    add("c", [event(1, 4)])
+    ingest_daily(spark, str(src), types, "*.parquet", out_dir=out, max_files=1)
+    got = sorted((str(r.ds), r.n, r.value) for r in read_daily(spark, out).collect())
+    assert got == [("2024-01-01", 3, 7.0), ("2024-01-02", 1, 3.0)]
+
+
 def test_shard_groups_from_file_names(spark, tmp_path):
     path = str(tmp_path / "day")
     spark.range(40).repartition(4).write.parquet(path)          # part-00000 … part-00003
