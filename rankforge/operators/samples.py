@@ -125,7 +125,7 @@ def pref_tfidf(df: DataFrame, user: str, attr: str) -> DataFrame:
     ua = df.groupBy(user, attr).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(user)
     tf = ua.withColumn("_tf", F.col("_n") / F.sum("_n").over(w))
-    n_users = df.select(user).distinct().count()
+    n_users = ua.agg(F.count_distinct(user).alias("_users"))   # one row
     dfreq = ua.groupBy(attr).agg(F.count(F.lit(1)).alias("_df"))
-    return tf.join(dfreq, attr).select(user, attr, (F.col("_tf") * F.log(F.lit(float(n_users)) / F.col("_df")))
-                                       .alias("tfidf"))
+    return tf.join(dfreq, attr).crossJoin(F.broadcast(n_users)).select(
+        user, attr, (F.col("_tf") * F.log(F.col("_users").cast("double") / F.col("_df"))).alias("tfidf"))

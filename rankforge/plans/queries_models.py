@@ -157,20 +157,26 @@ def q_shared_embed(spark, sf):
     return sp.select("sample_id", r(aff, "nation_affinity"))
 
 
+#: Components of the stored embeddings.
+WARM_D = 64
+
+
 @query("warm_embed", sql=f"""
 SELECT b.b AS bucket, CAST(t.d AS BIGINT) AS dim,
        round(coalesce(CAST(e.embedding[t.d + 1] AS DOUBLE), {Q.init_value(str(TOUID_FID), 'b.b', 't.d')}), 6) AS value
-FROM range(1000) b(b) CROSS JOIN range({D}) t(d) LEFT JOIN embeddings e ON e.vec_id = b.b""")
+FROM (SELECT range AS b FROM range(1000) UNION SELECT vec_id FROM embeddings) b
+CROSS JOIN range({WARM_D}) t(d) LEFT JOIN embeddings e ON e.vec_id = b.b""")
 def q_warm_embed(spark, sf):
-    """Initial table for the 1000 touid buckets, overwritten by a pretrained
-    table (first 4 components of each stored embedding, keyed by vec_id)."""
-    spec = _spec()
-    fields = id_fields(spec, {"touid_h"})
-    init = param_table(spark, fields, dim=D, with_bias=False)
+    """Initial table for the 1000 touid buckets and every id of the pretrained
+    table, overwritten by that (the stored embeddings, keyed by vec_id)."""
+    fields = id_fields(_spec(), {"touid_h"})
+    init = param_table(spark, fields, dim=WARM_D, with_bias=False).select("fid", "bucket", "vec")
     e = read_table(spark, sf, "embeddings", ["vec_id", "embedding"])
     pre = e.select(F.lit(TOUID_FID).cast("bigint").alias("fid"), F.col("vec_id").alias("bucket"),
-                   F.slice(F.col("embedding").cast("array<double>"), 1, D).alias("vec"))
-    w = warm_start(init, pre)
+                   F.col("embedding").cast("array<double>").alias("vec"))
+    more = pre.select("fid", "bucket").distinct().join(init, ["fid", "bucket"], "left_anti").withColumn(
+        "vec", F.array(*[init_value(F.col("fid"), F.col("bucket"), d) for d in range(WARM_D)]))
+    w = warm_start(init.unionByName(more), pre)
     return w.select("bucket", F.posexplode("vec").alias("dim", "value")).select(
         "bucket", F.col("dim").cast("bigint").alias("dim"), r(F.col("value"), "value"))
 

@@ -243,9 +243,9 @@ def q_peek_features(spark, sf):
 
 
 @query("predict_batch", sql=with_ctes(*LR_SCORED_SQL, body="""
-SELECT ds, sample_id, round(p, 6) AS p FROM scored_p WHERE year(ds) = 2000"""))
+SELECT ds, sample_id, round(p, 6) AS p FROM scored_p WHERE ds BETWEEN DATE '2000-01-01' AND DATE '2000-12-31'"""))
 def q_predict_batch(spark, sf):
     """The prediction table written for a test period, partitioned by day
     (``sources.scans.write_predictions``)."""
-    s = _li_scored(spark, sf).where(F.year("ds") == 2000)
+    s = _li_scored(spark, sf).where("ds between date'2000-01-01' and date'2000-12-31'")
     return s.select("ds", "sample_id", r(F.col("p"), "p"))
