@@ -18,12 +18,23 @@ from rankforge.llm import bpe, language_id, ngram_join, pii, source_mix
 from rankforge.llm.common import cut, table
 
 
+def aside(docs: DataFrame, names: list[str]) -> DataFrame:
+    """Columns that a stage would replace, under other names."""
+    return docs.withColumnsRenamed({c: f"_aside_{c}" for c in docs.columns if c in names})
+
+
+def back(docs: DataFrame, names: list[str], columns: list[str]) -> DataFrame:
+    """The given columns, those put ``aside`` under their own names again."""
+    return docs.select(*(F.col(f"_aside_{c}" if c in names else c).alias(c) for c in columns))
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the models know. The models learn from the
     documents that are not held out; what they reject goes (text without a
     letter, or unlike every language)."""
     models = language_id.fit_language_models(docs.filter(~language_id.held_out(F.col("doc_id"))))
-    return language_id.classify(docs, models).filter("not rejected").select(*docs.columns)
+    new = ["lang_pred", "score", "cross_entropy", "rejected"]
+    return back(language_id.classify(aside(docs, new), models).filter("not rejected"), new, docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,29 +42,30 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Jaccard similarity 90 %): the one with the smallest doc_id; of rows that
     share it (repeated or conflicting ones), the first by content."""
     parts = ngram_join.ngram_components(docs, n=3, threshold=90)
-    first = parts.select(F.xxhash64("component_id").alias("_k"), "component_id").distinct()
+    first = parts.select(F.xxhash64("component_id").alias("_k"), F.col("component_id").alias("_first")).distinct()
     same = F.struct(*(F.col(c) for c in docs.columns))
     kept = docs.withColumn("_k", F.xxhash64("doc_id")).join(first, "_k") \
-        .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return kept.groupBy("_k", "doc_id").agg(F.min(same).alias("row")).select("row.*")
+        .filter(F.col("doc_id").eqNullSafe(F.col("_first")))
+    return kept.groupBy("_k", "doc_id").agg(F.min(same).alias("_row")).select("_row.*")
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with each span of personal data replaced by its kind."""
-    clean = pii.redact(pii.find_pii(docs)).withColumn("n_chars", F.length("text").cast("long"))
-    return clean.select(*docs.columns)
+    clean = pii.redact(pii.find_pii(aside(docs, ["pii"]))).withColumn("n_chars", F.length("text").cast("long"))
+    return back(clean, ["pii"], docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it; the one per source that is
     taken in part ends after these words. Equal rows are told apart by number."""
     equal = Window.partitionBy("_k").orderBy("doc_id", "source")
-    plan = source_mix.mix_sources(docs).select(F.col("row_key").alias("_k"), "doc_id", "source", "copies", "part_words") \
+    plan = source_mix.mix_sources(docs).select(
+        F.col("row_key").alias("_k"), "doc_id", "source", F.col("copies").alias("_copies"), F.col("part_words").alias("_part")) \
         .withColumn("_m", F.row_number().over(equal)).drop("doc_id", "source")
     words = F.array_remove(F.split("text", source_mix.SPACE), "")
-    part = F.array_join(F.slice(words, F.lit(1), F.col("part_words").cast("int")), " ")
-    texts = F.concat(F.array_repeat(F.col("text"), F.col("copies").cast("int")),
-                     F.when(F.col("part_words") > 0, F.array(part)).otherwise(F.array().cast("array<string>")))
+    part = F.array_join(F.slice(words, F.lit(1), F.col("_part").cast("int")), " ")
+    texts = F.concat(F.array_repeat(F.col("text"), F.col("_copies").cast("int")),
+                     F.when(F.col("_part") > 0, F.array(part)).otherwise(F.array().cast("array<string>")))
     rows = docs.withColumn("_k", source_mix.row_key()).withColumn("_n", F.row_number().over(equal))
     # both inequalities instead of an equality: the join then keeps the partitions of the window
     return rows.join(plan, "_k").filter("_n <= _m and _n >= _m").withColumn("text", F.explode(texts)) \

@@ -5,6 +5,7 @@ import duckdb
 import public_tokenizers as P
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from test_ngram_join import brute
 from test_pii import base
 
@@ -71,3 +72,16 @@ def test_all_are_registered():
     names = __spark_entry__.queries()
     assert {f"op{i}" for i in range(1, 11)} == {n.split("_")[0] for n in queries.QUERIES}
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
+
+
+def test_stages_with_clashing_columns_and_empty_tables(spark, sf_small):
+    names = ["score", "rejected", "pii", "copies", "part_words", "component_id", "key", "sigs", "target", "size", "row"]
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").limit(40)
+    for i, c in enumerate(names):
+        docs = docs.withColumn(c, F.lit(i))
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), sf_small).collect() == []
+        out = stage(spark, docs, sf_small)
+        if name != "byte_bpe":
+            assert out.columns == docs.columns
+            assert all(tuple(r[c] for c in names) == tuple(range(len(names))) for r in out.collect())
