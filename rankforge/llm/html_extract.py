@@ -37,10 +37,11 @@ DROPPED = set("head nav footer aside form fieldset dialog menu".split())
 MAIN = {"article", "main"}
 
 # Words in class, id and role that name something other than the article.
-NAMES = set("""ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments
-commentlist complementary consent contentinfo cookie cookies copyright disqus footer gdpr masthead menu modal nav navbar
-navigation newsletter notice notices pagination pager popup promo promoted promotion related replies reply respond
-search share sharing sidebar signup skip social sponsor sponsored subscribe teaser toolbar widget widgets""".split())
+NAMES = set("""ad ads adv advert adverts advertisement advertising adsense alert banner breadcrumb breadcrumbs comment
+comments commentlist complementary consent contentinfo cookie cookies copyright disclaimer disqus footer gdpr login
+masthead menu modal nav navbar navigation newsletter notice notices outbrain pagination pager popup promo promoted
+promotion related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe
+taboola teaser toolbar topbar widget widgets""".split())
 COMMENTS = {"comment", "comments", "commentlist", "disqus", "replies", "reply", "respond"}
 
 # Frequent function words of the languages served.
@@ -79,7 +80,8 @@ def _drops(tag: str, attrs: dict[str, str], in_main: bool) -> str:
     if tag in MAIN:
         return ""
     style = attrs.get("style", "").replace(" ", "").lower()
-    if tag in DROPPED or tag == "header" and not in_main or names & NAMES or "hidden" in attrs \
+    page_header = not in_main and (tag == "header" or tag in ("div", "section", "ul") and "header" in names)
+    if tag in DROPPED or page_header or names & NAMES or "hidden" in attrs \
             or attrs.get("aria-hidden") == "true" or "display:none" in style:
         return "other"
     return ""

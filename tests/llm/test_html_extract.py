@@ -22,6 +22,7 @@ def text(page):
     ("<body class='has-sidebar'><p>" + LONG + "</p><aside>s</aside><p>Short.</p></body>", (LONG + "Short.").strip()),
     ("<p>" + "xqz vbn wrt plk " * 12 + "</p><p>tail</p>", ""),
     ("<p a='>' b>t</p", "t"), ("a < b <3", "a < b <3"), ("<!DOCTYPE html><?x y?>z<![CDATA[c]]>", "z"),
+    ("<div class='site header'><p>" + LONG + "</p></div><p>" + LONG + "</p>", LONG.strip()),
     ("<span class=ad>no</span>yes", "yes"), ("<article><p><i>a<p>b</i>c</article>d", "a bc"),
 ])
 def test_pages(page, want):
