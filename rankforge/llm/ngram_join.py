@@ -18,9 +18,9 @@ when ``100 * |A n B| >= threshold * |A u B|``.
    ``block_tokens`` n-grams is cut into chunks, one task for each pair of
    chunks, so no task holds an unbounded cluster and no pair is missed.
 
-Nothing is capped or sampled. Hash equality of 64-bit n-grams stands for
-equality; within one pair of documents of 10^4 n-grams an error has
-probability below 10^-11.
+Nothing is capped or sampled. Equality of 64-bit hashes stands for equality of
+n-grams (within a pair of documents of 10^4 n-grams, an error has probability
+below 10^-11) and of whole sets (an error is expected in N^2 / 2^65 of N sets).
 
 Edge cases: null, empty or blank text gives an empty set (0 n-grams), linked
 with nothing; with fewer than n words the whole sequence is the only n-gram;
@@ -39,7 +39,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rankforge.llm.common import connected_components, cut, mix64
 
@@ -128,11 +127,13 @@ def segment_digests(h: np.ndarray, threshold: int, lows: list[int], differ: list
 
 #: Largest set size that the levels cover.
 _TOP = 1 << 34
+#: Hash cells of doc_ids in the prefilter of texts: the most rows it broadcasts.
+_CELLS = 1 << 20
 
 
 def document_sets(docs: DataFrame, n: int, threshold: int, with_sets: bool) -> DataFrame:
     """``(doc_id, n_shingles, key, sigs)`` or, with sets, ``(key, n_shingles,
-    grams)``; key is a 128-bit digest of the set, null for an empty set."""
+    grams)``; key is a 64-bit digest of the set, null for an empty set."""
     sizes = levels(threshold, _TOP)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,7 +144,7 @@ def document_sets(docs: DataFrame, n: int, threshold: int, with_sets: bool) -> D
                 part = b.slice(at, 256)
                 sets = [shingle(t) for t in part.column("text").to_pylist()]
                 size = pa.array([len(s) for s in sets], pa.int64())
-                key = pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())
+                key = pa.array([xxhash.xxh3_64_intdigest(s.tobytes()) - 2**63 if len(s) else None for s in sets], pa.int64())
                 lists = sets if with_sets else [
                     np.concatenate(segment_digests(s, threshold, *sizes) or [none]) if len(s) else none
                     for s in sets]
@@ -156,8 +157,8 @@ def document_sets(docs: DataFrame, n: int, threshold: int, with_sets: bool) -> D
                     names=[*([] if with_sets else ["doc_id"]), "n_shingles", "key", "grams" if with_sets else "sigs"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = "n_shingles long, key binary, grams array<long>" if with_sets else \
-        f"doc_id {kind}, n_shingles long, key binary, sigs array<long>"
+    schema = "n_shingles long, key long, grams array<long>" if with_sets else \
+        f"doc_id {kind}, n_shingles long, key long, sigs array<long>"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
@@ -267,7 +268,11 @@ def ngram_components(docs: DataFrame, n: int = 5, threshold: int = 80,
 
     wanted = stars.select("key").union(stars.select("leader")).distinct()
     reps = classes.select("key", F.col("doc_id").alias("rep")).join(wanted, "key").select("rep").distinct()
-    texts = docs.select("doc_id", "text").join(reps, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
+    # most texts are in no block: a broadcast of at most _CELLS cell numbers keeps them out of the exchange
+    cell = lambda col: F.pmod(F.xxhash64(col), F.lit(_CELLS))
+    cells = reps.select(cell("rep").alias("cell")).distinct()
+    texts = docs.select("doc_id", "text").join(F.broadcast(cells), cell("doc_id") == F.col("cell"), "left_semi") \
+        .join(reps, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
     grams = cut(document_sets(texts, n, threshold, with_sets=True)
                 .join(wanted, "key", "left_semi").dropDuplicates(["key"]))
 
@@ -323,4 +328,4 @@ def _open_links(left: DataFrame, grams: DataFrame, threshold: int, block_tokens:
         return pd.DataFrame({"u": [key[a] for a, _ in found], "v": [key[b] for _, b in found]})
 
     return placed.groupBy("cluster", "i", "j").applyInPandas(
-        settle, T.StructType([T.StructField("u", T.BinaryType()), T.StructField("v", T.BinaryType())]))
+        settle, "u long, v long")
