@@ -174,7 +174,7 @@ def encoder(lines: bytes, pattern: str) -> MergeReplay:
     return MergeReplay(lines, pattern)
 
 
-def bpe_encode(docs: DataFrame, rank_file: str, pattern: str, with_ids: bool = True, pieces_kept: int = 700_000,
+def bpe_encode(docs: DataFrame, rank_file: str, pattern: str, with_ids: bool = True, pieces_kept: int = 450_000,
                group_chars: int = 4_000_000) -> DataFrame:
     """``docs`` plus ``n_tokens``, ``ids_sha256`` (of the decimal ids joined by
     one space), ``decoded_sha256`` (of the bytes decoded from the ids) and, with
