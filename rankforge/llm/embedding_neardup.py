@@ -6,9 +6,11 @@ space is cut into two halves with a random code of unit vectors each, and every
 pair of codewords is a direction. So a vector is list-decoded: the codewords of
 one half in order of their products, and for each those of the other half that
 bring the sum over the bound. Vectors that share a filter are compared, by
-cosine in double precision. ``TABLES`` rotations; in each, the number of
-filters grows with the number of vectors, so that a filter holds about
-``per_filter`` of them, and the bound is set for ``hits`` filters per vector.
+cosine in double precision. In each rotation the number of filters grows with
+the number of vectors, so that a filter holds about ``per_filter`` of them, and
+the bound is set for ``hits`` filters per vector; a vector in none takes its
+``hits`` best ones. ``TABLES`` rotations, and more of them where the chance that
+two vectors at the threshold share a filter would be below ``recall``.
 
 Equal vectors are one class with a count. A filter of more than ``block``
 classes is cut into chunks, one task for each pair of chunks. A pair found in
@@ -25,7 +27,7 @@ columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from statistics import NormalDist
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -37,6 +39,8 @@ from pyspark.sql import functions as F
 from rankforge.llm.common import connected_components, cut
 
 TABLES = 4
+#: Pairs of random vectors, in each of TABLES rotations, that the recall is computed from.
+_PAIRS = 500
 
 
 def usable(v: list[float | None] | None) -> np.ndarray | None:
@@ -52,37 +56,87 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=-1, keepdims=True))
 
 
+def cap_bound(dim: int, share: float) -> float:
+    """The component along a fixed direction that this share of random unit
+    vectors exceeds: its angle has a density of sin^(dim - 2)."""
+    if dim == 1:
+        return np.inf  # only two vectors: all take their best filters
+    mid = (np.arange(1 << 17) + 0.5) * (np.pi / (1 << 17))
+    upto = np.cumsum(np.exp((dim - 2) * np.log(np.sin(mid))))
+    return float(np.cos(np.interp(share, upto / upto[-1], mid + np.pi / (1 << 18))))
+
+
 class ProductCode:
     """Filters of vectors of ``dim`` components in one rotation."""
 
     def __init__(self, dim: int, words: int, hits: float, seed: int):
         rng = np.random.default_rng([seed, dim])
-        self.turn = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
+        self.dim, self.words, self.seed = dim, words, seed
         self.cut = dim // 2 if dim > 1 else 1
         self.codes = [c / np.linalg.norm(c, axis=1, keepdims=True)
                       for c in (rng.standard_normal((words, max(1, n))) for n in (self.cut, dim - self.cut))]
-        self.words = words
-        # a direction's product with a random unit vector has a spread of sqrt(1 / dim)
-        self.bound = NormalDist().inv_cdf(1 - min(0.5, hits / words**2)) / np.sqrt(dim) * np.sqrt(2)
+        self.best = min(words, int(np.ceil(hits)))
+        # a pair of unit codewords is a direction of length sqrt(2)
+        self.bound = cap_bound(dim, min(0.5, hits / words**2)) * np.sqrt(2)
+
+    @cached_property
+    def turn(self) -> np.ndarray:
+        rng = np.random.default_rng([self.seed, self.dim, 1])
+        return np.linalg.qr(rng.standard_normal((self.dim, self.dim)))[0]
 
     def decode(self, x: np.ndarray) -> list[np.ndarray]:
-        """Filter numbers of each row: all pairs of codewords over the bound."""
-        x = x @ self.turn
+        """Filter numbers of each row: all pairs of codewords over the bound, or the best ones if there is none."""
+        return self.decode_turned(x @ self.turn)
+
+    def decode_turned(self, x: np.ndarray) -> list[np.ndarray]:
         a = x[:, :self.cut] @ self.codes[0].T
         b = x[:, self.cut:] @ self.codes[1].T if self.cut < x.shape[1] else np.zeros((len(x), self.words))
-        order = np.argsort(-b, axis=1)
+        order = np.argsort(-b, axis=1, kind="stable")
         out = []
         for i in range(len(x)):
             falling = -b[i, order[i]]
             n = np.searchsorted(falling, a[i] - self.bound, "right")
             first = np.repeat(np.arange(self.words), n)
             second = np.arange(len(first)) - np.repeat(np.cumsum(n) - n, n)
+            if not len(first):  # the best sums are among the best words of either half
+                top = np.argsort(-a[i], kind="stable")[:self.best]
+                sums = (a[i, top][:, None] - falling[None, :self.best]).ravel()
+                at = np.argsort(-sums, kind="stable")[:self.best]
+                first, second = top[at // self.best], at % self.best
             out.append(first * self.words + order[i][second])
         return out
 
 
+def shared_by(dim: int, words: int, hits: float, seed: int, cosine: float, pairs: int = _PAIRS) -> float:
+    """Share of random pairs at this cosine that have a filter in common in one rotation."""
+    rng, met = np.random.default_rng([seed, dim, 2]), 0
+    for t in range(TABLES):
+        code = ProductCode(dim, words, hits, seed + t)
+        x, y = (unit(rng.standard_normal((pairs, dim))) for _ in range(2))
+        if dim > 1:
+            y = unit(y - (x * y).sum(axis=1, keepdims=True) * x)
+            y = cosine * x + np.sqrt(max(0.0, 1 - cosine**2)) * y
+        else:
+            y = x
+        # random pairs need no rotation
+        met += sum(len(np.intersect1d(f, g)) > 0 for f, g in zip(code.decode_turned(x), code.decode_turned(y)))
+    return met / (TABLES * pairs)
+
+
+def tables(dim: int, words: int, hits: float, seed: int, threshold: float, recall: float) -> int:
+    """How many rotations it takes to link two vectors at the threshold with a
+    chance of ``recall``. Under a random rotation every pair at a cosine has the
+    same chance, independent of the other rotations."""
+    missed = 1 - shared_by(dim, words, hits, seed, threshold)
+    if missed == 0:
+        return TABLES
+    if missed == 1:
+        raise ValueError(f"no filters for vectors of {dim} components at a cosine of {threshold}")
+    return max(TABLES, int(np.ceil(np.log(1 - recall) / np.log(missed))))
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9, per_filter: float = 200.0, hits: float = 12.0,
-                    block: int = 1024, seed: int = 11) -> DataFrame:
+                    block: int = 1024, seed: int = 11, recall: float = 0.999) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for ``vectors(vec_id, embedding)``."""
     kind = vectors.schema["vec_id"].dataType.simpleString()
 
@@ -100,6 +154,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, per_filter: floa
         F.first("vec").alias("vec"), F.count("*").alias("copies"))
     n = classes.count()
     words = max(8, int(np.ceil(np.sqrt(n * hits / per_filter))))
+    dims = [r[0] for r in classes.select(F.size("vec")).distinct().collect()]
+    turns = {dim: tables(dim, words, hits, seed, threshold, recall) for dim in dims}
+    most = max(turns.values(), default=TABLES)
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes: dict[int, list[ProductCode]] = {}
@@ -108,12 +165,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, per_filter: floa
             dims = pdf["vec"].map(len).to_numpy()
             for dim in np.unique(dims).tolist():
                 if dim not in codes:
-                    codes[dim] = [ProductCode(dim, words, hits, seed + t) for t in range(TABLES)]
+                    codes[dim] = [ProductCode(dim, words, hits, seed + t) for t in range(turns[dim])]
                 at = np.flatnonzero(dims == dim)
                 x = unit(np.stack(pdf["vec"].to_numpy()[at]).astype(np.float64))
                 for t, code in enumerate(codes[dim]):
                     for i, found in zip(at, code.decode(x)):
-                        out[i].append((dim * TABLES + t) * words * words + found)
+                        out[i].append((dim * most + t) * words * words + found)
             yield pdf.assign(filters=[np.sort(np.concatenate(x)) for x in out])
 
     coded = cut(classes.mapInPandas(decode, "key binary, vec array<double>, copies long, filters array<long>"))

@@ -51,3 +51,29 @@ def test_list_decoding_is_exact():
     for v, found in zip(y, code.decode(x)):
         s = (v[:32] @ code.codes[0].T)[:, None] + (v[32:] @ code.codes[1].T)[None, :]
         assert sorted(found.tolist()) == np.flatnonzero((s >= code.bound).ravel()).tolist()
+
+
+def test_recall_with_as_many_filters_as_for_ten_million_vectors(spark):
+    rng, words = np.random.default_rng(8), 775
+    x = E.unit(rng.standard_normal((400, 64)))
+    y = rng.standard_normal((400, 64))
+    y = E.unit(y - (x * y).sum(1, keepdims=True) * x)
+    c = rng.uniform(0.901, 0.92, (400, 1))
+    rows = np.concatenate([x, c * x + np.sqrt(1 - c * c) * y])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in E.near_duplicates(df, per_filter=len(rows) * 12 / words**2).collect()}
+    assert sum(got.values()) >= 0.99 * 800
+
+
+def test_bound_is_that_of_unit_vectors():
+    x = E.unit(np.random.default_rng(1).standard_normal((200_000, 16)))[:, 0]
+    for share in (0.3, 0.01, 0.001):
+        assert abs((x > E.cap_bound(16, share)).mean() / share - 1) < 0.25
+    assert abs(E.cap_bound(3, 0.25) - 0.5) < 1e-4  # in three dimensions the component is uniform
+
+
+def test_every_vector_has_a_filter(spark):
+    code = E.ProductCode(64, 775, 12.0, 3)
+    assert min(map(len, code.decode(E.unit(np.random.default_rng(2).standard_normal((300, 64)))))) > 0
+    df = spark.createDataFrame([(1, [1.0]), (2, [2.0]), (3, [-1.0])], "vec_id long, embedding array<double>")
+    assert {r.vec_id: r.component_id for r in E.near_duplicates(df).collect()} == {1: 1, 2: 1, 3: 3}
