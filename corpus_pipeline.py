@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankforge.llm import bpe, language_id, ngram_join, pii, source_mix
@@ -37,16 +37,26 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return back(language_id.classify(aside(docs, new), models).filter("not rejected"), new, docs.columns)
 
 
+def content_key(docs: DataFrame) -> Column:
+    """What tells rows apart: the doc_id (null ones last), then 128 bits of all columns, and which of them are null."""
+    own = [*(F.col(c) for c in docs.columns), *(F.isnull(c) for c in docs.columns)]
+    return F.struct(F.isnull("doc_id").alias("none"), F.col("doc_id").alias("id"), F.xxhash64(*own).alias("a"),
+                    F.xxhash64(F.lit(1), *own).alias("b"))
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near-duplicates (3-word shingles,
-    Jaccard similarity 90 %): the one with the smallest doc_id; of rows that
-    share it (repeated or conflicting ones), the first by content."""
-    parts = ngram_join.ngram_components(docs, n=3, threshold=90)
-    first = parts.select(F.xxhash64("component_id").alias("_k"), F.col("component_id").alias("_first")).distinct()
-    same = F.struct(*(F.col(c) for c in docs.columns))
-    kept = docs.withColumn("_k", F.xxhash64("doc_id")).join(first, "_k") \
-        .filter(F.col("doc_id").eqNullSafe(F.col("_first")))
-    return kept.groupBy("_k", "doc_id").agg(F.min(same).alias("_row")).select("_row.*")
+    """One row of each component of near-duplicates (3-word shingles, Jaccard
+    similarity 90 %): the one with the smallest doc_id, then the first by
+    content; null doc_ids come last. Rows are told apart by content, so those
+    that share a doc_id, or have none, stay unless their texts are linked.
+    Rows without a word are linked with nothing: all stay."""
+    parts = ngram_join.ngram_components(docs.select(content_key(docs).alias("doc_id"), "text"), n=3, threshold=90)
+    first = parts.filter("doc_id = component_id").groupBy(F.col("doc_id.a").alias("_a"), F.col("doc_id.b").alias("_b")) \
+        .agg(F.sum(F.when(F.col("n_shingles") == 0, 1).otherwise(0)).alias("_blank"))
+    key, same = content_key(docs), F.struct(*(F.col(c) for c in docs.columns))
+    kept = docs.select(key["a"].alias("_a"), key["b"].alias("_b"), same.alias("_row")).join(first, ["_a", "_b"])
+    return kept.groupBy("_a", "_b").agg(F.first("_row").alias("_row"), F.first("_blank").alias("_blank")) \
+        .select("_row", F.explode(F.array_repeat(F.lit(0), F.greatest("_blank", F.lit(1)).cast("int")))).select("_row.*")
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -85,3 +85,17 @@ def test_stages_with_clashing_columns_and_empty_tables(spark, sf_small):
         if name != "byte_bpe":
             assert out.columns == docs.columns
             assert all(tuple(r[c] for c in names) == tuple(range(len(names))) for r in out.collect())
+
+
+def test_near_duplicate_stage_keeps_one_of_each_group_by_content(spark):
+    words = lambda name: [f"{name}{i}" for i in range(60)]
+    text = {x: " ".join(words(x)) for x in "abcdef"}
+    near = " ".join(["new", *words("a")[1:]])
+    rows = [(1, text["a"], "x"), (5, near, "x"), (5, text["b"], "x"),  # 5: a near-copy of 1 and a clean text
+            (None, text["c"], "x"), (None, text["d"], "x"), (None, text["e"], "x"), (None, text["e"], "x"), (None, text["e"], "y"),
+            (None, near, "x"), (7, text["f"], None), (7, text["f"], None), (8, None, "x"), (8, None, "x"), (None, None, "x"), (None, " ", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = sorted((tuple(r) for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect()), key=str)
+    assert sum(r[1] == text["e"] for r in got) == 1
+    assert [r for r in got if r[1] != text["e"]] == sorted(
+        [rows[0], rows[2], rows[3], rows[4], rows[9], *rows[11:]], key=str)
