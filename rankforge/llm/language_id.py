@@ -4,10 +4,13 @@ One interpolated Kneser-Ney model per language over lower-cased letters (any
 run of other characters is one space). An n-gram of up to four characters packs
 into 64 bits (16 bits a character; characters beyond the basic plane share one
 code). The corpus is counted in Spark: each task counts its n-grams per
-language, one aggregate adds them up. Only n-gram *types* reach the driver, at
-most ``model_grams`` of them (the most frequent ones of each language, by a
-count threshold; the rest is scored by back-off like any unseen n-gram), so the
-broadcast model has a fixed bound: 32 bytes + 8 bytes per language for each.
+language, one aggregate adds them up. Every n-gram *type* reaches the driver and
+is in the broadcast model, which grows with the number of types: about 32 bytes
++ 16 bytes per language for each. Only a caller that gives ``model_grams``
+prunes the four-character n-grams, after discounts, continuation counts and
+totals are made from all of them: each language keeps its most frequent ones,
+the probability of the others goes to their contexts' back-off, and the
+cross-entropy of the training text is that of the pruned model on all counts.
 
 The models are sorted hash arrays: all n-grams of an order by ascending 64-bit
 hash, with one row of probabilities per language. A text's cross-entropy is the
@@ -29,7 +32,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankforge.llm.common import mix64
@@ -155,7 +158,8 @@ class HashArray:
 class LanguageModels:
     """Kneser-Ney models of several languages over shared sorted hash arrays."""
 
-    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]]):
+    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]], most: int | None = None):
+        """Ascending n-grams and their counts per language, of which at most ``most`` keep a probability of their own."""
         self.langs = sorted(counts)
         self.grams: list[HashArray] = []
         self.prob: list[np.ndarray] = []
@@ -166,19 +170,32 @@ class LanguageModels:
         for n in range(1, ORDER + 1):
             keys = np.unique(np.concatenate([types[x][n - 1][0] for x in self.langs] or [np.empty(0, np.uint64)]))
             ctx = np.unique(keys >> _CODE)
-            grams, contexts = HashArray(keys), HashArray(ctx)
+            contexts = HashArray(ctx)
             own, back = np.zeros((len(keys), len(self.langs))), np.ones((len(ctx), len(self.langs)))
+            has = np.zeros(len(keys), bool)
             for i, lang in enumerate(self.langs):
                 k, c = types[lang][n - 1]
                 once, twice = np.count_nonzero(c == 1), np.count_nonzero(c == 2)
                 d = once / (once + 2 * twice) if once and twice else 0.5
                 h, which = np.unique(k >> _CODE, return_inverse=True)
                 total = np.bincount(which, c)
-                own[np.searchsorted(keys, k), i] = np.maximum(c - d, 0) / total[which]
+                share = np.maximum(c - d, 0) / total[which]
                 gamma = d * np.bincount(which) / total
+                if n == ORDER and most is not None and most < len(k):
+                    pruned = np.lexsort((mix64(k), -c))[most:]
+                    gamma += np.bincount(which[pruned], share[pruned], len(h))
+                    share[pruned] = 0
+                    kept = np.ones(len(k), bool)
+                    kept[pruned] = False
+                    has[np.searchsorted(keys, k[kept])] = True
+                else:
+                    has[np.searchsorted(keys, k)] = True
+                own[np.searchsorted(keys, k), i] = share
                 back[np.searchsorted(ctx, h), i] = gamma
                 if n == 1:
                     self.floor[i] = gamma[0] / (1 << 16)
+            keys, own = (keys, own) if has.all() else (keys[has], own[has])
+            grams = HashArray(keys)
             if n == 1:
                 prob = own + self.floor
             else:
@@ -192,7 +209,7 @@ class LanguageModels:
         self.mean, self.spread = np.zeros(len(self.langs)), np.zeros(len(self.langs))
         for i, lang in enumerate(self.langs):
             k, c = counts[lang]
-            x = -self.log[self.grams[-1].find(k), i]
+            x = np.concatenate([-self.log_prob(k[at:at + 500_000])[:, i] for at in range(0, len(k), 500_000)])
             self.mean[i] = (x * c).sum() / c.sum()
             self.spread[i] = np.sqrt((c * (x - self.mean[i]) ** 2).sum() / c.sum())
 
@@ -269,28 +286,20 @@ class LanguageModels:
         return lang, score, entropy
 
 
-def fit_language_models(docs: DataFrame, model_grams: int = 1 << 21) -> LanguageModels:
-    """Models of every non-null ``lang`` in ``docs(text, lang)``."""
-    counts = count_grams(docs).persist()
-    try:
-        langs = max(1, counts.select("lang").distinct().count())
-        # per language: how many types have a count of n (few rows) -> least count that keeps the share
-        of_counts = counts.groupBy("lang", "n").agg(F.count("*").alias("types"))
-        more = Window.partitionBy("lang").orderBy(F.desc("n"))
-        least = of_counts.withColumn("upto", F.sum("types").over(more)).filter(
-            F.col("upto") <= max(1, model_grams // langs)).groupBy("lang").agg(F.min("n").alias("least"))
-        got = counts.join(least, "lang").filter("n >= least").select("lang", "gram", "n").toArrow()
-    finally:
-        counts.unpersist()
-    lang = got.column("lang").to_numpy(zero_copy_only=False)
+def fit_language_models(docs: DataFrame, model_grams: int | None = None) -> LanguageModels:
+    """Models of every non-null ``lang`` in ``docs(text, lang)``; with
+    ``model_grams``, of about so many four-character n-grams at most, but one of each language at least."""
+    got = count_grams(docs).select("lang", "gram", "n").toArrow().combine_chunks()
+    lang = pa.concat_arrays([pa.array([], pa.string()), *got.column("lang").chunks]).dictionary_encode()
+    names, which = lang.dictionary.to_pylist(), lang.indices.to_numpy()
     gram = got.column("gram").to_numpy().view(np.uint64)
     n = got.column("n").to_numpy()
     out = {}
-    for x in sorted(set(lang.tolist())):
-        mine = lang == x
+    for i, x in enumerate(names):
+        mine = which == i
         order = np.argsort(gram[mine])
         out[x] = (gram[mine][order], n[mine][order])
-    return LanguageModels(out)
+    return LanguageModels(out, None if model_grams is None else max(1, model_grams // max(1, len(out))))
 
 
 def classify(docs: DataFrame, models: LanguageModels, slack: float = 4.0, margin: float = 0.5,

@@ -68,3 +68,29 @@ def test_model_bound_keeps_the_most_frequent(spark):
     df = spark.createDataFrame([("abc " * 50 + "xyz", "q")], "text string, lang string")
     small, whole = L.fit_language_models(df, model_grams=4), L.fit_language_models(df)
     assert len(small.grams[-1].hashes) <= 4 < len(whole.grams[-1].hashes)
+
+
+def test_pruning_comes_after_the_statistics():
+    c = {"x": counts(["the cat sat on the mat", "a cat ate the hat"]), "y": counts(["der hund und die katze"])}
+    whole, small = L.LanguageModels(c), L.LanguageModels(c, 3)
+    assert 3 <= len(small.grams[-1].hashes) <= 6
+    for n in range(L.ORDER - 1):  # lower orders are those of all counts
+        assert (whole.grams[n].hashes == small.grams[n].hashes).all() and np.allclose(whole.prob[n], small.prob[n])
+    for context in ("the", "cat", "zzz"):
+        base = sum(ord(x) << 16 * (2 - i) for i, x in enumerate(context)) << 16 & (2**64 - 1)
+        p = np.exp(small.log_prob(np.arange(1 << 16).astype(np.uint64) | np.uint64(base)))
+        assert (p > 0).all() and np.allclose(p.sum(0), 1)
+    for i, x in enumerate(small.langs):  # the fit is calibrated on all counts
+        k, n = c[x]
+        assert np.isclose(small.mean[i], -(small.log_prob(k)[:, i] * n).sum() / n.sum())
+
+
+def test_no_language_or_type_is_left_out(spark):
+    rng = np.random.default_rng(2)
+    text = "".join(map(chr, rng.integers(0x4E00, 0x9FA0, 1_200_000)))  # all n-grams once, more than 2^20 types
+    df = spark.createDataFrame([(text, "z"), ("the cat sat on the mat " * 9, "en")], "text string, lang string")
+    models = L.fit_language_models(df)
+    assert models.langs == ["en", "z"]
+    assert len(models.grams[-1].hashes) > 1_190_000
+    assert L.fit_language_models(df, model_grams=2).langs == ["en", "z"]
+    assert models.predict([text[:200]], 4.0, 0.5)[0] == ["z"]
