@@ -99,8 +99,8 @@ def levels(threshold: int, top: int, ratio: float = 1.3) -> tuple[list[int], lis
 
 def segment_digests(h: np.ndarray, threshold: int, lows: list[int], differ: list[int],
                     segments: list[int]) -> list[np.ndarray]:
-    """Digests of a set's hash segments, at its level and, where a partner may
-    be in it, the next lower level. Levels where linked sets are equal give
+    """Digests of a set's hash segments, at its level and at each lower level
+    that a partner may be in. Levels where linked sets are equal give
     none. Linked sets agree on n - k segments or more; if so many are empty, the
     set is cut again under the next seed, and so is any partner it shares no
     other segment with."""
@@ -108,8 +108,10 @@ def segment_digests(h: np.ndarray, threshold: int, lows: list[int], differ: list
     size = len(h)
     home = int(np.searchsorted(lows, size, "right")) - 1
     least = -(-size * threshold // 100)
-    for level in (home, home - 1):
-        if level < 0 or (level < home and least >= lows[home]) or not segments[level]:
+    for level in range(home, -1, -1):
+        if level < home and least >= lows[level + 1]:
+            break
+        if not segments[level]:
             continue
         n, seed, at = segments[level], 0, h
         while True:

@@ -113,3 +113,14 @@ def test_linked_sets_share_a_segment(size, change, seed):
     if 100 * k >= 90 * (len(a) + len(b) - k) and not np.array_equal(a, b):
         x, y = (set(np.concatenate(J.segment_digests(s, 90, *sizes)).tolist()) for s in (a, b))
         assert x & y
+
+
+@pytest.mark.parametrize("t", [70, 75, 76, 80, 90])
+def test_sets_at_the_size_bound_share_a_segment(t):
+    rng, sizes = np.random.default_rng(t), J.levels(t, 10_000)
+    for size in range(2, 300):
+        large = np.unique(rng.integers(0, 2**63, size).astype(np.uint64) * np.uint64(2))
+        small = np.sort(rng.permutation(large)[:-(-size * t // 100)])
+        if len(small) < len(large):
+            x, y = (set(np.concatenate(J.segment_digests(s, t, *sizes)).tolist()) for s in (small, large))
+            assert x & y, (len(small), len(large))
