@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -60,3 +61,18 @@ def test_frame(spark, sf_small, reference):
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
     assert bpe.bpe_encode(df.limit(0), FILE, P.PATTERN, with_ids=False).collect() == []
+
+
+def test_words_of_texts(replay):
+    split = replay.pattern.findall
+    texts = random_texts(400) + ["", None, "a b\nc", "a  b", " a", "a ", "\n", "one two\nthree"] * 3
+    words, firsts = bpe.words_of(pa.array(texts, pa.string()), split)
+    words = words.to_pylist()
+    assert [words[a:b] for a, b in zip(firsts, firsts[1:])] == [bpe.chunks(t, split) if t else [] for t in texts]
+
+
+def test_shared_words_and_memory_change_no_result(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text")
+    want = sorted(bpe.bpe_encode(docs, FILE, P.PATTERN, with_ids=False).collect())
+    for setting in ({"shared_words": 0, "words_kept": 1, "group_chars": 20_000}, {"shared_words": 300, "words_kept": 400}):
+        assert sorted(bpe.bpe_encode(docs, FILE, P.PATTERN, with_ids=False, **setting).collect()) == want
