@@ -321,8 +321,8 @@ def frequent_words(docs: DataFrame, lines, pattern: str, shared_words: int, grou
         replay, "word string, ids array<int>")
 
 
-def bpe_encode(docs: DataFrame, rank_file: str, pattern: str, with_ids: bool = True, shared_words: int = 200_000,
-               words_kept: int = 400_000, group_chars: int = 8_000_000) -> DataFrame:
+def bpe_encode(docs: DataFrame, rank_file: str, pattern: str, with_ids: bool = True, shared_words: int = 120_000,
+               words_kept: int = 300_000, group_chars: int = 2_500_000) -> DataFrame:
     """``docs`` plus ``n_tokens``, ``ids_sha256`` (of the decimal ids joined by
     one space), ``decoded_sha256`` (of the bytes decoded from the ids) and, with
     ids, ``ids``. The rank file is read once on the driver and broadcast (its

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankforge.llm import (bpe, embedding_neardup, html_extract, language_id, ngram_join, pii, quality, source_mix,
-                           url_filter, warc_fixity)
+from rankforge.llm import (block_topk, bpe, embedding_neardup, html_extract, language_id, lexical_search, ngram_join, pii,
+                           prefix_trie, quality, source_mix, url_filter, warc_fixity)
 from rankforge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -200,3 +200,77 @@ ORACLES["op4_warc_fixity"] = _warc_sql()
 def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@_register
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.trie(*prefix_trie.lent_prefixes(table(spark, sf_dir, "conversations")))
+
+
+ORACLES["op11_prefix_trie"] = r"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos,
+             length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '') AS item, length(coalesce(text, '')) AS size
+      FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS b, 4294967295 - list_reduce(
+             list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+                 lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+             lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END) AS crc
+      FROM (SELECT DISTINCT conv_id FROM t)),
+h AS (SELECT conv_id, b, crc % 6 AS h FROM c),
+r AS (SELECT h.conv_id, t.pos, 0 AS own, item, size FROM h JOIN t ON t.conv_id = h.b AND t.pos <= h.h
+      UNION ALL SELECT h.conv_id, t.pos, 1, item, size FROM h JOIN t ON t.conv_id = h.conv_id AND t.pos > h.h),
+s AS (SELECT h.conv_id, coalesce(items, []) AS items, coalesce(sizes, []) AS sizes FROM h LEFT JOIN (
+      SELECT conv_id, list(item ORDER BY own, pos) AS items, list(size ORDER BY own, pos) AS sizes FROM r GROUP BY conv_id) USING (conv_id)),
+p AS (SELECT conv_id, d AS depth, items[:d] AS prefix, CASE WHEN d = 0 THEN 0 ELSE sizes[d] END AS size, d = len(items) AS ends
+      FROM (SELECT *, unnest(range(0, len(items) + 1)) AS d FROM s)),
+n AS (SELECT prefix, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs, any_value(size) AS size,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256 FROM p GROUP BY prefix),
+k AS (SELECT prefix[:depth - 1] AS prefix, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (prefix)),
+u AS (SELECT prefix[:d] AS prefix, sum((n_children = 0)::BIGINT) AS n_leaves, sum((n_convs - 1) * size) AS saved
+      FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM m) GROUP BY 1)
+SELECT m.conv_id, m.depth, q.conv_id AS parent_conv_id, m.n_convs, m.n_children::BIGINT AS n_children, u.n_leaves::BIGINT AS n_leaves,
+       u.saved::BIGINT AS saved_tokens, m.ends_sha256
+FROM m JOIN u USING (prefix) LEFT JOIN n q ON m.depth > 0 AND q.prefix = m.prefix[:m.depth - 1]
+"""
+
+
+@_register
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op12_lexical_search"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+             lambda t: translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS ts FROM documents),
+i AS (SELECT row_number() OVER () AS iid, item_id, list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+             lambda t: translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS ts FROM benchmark),
+c AS (SELECT count(*) FILTER (WHERE len(ts) > 0) AS n, sum(len(ts))::BIGINT AS l FROM d),
+f AS (SELECT rid, doc_id, n, t, count(*) AS tf FROM (SELECT rid, doc_id, len(ts) AS n, unnest(ts) AS t FROM d) GROUP BY ALL),
+w AS (SELECT t, floor(1000 * ln((2 * c.n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM f, c GROUP BY t, c.n),
+q AS (SELECT iid, item_id, t, count(*) AS times FROM (SELECT iid, item_id, unnest(ts) AS t FROM i) GROUP BY ALL),
+s AS (SELECT iid, item_id, rid, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * f.n * c.n) // c.l))))::BIGINT AS score
+      FROM q JOIN f USING (t) JOIN w USING (t), c GROUP BY ALL),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+
+@_register
+def op13_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten vectors of largest integer inner product for every 100th vector."""
+    return block_topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op13_block_topk"] = """
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT q.rid, q.vec_id AS query_id, c.vec_id, coalesce(list_sum(list_transform(list_zip(q.v, c.v),
+             lambda z: coalesce(z[1], 0) * coalesce(z[2], 0))), 0)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
