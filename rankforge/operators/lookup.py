@@ -75,6 +75,21 @@ def param_table(spark: SparkSession, fields, dim: int = 0, with_bias: bool = Tru
     return t
 
 
+def checked_params(table: DataFrame, fields) -> DataFrame:
+    """A parameter table that a caller passes in, after one count by id: a table
+    with an id twice (samples would multiply) or with more rows than the spec
+    declares (its size bound would not hold) is an error."""
+    known = {fid: n for _, fid, n, *_ in fields}
+    found = table.where(F.col("fid").isin(sorted(known))).groupBy("fid", "bucket").agg(F.count("*").alias("n")) \
+        .groupBy("fid").agg(F.max("n").alias("most"), F.count("*").alias("rows")).collect()
+    for r in found:
+        if r.most > 1:
+            raise ValueError(f"parameter table: an id of table {r.fid} occurs {r.most} times")
+        if r.rows > known[r.fid]:
+            raise ValueError(f"parameter table: {r.rows} ids of table {r.fid}, the spec declares {known[r.fid]}")
+    return table
+
+
 def table_rows(fields, with_bias: bool = True) -> int:
     return sum(f[2] for f in fields) + (1 if with_bias else 0)
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankforge.functions.features import compile_features
-from rankforge.operators.lookup import (ROW_ID, fits_broadcast, gather_columns, gather_pair, id_fields, long_ids,
+from rankforge.operators.lookup import (ROW_ID, checked_params, fits_broadcast, gather_columns, gather_pair, id_fields, long_ids,
                                         maybe_broadcast, param_table, with_row_id)
 from rankforge.spec import FeatureSpec
 
@@ -38,17 +38,27 @@ def init_matrix(fid: int, rows: int, cols: int) -> np.ndarray:
     return ((fid * 7919 + i * 104729 + j * 1299709) % 2001 - 1000) / 10000.0
 
 
-def mlp_params(head: int, sizes, out_bias: bool = False) -> list:
+def dense_param(dense: dict | None, fid: int, rows: int, cols: int) -> np.ndarray:
+    """Dense parameter ``fid`` of a trained model (``{fid: array}``), or its initial values."""
+    if dense is None or fid not in dense:
+        return init_matrix(fid, rows, cols)
+    if dense[fid].shape != (rows, cols):
+        raise ValueError(f"dense parameter {fid} has shape {dense[fid].shape}, the network needs {(rows, cols)}")
+    return dense[fid]
+
+
+def mlp_params(head: int, sizes, out_bias: bool = False, dense: dict | None = None) -> list:
     """Layers for sizes [in, h1, ..., out]: W from fid 1000+10·head+l, bias
     from fid 2000+10·head+l; hidden layers relu; the output layer is linear
-    and (as in the prediction layers) bias-free unless ``out_bias``."""
+    and (as in the prediction layers) bias-free unless ``out_bias``. ``dense``
+    holds trained parameters."""
     layers = []
     n = len(sizes) - 1
     for l in range(n):
-        W = init_matrix(1000 + 10 * head + l, sizes[l], sizes[l + 1])
+        W = dense_param(dense, 1000 + 10 * head + l, sizes[l], sizes[l + 1])
         last = l == n - 1
         b = (np.zeros(sizes[l + 1]) if last and not out_bias
-             else init_matrix(2000 + 10 * head + l, 1, sizes[l + 1])[0])
+             else dense_param(dense, 2000 + 10 * head + l, 1, sizes[l + 1])[0])
         layers.append((W, b, None if last else "relu"))
     return layers
 
@@ -90,12 +100,14 @@ def dense_apply(x: Column, width: int, fn, out_fields) -> Column:
 
 # ---------------------------------------------------------------- sparse → dense inputs
 def sparse_inputs(samples: DataFrame, spec: FeatureSpec, dim: int, lin_fields=(), emb_fields=(),
-                  numeric=(), id_col: str = "sample_id", keep=(), shared: dict | None = None) -> DataFrame:
+                  numeric=(), id_col: str = "sample_id", keep=(), shared: dict | None = None,
+                  params: DataFrame | None = None) -> DataFrame:
     """Per sample: ``lin_<f>`` (Σ linear weights of field f) and
     ``e_<f>_<d>`` (sum-combined embedding of field f); numeric fields get
     ``lin_<c> = x·w`` and ``e_<c>_<d> = x·v``. ``shared`` maps a field to
-    ``(table_fid, n_ids)`` of the one table several fields read (J4). One
-    join, one aggregate."""
+    ``(table_fid, n_ids)`` of the one table several fields read (J4).
+    ``params`` = trained table ``(fid, bucket, w, vec)``; ids it does not hold
+    read zeros. One join, one aggregate."""
     spark = samples.sparkSession
     idx = spec.field_index()
     names = set(lin_fields) | set(emb_fields)
@@ -106,8 +118,11 @@ def sparse_inputs(samples: DataFrame, spec: FeatureSpec, dim: int, lin_fields=()
     tables = cat + [(c, fid, 1, False) for c, fid in num]
     if shared:
         tables += [(f"shared_{t}", t, n, False) for t, n in set(shared.values())]
-    vec_t = param_table(spark, tables, dim=dim, with_bias=False, with_w=True)
-    w_t = param_table(spark, cat + [(c, fid, 1, False) for c, fid in num], with_bias=False)
+    if params is None:
+        vec_t = param_table(spark, tables, dim=dim, with_bias=False, with_w=True)
+        w_t = param_table(spark, cat + [(c, fid, 1, False) for c, fid in num], with_bias=False)
+    else:
+        vec_t = w_t = checked_params(params, tables)
     if fits_broadcast(tables, dim):
         return _sparse_inputs_wide(feats, cat, num, dim, lin_fields, emb_fields, shared or {}, vec_t, w_t,
                                    id_col, keep)
@@ -155,13 +170,10 @@ def _sparse_inputs_wide(feats, cat, num, dim, lin_fields, emb_fields, shared, ve
     for f in lin_fields:
         cols.append(F.coalesce(F.col(f"_w_{f}"), F.lit(0.0)).alias(f"lin_{f}"))
     # numeric fields: one parameter row each (bucket 0) — a bounded summary
-    consts = {}
+    consts = {fid: ([0.0] * dim, 0.0) for _, fid in num}
     if num:
-        rows = vec_t.where(F.col("fid").isin([fid for _, fid in num])).select("fid", "vec").collect()
-        wrow = w_t.where(F.col("fid").isin([fid for _, fid in num])).select("fid", "w").collect()
-        consts = {r.fid: (list(r.vec), None) for r in rows}
-        for r in wrow:
-            consts[r.fid] = (consts.get(r.fid, ([0.0] * dim, None))[0], r.w)
+        for r in vec_t.where(F.col("fid").isin([fid for _, fid in num])).select("fid", "w", "vec").collect():
+            consts[r.fid] = (list(r.vec), r.w)
     for c, fid in num:
         cols.append(F.coalesce(F.col(c).cast("double") * F.lit(float(consts[fid][1])), F.lit(0.0)).alias(f"lin_{c}"))
     for f in emb_fields:
@@ -210,17 +222,19 @@ def fm_layer(emb_fields, dim: int, first_order: str = "sum", weight_fid: int = 3
 
 
 # ---------------------------------------------------------------- heads
-def mlp_logit(x: Column, width: int, head: int, hidden) -> Column:
-    layers = mlp_params(head, [width, *hidden, 1])
+def mlp_logit(x: Column, width: int, head: int, hidden, dense: dict | None = None) -> Column:
+    layers = mlp_params(head, [width, *hidden, 1], dense=dense)
     return dense_apply(x, width, lambda X: {"logit": forward(X, layers)[:, 0]}, [("logit", "num")])["logit"]
 
 
-def deepfm_logit(fm_and_x: Column, n_fm: int, width: int, head: int, hidden, final_fid: int) -> Column:
+def deepfm_logit(fm_and_x: Column, n_fm: int, width: int, head: int, hidden, final_fid: int,
+                 dense: dict | None = None) -> Column:
     """M6: input = concat(fm_part, deep input). The deep part keeps relu +
     bias on every hidden layer (no output unit); one bias-free unit over
     [fm_part, deep hidden] gives the logit."""
-    deep = [(W, b, "relu") for W, b, _ in mlp_params(head, [width, *hidden, 1])[:-1]]
-    final = init_matrix(final_fid, n_fm + hidden[-1], 1)
+    hid = {f: p for f, p in (dense or {}).items() if f != 1000 + 10 * head + len(hidden)}
+    deep = [(W, b, "relu") for W, b, _ in mlp_params(head, [width, *hidden, 1], dense=hid)[:-1]]
+    final = dense_param(dense, final_fid, n_fm + hidden[-1], 1)
 
     def fn(Xa):
         fm, x = Xa[:, :n_fm], Xa[:, n_fm:]
@@ -229,13 +243,13 @@ def deepfm_logit(fm_and_x: Column, n_fm: int, width: int, head: int, hidden, fin
     return dense_apply(fm_and_x, n_fm + width, fn, [("logit", "num")])["logit"]
 
 
-def esmm_heads(x: Column, width: int, hidden, shared_units: int | None = None) -> Column:
+def esmm_heads(x: Column, width: int, hidden, shared_units: int | None = None, dense: dict | None = None) -> Column:
     """p_ctr, p_cvr from two towers over one input (optionally after a
     shared relu layer); p_ctcvr = p_ctr · p_cvr ≤ p_ctr."""
-    shared = mlp_params(5, [width, shared_units, 1])[:1] if shared_units else []
+    shared = [(dense_param(dense, 1050, width, shared_units), dense_param(dense, 2050, 1, shared_units)[0], "relu")] if shared_units else []
     w2 = shared_units or width
-    ctr = mlp_params(0, [w2, *hidden, 1])
-    cvr = mlp_params(1, [w2, *hidden, 1])
+    ctr = mlp_params(0, [w2, *hidden, 1], dense=dense)
+    cvr = mlp_params(1, [w2, *hidden, 1], dense=dense)
 
     def fn(X):
         h = X
@@ -248,18 +262,20 @@ def esmm_heads(x: Column, width: int, hidden, shared_units: int | None = None) -
     return dense_apply(x, width, fn, [("p_ctr", "num"), ("p_cvr", "num"), ("p_ctcvr", "num")])
 
 
-def mmoe_params(width: int, n_experts: int, units: int, tasks: int, tower):
-    experts = [(init_matrix(4000 + e, width, units), init_matrix(4100 + e, 1, units)[0]) for e in range(n_experts)]
-    gates = [(init_matrix(4200 + t, width, n_experts), init_matrix(4300 + t, 1, n_experts)[0]) for t in range(tasks)]
-    towers = [mlp_params(20 + t, [units, *tower, 1]) for t in range(tasks)]
+def mmoe_params(width: int, n_experts: int, units: int, tasks: int, tower, dense: dict | None = None):
+    def p(fid, rows, cols):
+        return dense_param(dense, fid, rows, cols)
+    experts = [(p(4000 + e, width, units), p(4100 + e, 1, units)[0]) for e in range(n_experts)]
+    gates = [(p(4200 + t, width, n_experts), p(4300 + t, 1, n_experts)[0]) for t in range(tasks)]
+    towers = [mlp_params(20 + t, [units, *tower, 1], dense=dense) for t in range(tasks)]
     return experts, gates, towers
 
 
 def mmoe_heads(x: Column, width: int, n_experts: int = 3, units: int = 8, tower=(4,),
-               task_names=("ctr", "cvr")) -> Column:
+               task_names=("ctr", "cvr"), dense: dict | None = None) -> Column:
     """Experts relu(xW_e + b_e); per task softmax gate over experts;
     weighted expert mix → task tower → probability. Adds p_ctcvr."""
-    experts, gates, towers = mmoe_params(width, n_experts, units, len(task_names), tower)
+    experts, gates, towers = mmoe_params(width, n_experts, units, len(task_names), tower, dense)
 
     def fn(X):
         E = np.stack([np.maximum(X @ W + b, 0.0) for W, b in experts], axis=2)  # n, units, experts
@@ -278,9 +294,9 @@ def mmoe_heads(x: Column, width: int, n_experts: int = 3, units: int = 8, tower=
     return dense_apply(x, width, fn, fields)
 
 
-def dense_layer(x: Column, width: int, units: int, head: int = 7) -> Column:
+def dense_layer(x: Column, width: int, units: int, head: int = 7, dense: dict | None = None) -> Column:
     """one dense relu layer (array<double> out)."""
-    W, b, _ = mlp_params(head, [width, units, 1])[0]
+    W, b = dense_param(dense, 1000 + 10 * head, width, units), dense_param(dense, 2000 + 10 * head, 1, units)[0]
     return dense_apply(x, width, lambda X: {"h": np.maximum(X @ W + b, 0.0)}, [("h", "vec")])["h"]
 
 

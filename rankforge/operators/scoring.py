@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankforge.functions.features import compile_features
-from rankforge.operators.lookup import (BIAS_FID, ROW_ID, fits_broadcast, gather_fold, id_fields, linear_lookup,
+from rankforge.operators.lookup import (BIAS_FID, ROW_ID, checked_params, fits_broadcast, gather_fold, id_fields, linear_lookup,
                                         long_ids, maybe_broadcast, param_table, scalar_param, with_row_id)
 from rankforge.operators.metrics import sigmoid
 from rankforge.spec import FeatureSpec
@@ -50,12 +50,12 @@ def score_lr(samples: DataFrame, spec: FeatureSpec, weights: DataFrame | None =
 
 # ---------------------------------------------------------------- M2 / M3 factorization machine
 def score_fm(samples: DataFrame, spec: FeatureSpec, dim: int = 4, numeric=(), id_col: str = "sample_id",
-             keep=(), bias: float = 0.0) -> DataFrame:
+             keep=(), bias: float = 0.0, params: DataFrame | None = None) -> DataFrame:
     """M2/M3: FM over the spec's categorical ids plus ``numeric`` value fields
     (vocabulary of one, value multiplies weight and vector):
     logit = Σ x·w + ½Σ_d((Σ x·v_d)² − Σ (x·v_d)²) + bias. Inputs come from
     ``sparse_inputs`` (map-side gathers for bounded tables, one shuffle
-    otherwise); the identity is per-row arithmetic, no pairwise expansion."""
+    otherwise); ``params`` = trained table ``(fid, bucket, w, vec)``; the identity is per-row arithmetic, no pairwise expansion."""
     from rankforge.operators.models import sparse_inputs
     cats = [f.name for f in spec.categorical()]
     fields = id_fields(spec)
@@ -64,7 +64,7 @@ def score_fm(samples: DataFrame, spec: FeatureSpec, dim: int = 4, numeric=(), id
     tables = fields + [(c, fid, 1, False) for c, fid in num]
     if fits_broadcast(tables, dim):
         spark = samples.sparkSession
-        both = param_table(spark, tables, dim=dim, with_bias=False, with_w=True)
+        both = param_table(spark, tables, dim=dim, with_bias=False, with_w=True) if params is None else checked_params(params, tables)
         feats = compile_features(samples, spec, keep=[id_col, *keep, *numeric])
         init = {"_lin": F.lit(0.0), "_q": F.lit(0.0), **{f"_s{d}": F.lit(0.0) for d in range(dim)}}
 
@@ -75,20 +75,22 @@ def score_fm(samples: DataFrame, spec: FeatureSpec, dim: int = 4, numeric=(), id
             return out
         vals = [(F.col("w"), "w")] + [(F.col("vec").getItem(d), f"v{d}") for d in range(dim)]
         g = gather_fold(feats, fields, both, vals, init, fold)
-        # numeric fields: x·w and x·v with their single parameter row (bounded)
+        # numeric fields: x·w and x·v with their single parameter row each (one small read)
+        rows = {r.fid: r for r in both.where(F.col("fid").isin([f for _, f in num])).select("fid", "w", "vec").collect()} if num else {}
         for c, fid in num:
-            prow = both.where(F.col("fid") == F.lit(fid)).first()
+            if fid not in rows:
+                continue
             x = F.coalesce(F.col(c).cast("double"), F.lit(0.0))
-            xv = [x * F.lit(float(prow.vec[d])) for d in range(dim)]
+            xv = [x * F.lit(float(v)) for v in rows[fid].vec]
             g = g.select(*[k for k in g.columns if not k.startswith("_") or k == id_col],
-                         (F.col("_lin") + x * F.lit(float(prow.w))).alias("_lin"),
+                         (F.col("_lin") + x * F.lit(float(rows[fid].w))).alias("_lin"),
                          (F.col("_q") + sum((v * v for v in xv[1:]), xv[0] * xv[0])).alias("_q"),
                          *[(F.col(f"_s{d}") + xv[d]).alias(f"_s{d}") for d in range(dim)])
         sq = sum((F.col(f"_s{d}") * F.col(f"_s{d}") for d in range(1, dim)), F.col("_s0") * F.col("_s0"))
         t = g.select(id_col, *keep, F.col("_lin").alias("linear"), (F.lit(0.5) * (sq - F.col("_q"))).alias("pair"))
         logit = F.col("linear") + F.col("pair") + F.lit(bias)
         return t.withColumn("logit", logit).withColumn("p", sigmoid(logit))
-    sp = sparse_inputs(samples, spec, dim, cats, cats, numeric, id_col=id_col, keep=keep)
+    sp = sparse_inputs(samples, spec, dim, cats, cats, numeric, id_col=id_col, keep=keep, params=params)
     fields = cats + list(numeric)
     linear = sum((F.col(f"lin_{f}") for f in fields[1:]), F.col(f"lin_{fields[0]}"))
     sq, q = None, None

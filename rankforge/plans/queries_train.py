@@ -248,29 +248,6 @@ def q_train_deep(spark, sf):
     return spark.createDataFrame(hist, "step long, loss double")
 
 
-@query("train_eval_loop")
-def q_train_eval_loop(spark, sf):
-    """Epoch × shard-group loop: train on a group, starting from the weights
-    that the group before left, and evaluate on the dev split; report keyed by
-    (epoch, group)."""
-    sp = SC.shard_groups(_sp(spark, sf).select("sample_id", _x().alias("x"), "y_ctr", "wt"),
-                         key="sample_id", n_shards=4, divisor=2)
-    # epochs × groups passes over the same assembled features: cut the lineage
-    # once with a reliable checkpoint in the cluster's checkpoint folder
-    from rankforge.session import cut_lineage
-    sp = cut_lineage(SC.split_train_test(sp, "sample_id", 0.2, seed=9))
-    rows, layers = [], None
-    dev = sp.where("split = 'test'")
-    for epoch in range(2):
-        for grp in range(2):
-            tr = sp.where((F.col("split") == "train") & (F.col("shard_group") == grp))
-            layers, hist = TR.train_deep(tr, "x", WIDTH, HIDDEN, steps=1, lr=0.01, init_layers=layers)
-            s = TR.score_dense(dev, "x", WIDTH, layers)
-            auc = M.auc_exact(s, "y_ctr", "p", "wt").first()["auc"]
-            rows.append((epoch, grp, float(hist[-1][1]), float(auc) if auc is not None else None))
-    return spark.createDataFrame(rows, "epoch long, shard_group long, train_loss double, dev_auc double")
-
-
 # ---------------------------------------------------------------- X1
 @query("daily_ingest", sql="""
 SELECT CAST(ts AS DATE) AS ds, event_type, count(*) AS n, round(sum(value), 6) AS value FROM events GROUP BY 1, 2""")

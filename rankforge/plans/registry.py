@@ -3,6 +3,7 @@
 from rankforge.plans import catalog
 from rankforge.plans import queries_core  # noqa: F401
 from rankforge.plans import queries_features  # noqa: F401
+from rankforge.plans import queries_joint  # noqa: F401
 from rankforge.plans import queries_fit  # noqa: F401
 from rankforge.plans import queries_metrics  # noqa: F401
 from rankforge.plans import queries_models  # noqa: F401
