@@ -9,6 +9,8 @@ from rankforge.plans import queries_metrics  # noqa: F401
 from rankforge.plans import queries_models  # noqa: F401
 from rankforge.plans import queries_samples  # noqa: F401
 from rankforge.plans import queries_train  # noqa: F401
+from rankforge.plans import queries_towers  # noqa: F401
+from rankforge.plans import queries_trees  # noqa: F401
 
 QUERIES = catalog.QUERIES
 ORACLES = catalog.ORACLES
