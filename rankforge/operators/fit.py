@@ -4,10 +4,9 @@ per feature.
 
 Exact quantiles do not use Spark's ``percentile`` aggregate (it holds every
 distinct value of a column in one buffer). Instead: a distributed
-(feature, value) → count table; the value axis of each feature is cut into
-approximate-quantile bins so no window partition holds more than a share of
-a feature's distinct values; running counts inside each bin locate the
-values at the wanted ranks; linear interpolation (numpy's default) is done on
+(feature, value) → count table is range-partitioned into ranges of bounded
+size, and running counts over ranges and inside each range locate the values
+at the wanted ranks; linear interpolation (numpy's default) is done on
 the handful of selected values.
 """
 
@@ -15,10 +14,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankforge.functions.features import count_below, numeric, vector
+from rankforge.operators.ranges import RANGE_ROWS, before
+from rankforge.session import cut_lineage
 from rankforge.spec import FeatureSpec
 
 
@@ -52,14 +53,15 @@ def _long_values(df: DataFrame, cols, vector_cols=()) -> DataFrame:
     return df.select(F.inline(F.concat(*parts))).where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
-def exact_quantiles(df: DataFrame, probs: dict, vector_cols=(), bins: int = 64) -> dict:
+def exact_quantiles(df: DataFrame, probs: dict, vector_cols=(), bins: int | None = None, range_rows: int = RANGE_ROWS) -> dict:
     """``probs`` = {column: [q in 0..1]} → {column: [value]} with linear
     interpolation between order statistics. Vector columns are pooled over
-    all elements."""
-    return quantiles_and_moments(df, probs, vector_cols, bins)[0]
+    all elements. The distinct values are cut into ranges of at most
+    ``range_rows``, or into at least ``bins`` ranges if that is given."""
+    return quantiles_and_moments(df, probs, vector_cols, bins, range_rows)[0]
 
 
-def quantiles_and_moments(df: DataFrame, probs: dict, vector_cols=(), bins: int = 64):
+def quantiles_and_moments(df: DataFrame, probs: dict, vector_cols=(), bins: int | None = None, range_rows: int = RANGE_ROWS):
     """One pass over ``df``: exact quantiles for every column in ``probs`` and
     (mean, population std) per column, both from the distributed
     (feature, value) → count table (moments from sums of doubles, the spread
@@ -69,65 +71,50 @@ def quantiles_and_moments(df: DataFrame, probs: dict, vector_cols=(), bins: int
     scalar = [c for c in probs if c not in vector_cols]
     vc = _long_values(df, scalar, [c for c in vector_cols if c in probs]) \
         .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    vc = vc.persist()
-    try:
-        stats = vc.groupBy("feature").agg(
-            F.sum("cnt").alias("n"),
-            F.sum(F.col("value") * F.col("cnt")).alias("sx"),
-            F.percentile_approx("value", [i / bins for i in range(1, bins)], 10000).alias("cuts")).collect()
-        info = {r.feature: (int(r.n), sorted(set(r.cuts or []))) for r in stats}
-        means = {r.feature: (r.sx / r.n) for r in stats}
-        var = {}
-        if means:
-            mexpr = None
-            for c, m in means.items():
-                cond = F.col("feature") == F.lit(c)
-                lit = F.lit(float(m))
-                mexpr = F.when(cond, lit) if mexpr is None else mexpr.when(cond, lit)
-            dev = F.col("value") - mexpr
-            for r in vc.groupBy("feature").agg(F.sum(dev * dev * F.col("cnt")).alias("ss")).collect():
-                var[r.feature] = r.ss / info[r.feature][0]
-        moments = {c: (float(means[c]), float(var.get(c, 0.0)) ** 0.5) for c in means}
-        targets, plan = {}, {}
-        for c, qs in probs.items():
-            if c not in info:
-                continue
-            n = info[c][0]
-            plan[c] = []
-            for q in qs:
-                rk = q * (n - 1)
-                k1 = int(math.floor(rk))
-                k2 = min(k1 + 1, n - 1)
-                plan[c].append((k1, k2, rk - k1))
-                targets.setdefault(c, set()).update((k1, k2))
-        if not targets:
-            return {c: [] for c in probs}, moments
-        bin_expr, tgt_expr = None, None
-        for c, (n, cuts) in info.items():
-            if c not in targets:
-                continue
+    vc = cut_lineage(vc)
+    if bins:
+        range_rows = max(1, -(-vc.count() // bins))
+    stats = vc.groupBy("feature").agg(F.sum("cnt").alias("n"), F.sum(F.col("value") * F.col("cnt")).alias("sx")).collect()
+    info = {r.feature: int(r.n) for r in stats}
+    means = {r.feature: (r.sx / r.n) for r in stats}
+    var = {}
+    if means:
+        mexpr = None
+        for c, m in means.items():
             cond = F.col("feature") == F.lit(c)
-            b = count_below(F.col("value"), cuts, strict=False)
-            t = F.array(*[F.lit(k) for k in sorted(targets[c])]).cast("array<bigint>")
-            bin_expr = F.when(cond, b) if bin_expr is None else bin_expr.when(cond, b)
-            tgt_expr = F.when(cond, t) if tgt_expr is None else tgt_expr.when(cond, t)
-        v = vc.where(F.col("feature").isin(list(targets))).withColumn("_bin", bin_expr)
-        per_bin = v.groupBy("feature", "_bin").agg(F.sum("cnt").alias("bcnt"))
-        wb = Window.partitionBy("feature").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-        per_bin = per_bin.withColumn("before", F.coalesce(F.sum("bcnt").over(wb), F.lit(0))).drop("bcnt")
-        wi = Window.partitionBy("feature", "_bin").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-        ranked = (v.join(per_bin, ["feature", "_bin"])
-                  .withColumn("lo", F.col("before") + F.coalesce(F.sum("cnt").over(wi), F.lit(0)))
-                  .withColumn("hi", F.col("lo") + F.col("cnt")))
-        hits = ranked.select("feature", "value", F.explode(F.filter(
-            tgt_expr, lambda k: (k >= F.col("lo")) & (k < F.col("hi")))).alias("k")).collect()
-        at = {(h.feature, int(h.k)): float(h.value) for h in hits}
-        out = {}
-        for c, qs in probs.items():
-            out[c] = [at[(c, k1)] + f * (at[(c, k2)] - at[(c, k1)]) for k1, k2, f in plan.get(c, [])]
-        return out, moments
-    finally:
-        vc.unpersist()
+            lit = F.lit(float(m))
+            mexpr = F.when(cond, lit) if mexpr is None else mexpr.when(cond, lit)
+        dev = F.col("value") - mexpr
+        for r in vc.groupBy("feature").agg(F.sum(dev * dev * F.col("cnt")).alias("ss")).collect():
+            var[r.feature] = r.ss / info[r.feature]
+    moments = {c: (float(means[c]), float(var.get(c, 0.0)) ** 0.5) for c in means}
+    targets, plan = {}, {}
+    for c, qs in probs.items():
+        if c not in info:
+            continue
+        n = info[c]
+        plan[c] = []
+        for q in qs:
+            rk = q * (n - 1)
+            k1 = int(math.floor(rk))
+            k2 = min(k1 + 1, n - 1)
+            plan[c].append((k1, k2, rk - k1))
+            targets.setdefault(c, set()).update((k1, k2))
+    if not targets:
+        return {c: [] for c in probs}, moments
+    tgt_expr = None
+    for c in targets:
+        t = F.array(*[F.lit(k) for k in sorted(targets[c])]).cast("array<bigint>")
+        cond = F.col("feature") == F.lit(c)
+        tgt_expr = F.when(cond, t) if tgt_expr is None else tgt_expr.when(cond, t)
+    ranked = before(vc.where(F.col("feature").isin(list(targets))), ["feature"], ["value"], {"lo": F.col("cnt")}, range_rows=range_rows)
+    hits = ranked.select("feature", "value", F.explode(F.filter(
+        tgt_expr, lambda k: (k >= F.col("lo")) & (k < F.col("lo") + F.col("cnt")))).alias("k")).collect()
+    at = {(h.feature, int(h.k)): float(h.value) for h in hits}
+    out = {}
+    for c, qs in probs.items():
+        out[c] = [at[(c, k1)] + f * (at[(c, k2)] - at[(c, k1)]) for k1, k2, f in plan.get(c, [])]
+    return out, moments
 
 
 def approx_quantiles(df: DataFrame, probs: dict, vector_cols=(), accuracy: int = 10000) -> dict:

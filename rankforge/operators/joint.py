@@ -355,6 +355,26 @@ def step(rows: DataFrame, model: Model, net: Network, labels: list[str], counts:
     return Model(sparse, dense, state, n, [*model.history, entry])
 
 
+def walk_forward_runs(rows: DataFrame, period: str, net: Network, first: Model, labels: dict[str, str], table_rows: int, path: str,
+                      deep: Rule | None = None, wide: Rule | None = None, epochs: int = 1, keep=("y", "w")) -> Iterator[tuple]:
+    """Train on each period from the run committed for the one before it, commit
+    the new run, and score the period after it: yields (period, tested period,
+    model, scores). A period whose run is committed already is not trained again."""
+    spark = rows.sparkSession
+    periods = sorted(r[0] for r in rows.select(period).distinct().collect())
+    done = set(committed_runs(spark, path))
+    for now, after in zip(periods, periods[1:]):
+        name = str(now)
+        if name not in done:
+            earlier = [str(p) for p in periods if p < now and str(p) in done]
+            model = load_model(spark, path, earlier[-1]) if earlier else first
+            model = train(rows.filter(F.col(period) == now), net, model, labels, table_rows, epochs, deep, wide)
+            save_model(model, path, name)
+            done.add(name)
+        model = load_model(spark, path, name)
+        yield now, after, model, score(rows.filter(F.col(period) == after), net, model, labels, table_rows, keep=keep)
+
+
 def task_counts(rows: DataFrame, net: Network, labels: list[str]) -> dict[int, dict[str, int]]:
     """Rows of every task in every batch."""
     clicked = F.element_at("y", labels.index("ctr") + 1) == 1

@@ -151,12 +151,25 @@ def auc_exact(df: DataFrame, y: str, p: str, weight: str | None = None, group_co
     holds a share of a group's distinct scores even if one group dominates;
     (3) a tiny per-bin table gives the mass below each bin; (4) a window
     inside each (group, bin) adds the mass below within the bin.
+    With ``binning="range"`` (2)-(4) are running sums over ranges of bounded size
+    (``operators.ranges``), for scores that crowd in few bins; this runs at once.
     ``with_logloss`` also returns ``n`` and the weighted log-loss (÷ rows)
     from the same distinct-score aggregate — one pass over the scores."""
     w = _w(weight)
     yc = F.col(y).cast("double")
     extra = [F.count(F.lit(1)).alias("cnt"), F.sum(w * logloss_terms(y, p)).alias("ll")] if with_logloss else []
     sc = F.col(p).cast("double")
+    if binning == "range":
+        from rankforge.operators.ranges import before
+        keys = list(group_cols)
+        s = df.groupBy(*keys, sc.alias("_s")).agg(F.sum(w * yc).alias("pos"), F.sum(w * (F.lit(1.0) - yc)).alias("neg"), *extra)
+        s = s if keys else s.withColumn("_all", F.lit(1))
+        t = before(s, keys or ["_all"], ["_s"], {"below": F.col("neg")}, {"P": F.col("pos"), "N": F.col("neg")})
+        out = [F.when(F.first("P") * F.first("N") > 0, F.sum(F.col("pos") * (F.col("below") + F.lit(0.5) * F.col("neg")))
+                      / (F.first("P") * F.first("N"))).alias("auc")]
+        if with_logloss:
+            out += [F.sum("cnt").alias("n"), (F.sum("ll") / F.sum("cnt")).alias("logloss")]
+        return t.groupBy(*keys).agg(*out)
     if binning == "quantile":
         base = df.groupBy(*group_cols, sc.alias("_s")).agg(
             F.sum(w * yc).alias("pos"), F.sum(w * (F.lit(1.0) - yc)).alias("neg"), *extra)
@@ -187,14 +200,16 @@ def auc_exact(df: DataFrame, y: str, p: str, weight: str | None = None, group_co
 
 
 def auc_per_task(df: DataFrame, tasks: dict, weight: str | None = None, group_cols=(),
-                 exact: bool = True) -> DataFrame:
+                 exact: bool = True, weighted=None) -> DataFrame:
     """tasks = {name: (label_col, score_col, row_filter Column|None)};
-    unpivot to (task, y, p, w) then one grouped AUC."""
+    unpivot to (task, y, p, w) then one grouped AUC. Sample weights apply to the
+    tasks in ``weighted`` (None: to all)."""
     parts = []
     for name, (yc, pc, cond) in tasks.items():
         d = df if cond is None else df.where(cond)
         parts.append(d.select(*group_cols, F.lit(name).alias("task"), F.col(yc).cast("double").alias("_y"),
-                              F.col(pc).cast("double").alias("_p"), _w(weight).alias("_w")))
+                              F.col(pc).cast("double").alias("_p"),
+                              (_w(weight) if weighted is None or name in weighted else F.lit(1.0)).alias("_w")))
     u = parts[0]
     for p_ in parts[1:]:
         u = u.unionByName(p_)

@@ -84,9 +84,12 @@ def trailing_ctr(df: DataFrame, key: str, day: str = "ds", label: str = "y_ctr",
     (day d never contributes to itself); 0 when there were no impressions.
     Daily pre-aggregation first, then range windows over the day number."""
     daily = df.groupBy(key, day).agg(F.sum(F.col(label)).alias("_clk"), F.count(F.lit(1)).alias("_imp"))
-    string_days = dict(df.dtypes).get(day) == "string"
-    daily = daily.withColumn("_dn", day_number(day, string_days))
-    out = daily
+    return trailing_from_counts(daily, key, day, windows, prefix)
+
+
+def trailing_from_counts(daily: DataFrame, key: str, day: str, windows, prefix: str = "ctr_") -> DataFrame:
+    """``trailing_ctr`` from clicks ``_clk`` and impressions ``_imp`` per (key, day)."""
+    out = daily.withColumn("_dn", day_number(day, dict(daily.dtypes).get(day) == "string"))
     for n in windows:
         w = Window.partitionBy(key).orderBy("_dn").rangeBetween(-n, -1)
         clk, imp = F.sum("_clk").over(w), F.sum("_imp").over(w)

@@ -201,3 +201,18 @@ def q_train_eval_loop(spark, sf):
             auc = M.auc_exact(p.select(F.element_at("y", 1).alias("y"), "w", "p_ctr"), "y", "p_ctr", "w").first()["auc"]
             out.append((epoch, group, m.step, m.history[-1]["loss"] if m.history else None, auc))
     return spark.createDataFrame(out, "epoch long, shard_group long, step long, train_loss double, dev_auc double")
+
+
+@query("walk_forward_train")
+def q_walk_forward_train(spark, sf):
+    """DeepFM trained year by year, each year from the run committed for the
+    year before, and tested on the year after: AUC by tested year."""
+    net, rule = N.DeepFM(DNN, D, len(DENSE), HIDDEN), J.Rule("adagrad", 0.1)
+    s = samples_li(spark, sf).withColumn("period", F.year("ds"))
+    rows = J.stored(J.training_rows(s, li_spec(), net, {"ctr": "y_ctr"}, DENSE, keep=("period",)))
+    size, path = sum(n for _, _, n in J.field_tables(li_spec(), net)), f"{checkpoint_dir(spark)}/models-{uuid.uuid4().hex}"
+    out = []
+    for now, after, m, p in J.walk_forward_runs(rows, "period", net, J.start_model(spark, li_spec(), net, rule), {"ctr": "y_ctr"}, size, path, rule):
+        auc = M.auc_exact(p.select(F.element_at("y", 1).alias("y"), "w", "p_ctr"), "y", "p_ctr", "w").first()["auc"]
+        out.append((now, after, m.step, auc))
+    return spark.createDataFrame(out, "trained int, tested int, step long, auc double")

@@ -85,6 +85,7 @@ def q_auc_exact(spark, sf):
 _PT_SRC = """u AS (SELECT 'ctr' AS task, y_ctr AS y, p, wt FROM scored_p
              UNION ALL SELECT 'ctcvr', y_ctcvr, p, wt FROM scored_p
              UNION ALL SELECT 'cvr', y_ctcvr, p, wt FROM scored_p WHERE y_ctr = 1)"""
+_PT_SRC_CTR = _PT_SRC.replace("y_ctcvr, p, wt", "y_ctcvr, p, 1.0")  # weights on the click task only
 
 
 @query("auc_per_task", sql=with_ctes(*lr_scored_sql(("y_ctr", "y_ctcvr")), _PT_SRC, _auc_sql("task", "u", "y", "p", "wt"),
@@ -97,6 +98,15 @@ def q_auc_per_task(spark, sf):
     return M.auc_per_task(s, tasks, "wt").select("task", r(F.col("auc"), "auc"))
 
 
+@query("auc_per_task_weighted", sql=with_ctes(*lr_scored_sql(("y_ctr", "y_ctcvr")), _PT_SRC_CTR, _auc_sql("task", "u", "y", "p", "wt"),
+                                              body=AUC_BODY.format(g="task")))
+def q_auc_per_task_weighted(spark, sf):
+    """As ``auc_per_task``, with sample weights on the click task only."""
+    s = _scored_ctcvr(spark, sf)
+    tasks = {"ctr": ("y_ctr", "p", None), "ctcvr": ("y_ctcvr", "p", None), "cvr": ("y_ctcvr", "p", F.col("y_ctr") == 1)}
+    return M.auc_per_task(s, tasks, "wt", weighted=("ctr",)).select("task", r(F.col("auc"), "auc"))
+
+
 @query("precision_recall", sql=with_ctes(*SC, body="""
 SELECT round(CASE WHEN sum(wt * (p > 0.5)::DOUBLE) > 0 THEN sum(wt * y_ctr * (p > 0.5)::DOUBLE) / sum(wt * (p > 0.5)::DOUBLE) ELSE 0 END, 6) AS precision,
        round(CASE WHEN sum(wt * y_ctr) > 0 THEN sum(wt * y_ctr * (p > 0.5)::DOUBLE) / sum(wt * y_ctr) ELSE 0 END, 6) AS recall,

@@ -99,7 +99,7 @@ def q_embed_lookup(spark, sf):
 TOUID_FID = 7  # touid_h position in the demo spec
 
 
-def _bag_sql(combiners=("sum",)):
+def _bag_sql(combiners=("sum",), distinct="DISTINCT "):
     sel = []
     for c in combiners:
         scale = {"sum": "1.0", "mean": "(1.0 / count(*))", "sqrtn": "(1.0 / sqrt(count(*)))"}[c]
@@ -107,15 +107,16 @@ def _bag_sql(combiners=("sum",)):
             round(coalesce(round(sum({Q.init_value(str(TOUID_FID), 'p.b', 't.d')}), 9) * {scale}, 0), 6) AS value
         FROM customer cu CROSS JOIN range({D}) t(d) LEFT JOIN pairs p ON p.uid = cu.c_custkey
         GROUP BY cu.c_custkey, t.d""")
-    return with_ctes(SAMPLES_LI_SQL, f"""pairs AS (SELECT DISTINCT uid, {Q.hash_bucket('touid', 1000)} AS b FROM samples_li)""",
+    return with_ctes(SAMPLES_LI_SQL, f"""pairs AS (SELECT {distinct}uid, {Q.hash_bucket('touid', 1000)} AS b FROM samples_li)""",
                      body=" UNION ALL ".join(sel))
 
 
-def _bags(spark, sf, combiner):
-    """Per customer: the set of suppliers bought from, as hashed ids (the
-    exploded form of a var-length list column), combined into one vector;
-    customers without orders get the zero vector."""
-    s = samples_li(spark, sf).select("uid", X.hash_bucket("touid", 1000).alias("touid_h")).distinct()
+def _bags(spark, sf, combiner, distinct=True):
+    """Per customer: the suppliers bought from (each once, or once per sample),
+    as hashed ids (the exploded form of a var-length list column), combined into
+    one vector; customers without orders get the zero vector."""
+    s = samples_li(spark, sf).select("uid", X.hash_bucket("touid", 1000).alias("touid_h"))
+    s = s.distinct() if distinct else s
     spec = _spec()
     fields = id_fields(spec, {"touid_h"})
     ids = long_ids(s, fields, id_col="uid")
@@ -129,6 +130,12 @@ def _bags(spark, sf, combiner):
         "uid", "combiner", F.col("dim").cast("bigint").alias("dim"), r(F.col("value"), "value"))
 
 
+@query("embed_bag_list", sql=_bag_sql(("mean",), ""))
+def q_embed_bag_list(spark, sf):
+    """Lists with repeated ids: an id counts as often as it occurs."""
+    return _bags(spark, sf, "mean", distinct=False)
+
+
 @query("embed_bag_sum", sql=_bag_sql(("sum",)), headline=True)
 def q_embed_bag_sum(spark, sf):
     return _bags(spark, sf, "sum")

@@ -3,6 +3,8 @@ S3, S5, S6, S10, S11, O2, O3)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from rankforge.functions import features as X
@@ -11,6 +13,7 @@ from rankforge.plans import sqlgen as Q
 from rankforge.plans.catalog import query, rnd, with_ctes
 from rankforge.plans.demo import SAMPLES_EV_SQL, SAMPLES_LI_SQL, li_spec, samples_ev, samples_li
 from rankforge.plans.queries_core import LR_SCORED_SQL, _li_scored
+from rankforge.session import checkpoint_dir
 from rankforge.sources import scans as SC
 from rankforge.sources.tables import read_table
 
@@ -249,3 +252,11 @@ def q_predict_batch(spark, sf):
     (``sources.scans.write_predictions``)."""
     s = _li_scored(spark, sf).where("ds between date'2000-01-01' and date'2000-12-31'")
     return s.select("ds", "sample_id", r(F.col("p"), "p"))
+
+
+@query("predict_sink", sql=with_ctes(*LR_SCORED_SQL, body="SELECT ds, sample_id, round(p, 6) AS p FROM scored_p"))
+def q_predict_sink(spark, sf):
+    """Predictions of all days written by day and read back from the table."""
+    path = f"{checkpoint_dir(spark)}/predictions-{uuid.uuid4().hex}"
+    SC.write_predictions(_li_scored(spark, sf).select("ds", "sample_id", r(F.col("p"), "p")), path)
+    return spark.read.parquet(path).select("ds", "sample_id", "p")

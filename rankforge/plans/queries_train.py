@@ -19,7 +19,7 @@ from rankforge.plans.queries_models import (D, DNN, HIDDEN, N_EXP, TOWER, UNITS,
                                             _sp, _sp_sql, _x, _x0_sql)
 from rankforge.sources import scans as SC
 from rankforge.sources.tables import read_table
-from rankforge.streaming.ingest import ingest_daily, read_daily
+from rankforge.streaming.ingest import ingest_daily, ingest_trailing, read_daily
 
 
 def r(c, name, digits=6):
@@ -258,3 +258,22 @@ def q_daily_ingest(spark, sf):
     out = ingest_daily(spark, sf, schema, "events.parquet")
     d = read_daily(spark, out)
     return d.select("ds", "event_type", "n", r(F.col("value"), "value"))
+
+
+TRAILING = (1, 7)
+
+
+@query("trailing_ingest", sql=with_ctes(SAMPLES_EV_SQL, """
+d AS (SELECT touid, ds, sum(y_ctr) AS clk, count(*) AS imp FROM samples_ev GROUP BY touid, ds)""", body="SELECT a.touid, a.ds, " + ", ".join(
+    f"round(coalesce(sum(b.clk) FILTER (WHERE b.ds >= a.ds - {n}) / sum(b.imp) FILTER (WHERE b.ds >= a.ds - {n}), 0), 6) AS ctr_{n}"
+    for n in TRAILING) + " FROM d a LEFT JOIN d b ON b.touid IS NOT DISTINCT FROM a.touid AND b.ds < a.ds AND b.ds >= a.ds - 7 GROUP BY a.touid, a.ds"))
+def q_trailing_ingest(spark, sf):
+    """Trailing click rates of items, kept by the streaming ingest."""
+    schema = read_table(spark, sf, "events").schema
+
+    def samples(batch):
+        return batch.select(F.get_json_object("props", "$.k").cast("bigint").alias("touid"), F.to_date("ts").alias("ds"),
+                            F.col("event_type").isin("click", "purchase").cast("double").alias("y_ctr"))
+
+    path = ingest_trailing(spark, sf, schema, "events.parquet", "touid", TRAILING, samples)
+    return spark.read.parquet(path).select("touid", "ds", *(r(F.col(f"ctr_{n}"), f"ctr_{n}") for n in TRAILING))

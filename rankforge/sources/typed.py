@@ -13,7 +13,8 @@ SPARK_TYPES = {"float": "double", "int64": "bigint", "string": "string"}
 
 def typed_read(df: DataFrame, schema: list, keep=()) -> DataFrame:
     """``schema`` = [(name, dtype, shape, default)]: cast every declared
-    column, fill the default for nulls, use ``lit(default)`` for absent
+    column, fill the default for nulls and NaN (a vector of another length than
+    declared is an error), use ``lit(default)`` for absent
     columns, an empty list for missing var-length lists (shape 0); unlisted
     columns are dropped, so the scan reads only declared columns."""
     present = set(df.columns)
@@ -31,7 +32,14 @@ def typed_read(df: DataFrame, schema: list, keep=()) -> DataFrame:
         else:
             fill = F.lit(default).cast(t)
         base = F.col(name).cast(t) if name in present else F.lit(None).cast(t)
-        out.append(F.coalesce(base, fill).alias(name))
+        if shape > 1:
+            full = F.coalesce(base, fill)
+            if dtype == "float":
+                full = F.transform(full, lambda x: F.coalesce(F.nanvl(x, F.lit(float(default))), F.lit(float(default))))
+            full = F.when(F.size(full) == shape, full).otherwise(F.raise_error(F.lit(f"{name}: vector length != {shape}")).cast(t))
+        else:
+            full = F.coalesce(F.nanvl(base, fill) if dtype == "float" else base, fill)
+        out.append(full.alias(name))
     return df.select(*out)
 
 
