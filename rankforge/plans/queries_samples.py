@@ -256,7 +256,8 @@ def q_predict_batch(spark, sf):
 
 @query("predict_sink", sql=with_ctes(*LR_SCORED_SQL, body="SELECT ds, sample_id, round(p, 6) AS p FROM scored_p"))
 def q_predict_sink(spark, sf):
-    """Predictions of all days written by day and read back from the table."""
+    """Predictions of all days written by month and read back from the table."""
     path = f"{checkpoint_dir(spark)}/predictions-{uuid.uuid4().hex}"
-    SC.write_predictions(_li_scored(spark, sf).select("ds", "sample_id", r(F.col("p"), "p")), path)
+    rows = _li_scored(spark, sf).select("ds", "sample_id", r(F.col("p"), "p"), F.date_format("ds", "yyyyMM").alias("month"))
+    SC.write_predictions(rows, path, "month")
     return spark.read.parquet(path).select("ds", "sample_id", "p")
