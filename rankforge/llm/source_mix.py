@@ -106,15 +106,18 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: fl
     """``(doc_id, source, row_key, size, source_size, target, copies,
     part_words, taken)`` of every row of ``docs(doc_id, text, source)``."""
     size = F.size(F.array_remove(F.split(F.coalesce(F.col("text"), F.lit("")), SPACE), "")).cast("long")
-    sized = cut(docs.select("doc_id", "source", row_key().alias("row_key"), size.alias("size")))
+    sized = docs.select("doc_id", "source", row_key().alias("row_key"), size.alias("size"))
+    # equal rows have running numbers, so that they are dealt to all buckets
+    sized = cut(sized.groupBy(*sized.columns).agg(F.count("*").cast("int").alias("n"))
+                .withColumn("running", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).drop("n"))
     targets = source_targets(sized, weights, share, most)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     buckets = F.ceil(F.col("n_docs") / F.lit(bucket_rows))
     rows = (sized.join(targets.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
             .withColumn("copies", F.floor(rate).cast("long"))
             .withColumn("part", rate - F.floor(rate))
-            .withColumn("bucket", F.pmod(F.xxhash64("row_key", F.lit(seed)), buckets))
-            .drop("n_docs"))
+            .withColumn("bucket", F.pmod(F.xxhash64("row_key", F.lit(seed) + F.col("running")), buckets))
+            .drop("n_docs", "running"))
     schema = rows.schema
 
     def settle(level: int):

@@ -70,7 +70,7 @@ def test_query_equals_its_sql(spark, sf_small, name):
 
 def test_all_are_registered():
     names = __spark_entry__.queries()
-    assert {f"op{i}" for i in range(1, 11)} == {n.split("_")[0] for n in queries.QUERIES}
+    assert {f"op{i}" for i in range(1, 14)} == {n.split("_")[0] for n in queries.QUERIES}
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
 
 
@@ -99,3 +99,15 @@ def test_near_duplicate_stage_keeps_one_of_each_group_by_content(spark):
     assert sum(r[1] == text["e"] for r in got) == 1
     assert [r for r in got if r[1] != text["e"]] == sorted(
         [rows[0], rows[2], rows[3], rows[4], rows[9], *rows[11:]], key=str)
+
+
+def test_mixing_stage_takes_many_equal_rows(spark):
+    rows = [(1, "one two three", "a", 5)] * 30_000 + [(None, None, "a", 5)] * 3 + [(i, f"word{i} and more", "b", 5) for i in range(2, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _a int")
+    out = corpus_pipeline.mixed(spark, docs.repartition(5), "")
+    assert out.columns == docs.columns
+    words = Counter(r.source for r in out.collect() for _ in (r.text or "").split())
+    total = 3 * (30_000 + 398)
+    # source b stops at twice its size, source a takes the rest
+    assert abs(words["b"] - 2 * 3 * 398) <= 1 and abs(words["a"] - (1.5 * total - 2 * 3 * 398)) <= 1
+    assert corpus_pipeline.mixed(spark, docs.limit(0), "").collect() == []

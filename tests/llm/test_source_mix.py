@@ -67,3 +67,14 @@ def test_mix_against_brute_force(spark):
 def test_empty_and_wordless(spark):
     assert run(spark, []) == []
     assert [r.taken for r in run(spark, [(1, None, "a"), (2, " ", None)])] == [0, 0]
+
+
+def test_equal_rows_are_dealt_to_all_buckets(spark):
+    """Many equal rows: no bucket holds more than its share, and the target is met."""
+    docs = spark.createDataFrame([(1, "a b c", "s")] * 20_000 + [(2, "x y", "t")], "doc_id long, text string, source string")
+    got = M.mix_sources(docs, bucket_rows=64)
+    rows = got.collect()
+    assert len(rows) == 20_001
+    taken = sum(r.taken for r in rows if r.source == "s")
+    assert abs(taken - next(r.target for r in rows if r.source == "s")) <= 1
+    assert {r.copies for r in rows if r.source == "s"} == {1, 2}
