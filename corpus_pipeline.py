@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankforge.llm import bpe, language_id, ngram_join, pii, source_mix
@@ -67,18 +67,18 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it; the one per source that is
-    taken in part ends after these words. Equal rows are told apart by number."""
-    equal = Window.partitionBy("_k").orderBy("doc_id", "source")
-    plan = source_mix.mix_sources(docs).select(
-        F.col("row_key").alias("_k"), "doc_id", "source", F.col("copies").alias("_copies"), F.col("part_words").alias("_part")) \
-        .withColumn("_m", F.row_number().over(equal)).drop("doc_id", "source")
-    words = F.array_remove(F.split("text", source_mix.SPACE), "")
+    taken in part ends after these words. Equal rows are taken together: they
+    become one row before any shuffle, with the sum of their copies."""
+    key, own = content_key(docs), F.struct(*(F.col(c) for c in docs.columns))
+    plan = source_mix.mix_sources(docs.select(key.alias("doc_id"), "source", "text")).groupBy(
+        F.col("doc_id.a").alias("_a"), F.col("doc_id.b").alias("_b")).agg(F.sum("copies").alias("_copies"), F.max("part_words").alias("_part"))
+    rows = docs.select(key["a"].alias("_a"), key["b"].alias("_b"), own.alias("_row")).groupBy("_a", "_b").agg(F.first("_row").alias("_row"))
+    taken = rows.join(plan, ["_a", "_b"]).filter("_copies > 0 or _part > 0").withColumn(
+        "_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies") + (F.col("_part") > 0).cast("long"))))
+    words = F.array_remove(F.split(F.col("_row.text"), source_mix.SPACE), "")
     part = F.array_join(F.slice(words, F.lit(1), F.col("_part").cast("int")), " ")
-    texts = F.concat(F.array_repeat(F.col("text"), F.col("_copies").cast("int")),
-                     F.when(F.col("_part") > 0, F.array(part)).otherwise(F.array().cast("array<string>")))
-    rows = docs.withColumn("_k", source_mix.row_key()).withColumn("_n", F.row_number().over(equal))
-    # both inequalities instead of an equality: the join then keeps the partitions of the window
-    return rows.join(plan, "_k").filter("_n <= _m and _n >= _m").withColumn("text", F.explode(texts)) \
+    text = F.when(F.col("_i") <= F.col("_copies"), F.col("_row.text")).otherwise(part)
+    return taken.select("_row.*", text.alias("_text")).withColumn("text", F.col("_text")) \
         .withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
