@@ -125,12 +125,11 @@ def test_same_weights_for_any_number_of_partitions(spark, sf_small):
         assert p == pytest.approx(found[1][1][f], abs=1e-9)
 
 
-@pytest.mark.parametrize("name", ["deepfm", "esmm"])
-def test_training_improves_and_survives_saving(spark, sf_small, tmp_path, name):
+@pytest.mark.parametrize("name,rule", [("deepfm", J.Rule("adagrad", 0.4)), ("esmm_stopped", J.Rule("adam", 0.1))])
+def test_training_improves_and_survives_saving(spark, sf_small, tmp_path, name, rule):
     net = NETS[name]()
     rows = J.stored(rows_of(spark, sf_small, net, batches=2, planted=True).withColumn("dev", F.pmod(F.xxhash64("sample_id"), F.lit(5)) == 0))
     dev, rest = rows.filter("dev"), rows.filter("not dev")
-    rule = J.Rule("adagrad", 0.4)
     first = J.start_model(spark, li_spec(), net, rule)
     model = J.train(rest, net, first, LABELS, table_rows(net), epochs=3, deep=rule)
     assert model.history[-1]["loss_ctr"] < model.history[0]["loss_ctr"]
