@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankforge.llm import (block_topk, bpe, embedding_neardup, html_extract, language_id, lexical_search, ngram_join, pii,
                            prefix_trie, quality, source_mix, url_filter, warc_fixity)
-from rankforge.llm.common import table
+from rankforge.llm.common import cut, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -109,21 +109,16 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
-def _url_sql(rounds: int = 30) -> str:
+def _url_sql() -> str:
     up = f"'{url_filter.UPPER}', '{url_filter.LOWER}'"
     host = f"translate(regexp_extract(coalesce({{0}}, ''), '://([^/?#]*)', 1), {up})"
     fits = " ".join(
         f"WHEN (host = '{r.split('/')[0]}' OR ends_with(host, '.{r.split('/')[0]}')) "
         f"AND starts_with(path, '/{r.split('/', 1)[1]}') THEN '{v} {r}'"
         for v, r in sorted(URL_RULES, key=lambda r: -len(r[1])))
-    steps = "".join(f"""
-m{i} AS MATERIALIZED (SELECT kind, e.dst AS host, sum(mass * 85 // 100 // degree)::BIGINT AS mass
-      FROM m{i - 1} m JOIN e USING (kind, host) GROUP BY ALL HAVING sum(mass * 85 // 100 // degree) > 0),"""
-                    for i in range(1, rounds + 1))
-    union = " UNION ALL ".join(f"SELECT * FROM m{i}" for i in range(rounds + 1))
     href = url_filter.HREF.replace("\\x22'", "\\x22''")
     return f"""
-WITH u AS (SELECT page_id, {host.format('url')} AS host,
+WITH RECURSIVE u AS (SELECT page_id, {host.format('url')} AS host,
                   regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path, html FROM pages),
 f AS (SELECT *, CASE {fits} END AS fit FROM u),
 h AS (SELECT host, (1000000000000 * count(*) FILTER (fit LIKE 'allow%') // count(*))::BIGINT AS trust,
@@ -135,8 +130,11 @@ l AS (SELECT DISTINCT src, dst FROM (SELECT src, {host.format("CASE WHEN starts_
 b AS (SELECT 'trust' AS kind, src AS host, dst FROM l UNION ALL SELECT 'distrust', dst, src FROM l),
 e AS MATERIALIZED (SELECT kind, host, dst, count(*) OVER (PARTITION BY kind, host) AS degree FROM b),
 m0 AS MATERIALIZED (SELECT 'trust' AS kind, host, trust AS mass FROM h WHERE trust > 0
-      UNION ALL SELECT 'distrust', host, distrust FROM h WHERE distrust > 0),{steps}
-s AS (SELECT kind, host, sum(mass)::BIGINT * 15 // 100 AS score FROM ({union}) GROUP BY ALL),
+      UNION ALL SELECT 'distrust', host, distrust FROM h WHERE distrust > 0),
+m AS (SELECT * FROM m0 UNION ALL
+      SELECT m.kind, e.dst, sum(m.mass * 85 // 100 // degree)::BIGINT FROM m JOIN e ON m.kind = e.kind AND m.host = e.host
+      GROUP BY m.kind, e.dst HAVING sum(m.mass * 85 // 100 // degree) > 0),
+s AS (SELECT kind, host, sum(mass)::BIGINT * 15 // 100 AS score FROM m GROUP BY ALL),
 r AS (SELECT host, coalesce(sum(score) FILTER (kind = 'trust'), 0)::BIGINT AS trust,
              coalesce(sum(score) FILTER (kind = 'distrust'), 0)::BIGINT AS distrust FROM s GROUP BY host)
 SELECT page_id, f.host, path, substr(fit, 7) AS rule,
@@ -154,13 +152,14 @@ ORACLES["op1_url_filter"] = _url_sql()
 def op4_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit of the pages as WARC files against a replica in which some records
     have changed bytes and some are gone."""
-    records = warc_fixity.warc_records(table(spark, sf_dir, "pages"))
-    middle = F.floor(F.length("body") / 2).cast("int")
-    rotten = F.concat(F.substring(F.col("body"), F.lit(1), middle), F.lit("~"),
-                      F.substring(F.col("body"), middle + 2, F.length("body")))
-    replica = records.filter("page_id is null or page_id % 211 <> 5").withColumn(
-        "body", F.when(F.col("page_id") % 97 == 13, rotten).otherwise(F.col("body")))
-    return warc_fixity.report(records, replica)
+    def rotten(body: Column) -> Column:
+        middle = F.floor(F.length(body) / 2).cast("int")
+        return F.concat(F.substring(body, F.lit(1), middle), F.lit("~"), F.substring(body, middle + 2, F.length(body)))
+
+    replica = F.when(F.col("page_id") % 97 == 13, rotten(F.col("body"))).otherwise(F.col("body"))
+    index = cut(warc_fixity.warc_index(table(spark, sf_dir, "pages"), replica=replica))
+    kept = index.filter("page_id is null or page_id % 211 <> 5")
+    return warc_fixity.report(index, kept.select("file", "offset", F.col("replica").alias("digest")))
 
 
 def _warc_sql() -> str:

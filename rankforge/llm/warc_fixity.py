@@ -7,10 +7,11 @@ the next level is read, and so on down to the records of the few ranges that
 really differ. Nodes are aligned by offset, so a lost record damages its own
 range only.
 
-A leaf range holds at most ``RANGE`` bytes of records, an inner node
-``FAN_OUT`` children: no group is unbounded, whatever the size of a file.
+A leaf range holds at most ``RANGE`` bytes of records, an inner node at most
+``FAN_OUT`` children, a root one child per 256 MB of its file. Bodies are hashed
+where they are read; only offsets and digests are shuffled.
 
-Edge cases: null record bodies are hashed as empty; a file or record that only
+Edge cases: null record bodies are hashed as empty, bodies of any length whole; a file or record that only
 one side has is missing or extra; records with equal file and offset are
 hashed in the order of their hashes and reported once; empty tables give an
 empty audit; other columns are ignored.
@@ -18,7 +19,7 @@ empty audit; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankforge.llm.common import cut
@@ -29,23 +30,45 @@ RANGE, FAN_OUT, LEVELS = 1 << 16, 16, 4
 def warc_records(pages: DataFrame, records_per_file: int = 500) -> DataFrame:
     """``pages(page_id, url, html)`` as WARC response records ``(file, offset,
     length, page_id, body)``, ``records_per_file`` page numbers to a file.
-    Rows without a page_id are spread over further files by a hash."""
+    Rows without a page_id are spread over further files by a hash. The bodies
+    go through the window that makes the offsets: for an audit of many or long
+    records take ``warc_index``."""
+    return _with_offsets(_bodies(pages, records_per_file)).select("file", "offset", "length", "page_id", "body")
+
+
+def warc_index(pages: DataFrame, records_per_file: int = 500, **versions: Column) -> DataFrame:
+    """The records of ``warc_records`` as an index ``(file, offset, length,
+    page_id, digest)``. Each of ``versions``, a body as a column over
+    ``page_id`` and ``body``, adds its digest under its name."""
+    rows = _bodies(pages, records_per_file).select(
+        "file", "page_id", "length", "digest", *(_digest(v).alias(name) for name, v in versions.items()))
+    return _with_offsets(rows).select("file", "offset", "length", "page_id", "digest", *versions)
+
+
+def _digest(body: Column) -> Column:
+    return F.sha2(F.coalesce(body, F.lit("")).cast("binary"), 256)
+
+
+def _bodies(pages: DataFrame, records_per_file: int) -> DataFrame:
     html = F.coalesce("html", F.lit(""))
     body = F.concat(F.lit("WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: "), F.coalesce("url", F.lit("")),
                     F.lit("\r\nContent-Length: "), F.octet_length(html), F.lit("\r\n\r\n"), html, F.lit("\r\n\r\n"))
     file = F.coalesce(F.floor(F.col("page_id") / records_per_file),
                       -1 - F.pmod(F.xxhash64("url", "html"), F.lit(1 << 20)))
-    rows = pages.select("page_id", file.alias("file"), body.alias("body")).withColumn("length", F.octet_length("body"))
-    rows = rows.withColumn("digest", F.sha2(F.col("body").cast("binary"), 256))
+    rows = pages.select("page_id", file.alias("file"), body.alias("body"))
+    return rows.withColumn("length", F.octet_length("body").cast("long")).withColumn("digest", _digest(F.col("body")))
+
+
+def _with_offsets(rows: DataFrame) -> DataFrame:
     before = Window.partitionBy("file").orderBy("page_id", "digest").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long")) \
-        .select("file", "offset", F.col("length").cast("long").alias("length"), "page_id", "body")
+    return rows.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long"))
 
 
 def hashed(records: DataFrame) -> DataFrame:
-    """``records(file, offset, body)`` -> ``(file, offset, node, digest)``."""
-    return records.select("file", "offset", F.floor(F.col("offset") / RANGE).alias("node"),
-                          F.sha2(F.coalesce("body", F.lit("")).cast("binary"), 256).alias("digest"))
+    """``records(file, offset, body)``, or with a ``digest`` instead of the
+    body -> ``(file, offset, node, digest)``."""
+    digest = _digest(F.col("body")) if "body" in records.columns else F.col("digest")
+    return records.select("file", "offset", F.floor(F.col("offset") / RANGE).alias("node"), digest.alias("digest"))
 
 
 def merkle_levels(records: DataFrame) -> list[DataFrame]:

@@ -8,7 +8,7 @@ from rankforge.llm import queries, url_filter as U
 RULES = queries.URL_RULES
 
 
-def brute(pages):
+def brute(pages, rounds=30):
     def parts(url):
         m = re.search(r"://([^/?#]*)([^?#]*)", url or "", re.S)
         return ("", "") if not m else ("".join(c.lower() if "A" <= c <= "Z" else c for c in m[1]), m[2])
@@ -36,7 +36,7 @@ def brute(pages):
                 seed[host][1] += 1
         mass = {h: 10**12 * n // k for h, (n, k) in seed.items() if n}
         total = defaultdict(int, mass)
-        for _ in range(30):
+        for _ in range(rounds):
             following = defaultdict(int)
             for h, m in mass.items():
                 for to in out[h]:
@@ -66,8 +66,9 @@ def planted():
 def test_against_brute_force_and_sql(spark):
     rows = planted()
     df = spark.createDataFrame([(*r, "z") for r in rows], "page_id long, url string, html string, host string")
+    assert sorted((tuple(r) for r in U.judge_urls(df, RULES, rounds=30).collect()), key=str) == brute(rows)
     got = sorted((tuple(r) for r in U.judge_urls(df, RULES).collect()), key=str)
-    assert got == brute(rows)
+    assert got == brute(rows, rounds=300)
     verdict = {r[0]: r[4] for r in got}
     assert verdict[2] == "block" and verdict[4] == "allow" and verdict[14] == "allow"
     con = duckdb.connect()
@@ -76,3 +77,13 @@ def test_against_brute_force_and_sql(spark):
     sql = sorted(con.execute("SELECT page_id, host, path, rule, verdict, trust, distrust FROM (" + queries.ORACLES["op1_url_filter"] + ")").fetchall(), key=str)
     assert sql == got
     assert U.judge_urls(df.limit(0), RULES).collect() == []
+
+
+def test_long_chains_and_a_hot_host(spark):
+    """Distrust reaches hosts more than 30 links away; one host with many pages is spread by salt."""
+    a = lambda i: f"<a href='http://h{i + 1}.io/'>l</a>"
+    rows = [(i, f"http://h{i}.io/", a(i)) for i in range(40)] + [(99, "http://h40.io/", "<a href='http://bad.net/'>l</a>"), (100, "http://bad.net/", "")]
+    rows += [(1000 + i, f"http://h39.io/{i}", "") for i in range(3000)]
+    got = sorted((tuple(r) for r in U.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string"), RULES).collect()), key=str)
+    assert got == brute(rows, rounds=300)
+    assert next(r for r in got if r[0] == 0)[6] > 0

@@ -46,3 +46,13 @@ def test_records_of_pages_and_edge_cases(spark):
     empty = W.warc_records(pages.limit(0))
     assert W.report(empty, empty).collect() == []
     assert [r.intact for r in W.report(W.warc_records(pages), empty).collect()] == [False] * 3
+
+
+def test_index_has_the_digests_of_the_records(spark):
+    from pyspark.sql import functions as F
+    pages = spark.createDataFrame([(1, "u", "<p>"), (2, None, None), (2, None, None), (7, "v", "y" * 300_000)], "page_id long, url string, html string")
+    index = W.warc_index(pages, other=F.concat("body", F.lit("!")))
+    assert index.columns == ["file", "offset", "length", "page_id", "digest", "other"]
+    assert W.report(W.warc_records(pages), index).first().intact
+    files, damage = W.audit(index, index.select("file", "offset", F.col("other").alias("digest")))
+    assert damage.filter("status = 'corrupt'").count() == 4 and not files.first().intact
