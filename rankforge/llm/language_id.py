@@ -16,13 +16,24 @@ The models are sorted hash arrays: all n-grams of an order by ascending 64-bit
 hash, with one row of probabilities per language. A text's cross-entropy is the
 mean over all its characters; the lowest wins. ``score`` is the posterior of
 the winner times its fit: 1 as long as the cross-entropy stays within
-``slack`` standard errors plus ``margin`` of what the language's own training
-text has, and falling exponentially beyond. A score below ``min_score`` rejects.
+``slack`` standard errors plus ``margin`` of what is usual for the language,
+and falling exponentially beyond. A score below ``min_score`` rejects.
+
+Posterior and rejection are calibrated on labelled texts that a model has not
+seen: every eighth, by a hash of the text (so copies stay together), is kept
+from a first model and scored by it. The temperature of the posterior is the
+one of a grid with the least log-loss of the true languages; a language's usual
+cross-entropy is the mean over its characters there; ``margin`` is the
+``QUANTILE`` of what the texts need beyond ``slack`` standard errors. The final
+models count all labelled texts. Where no labelled text is kept apart (very few
+texts), the temperature is 1, the usual cross-entropy that of the counted text
+and ``margin`` 0.5; a language without one keeps its own counted text's.
 
 Edge cases: null text or text without a letter is ``und`` with score 0 and is
 rejected; without any training text everything is; equal cross-entropies take
 the language that sorts first; null doc_ids count as the empty text in the
-held-out rule; repeated rows and other columns are kept as they are.
+held-out rule; texts of any length count and are scored whole; an empty table
+gives an empty result; repeated rows and other columns are kept as they are.
 """
 
 from __future__ import annotations
@@ -35,9 +46,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import mix64
+from rankforge.llm.common import cut, mix64
 
 ORDER = 4
+#: One labelled text of so many calibrates; the temperatures tried; the share of texts that fit without penalty.
+APART, HEAT, QUANTILE = 8, 2.0 ** -np.arange(0, 10.5, 0.5), 0.99
 _CODE = np.uint64(16)
 _OTHER = 0xFFFF
 
@@ -79,11 +92,17 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(3)) == 1
 
 
+def apart(text: Column) -> Column:
+    """Whether a labelled text calibrates the models."""
+    return F.pmod(F.xxhash64(text), F.lit(APART)) == 0
+
+
 def count_grams(docs: DataFrame) -> DataFrame:
-    """``docs(text, lang)`` -> ``(lang, gram, n)`` over every row with both."""
+    """``docs(text, lang)`` -> ``(lang, gram, n, n_apart)`` over every row with
+    both; ``n_apart`` is what the texts kept apart have of ``n``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        kept: dict[tuple[str, bool], list[tuple[np.ndarray, np.ndarray]]] = {}
         held = 0
 
         def merged(parts):
@@ -95,20 +114,20 @@ def count_grams(docs: DataFrame) -> DataFrame:
             return keys[starts], np.add.reduceat(counts, starts)
 
         def flush():
-            for lang, parts in kept.items():
+            for (lang, aside), parts in kept.items():
                 keys, counts = merged(parts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(counts)],
-                    names=["lang", "gram", "n"])
+                    [pa.array([lang] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(counts),
+                     pa.array(counts if aside else np.zeros_like(counts))], names=["lang", "gram", "n", "n_apart"])
             kept.clear()
 
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                by: dict[str, list[np.ndarray]] = {}
-                for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
+                by: dict[tuple[str, bool], list[np.ndarray]] = {}
+                for text, *key in zip(*(part.column(c).to_pylist() for c in ("text", "lang", "aside"))):
                     if len(codes := char_codes(text)):
-                        by.setdefault(lang, []).append(gram_keys(codes))
+                        by.setdefault(tuple(key), []).append(gram_keys(codes))
                 for lang, keys in by.items():
                     grams, counts = np.unique(np.concatenate(keys), return_counts=True)
                     kept.setdefault(lang, []).append((grams, counts.astype(np.int64)))
@@ -120,8 +139,9 @@ def count_grams(docs: DataFrame) -> DataFrame:
         if kept:
             yield from flush()
 
-    rows = docs.select("text", "lang").filter("text is not null and lang is not null")
-    return rows.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    rows = docs.select("text", "lang", apart(F.col("text")).alias("aside")).filter("text is not null and lang is not null")
+    return rows.mapInArrow(run, "lang string, gram long, n long, n_apart long").groupBy("lang", "gram").agg(
+        F.sum("n").alias("n"), F.sum("n_apart").alias("n_apart"))
 
 
 class HashArray:
@@ -205,6 +225,7 @@ class LanguageModels:
             self.contexts.append(contexts)
             self.backoff.append(back[contexts.order])
         self.log = np.log(self.prob[-1]) if self.langs else None
+        self.heat, self.margin = 1.0, 0.5
         # mean and spread of the cross-entropy per character over the training counts
         self.mean, self.spread = np.zeros(len(self.langs)), np.zeros(len(self.langs))
         for i, lang in enumerate(self.langs):
@@ -273,13 +294,14 @@ class LanguageModels:
         score()
         return sizes, out
 
-    def predict(self, texts: list[str | None], slack: float, margin: float) -> tuple[list[str], np.ndarray, np.ndarray]:
+    def predict(self, texts: list[str | None], slack: float, margin: float | None = None) -> tuple[list[str], np.ndarray, np.ndarray]:
         sizes, h = self.entropies(texts)
+        margin = self.margin if margin is None else margin
         score, entropy = np.zeros(len(texts)), np.full(len(texts), np.nan)
         lang = ["und"] * len(texts)
         for i in np.flatnonzero((sizes > 0) & bool(self.langs)):
             best = int(h[i].argmin())
-            weight = np.exp(-(h[i] - h[i, best]) * min(sizes[i], 200))
+            weight = np.exp(-(h[i] - h[i, best]) * sizes[i] * self.heat)
             allowed = self.mean[best] + margin + slack * self.spread[best] / np.sqrt(sizes[i])
             score[i] = min(1.0, np.exp(allowed - h[i, best])) / weight.sum()
             lang[i], entropy[i] = self.langs[best], h[i, best]
@@ -289,23 +311,75 @@ class LanguageModels:
 def fit_language_models(docs: DataFrame, model_grams: int | None = None) -> LanguageModels:
     """Models of every non-null ``lang`` in ``docs(text, lang)``; with
     ``model_grams``, of about so many four-character n-grams at most, but one of each language at least."""
-    got = count_grams(docs).select("lang", "gram", "n").toArrow().combine_chunks()
+    got = count_grams(docs).toArrow().combine_chunks()
     lang = pa.concat_arrays([pa.array([], pa.string()), *got.column("lang").chunks]).dictionary_encode()
     names, which = lang.dictionary.to_pylist(), lang.indices.to_numpy()
     gram = got.column("gram").to_numpy().view(np.uint64)
-    n = got.column("n").to_numpy()
-    out = {}
-    for i, x in enumerate(names):
-        mine = which == i
-        order = np.argsort(gram[mine])
-        out[x] = (gram[mine][order], n[mine][order])
-    return LanguageModels(out, None if model_grams is None else max(1, model_grams // max(1, len(out))))
-
+    n, aside = got.column("n").to_numpy(), got.column("n_apart").to_numpy()
+    del got, lang
+    most = None if model_grams is None else max(1, model_grams // max(1, len(names)))
+
+    def build(n: np.ndarray) -> LanguageModels:
+        out = {}
+        for i, x in enumerate(names):
+            mine = np.flatnonzero((which == i) & (n > 0))
+            if len(mine):
+                mine = mine[np.argsort(gram[mine])]
+                out[x] = gram[mine], n[mine]
+        return LanguageModels(out, most)
+
+    fit = calibration(docs, build(n - aside)) if aside.any() else None
+    models = build(n)
+    if fit:
+        models.heat, models.margin = fit["heat"], fit["margin"]
+        for i, x in enumerate(models.langs):
+            models.mean[i] = fit["mean"].get(x, models.mean[i])
+    return models
+
+
+def calibration(docs: DataFrame, models: LanguageModels, slack: float = 4.0) -> dict | None:
+    """Temperature, margin and usual cross-entropy by language, from the texts
+    of ``docs(text, lang)`` that ``models`` have not seen; None if there is none
+    in a language they know. One pass; the driver gets one row per language."""
+    shared = docs.sparkSession.sparkContext.broadcast(models)
+    loss = [f"loss{j}" for j in range(len(HEAT))]
 
-def classify(docs: DataFrame, models: LanguageModels, slack: float = 4.0, margin: float = 0.5,
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        at = {x: i for i, x in enumerate(m.langs)}
+        for b in batches:
+            for start in range(0, b.num_rows, 256):
+                part = b.slice(start, 256)
+                lang = part.column("lang").to_pylist()
+                sizes, h = m.entropies(part.column("text").to_pylist())
+                rows = [i for i, x in enumerate(lang) if x in at and sizes[i] > 0]
+                own = np.array([at[lang[i]] for i in rows], np.int64)
+                size, h = sizes[rows], h[rows]
+                true = h[np.arange(len(rows)), own]
+                gap = (h - h.min(axis=1, keepdims=True)) * size[:, None] if rows else h
+                losses = [np.log(np.exp(-gap * t).sum(axis=1)) + gap[np.arange(len(rows)), own] * t for t in HEAT]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang[i] for i in rows], pa.string()), pa.array(size), pa.array(true),
+                     pa.array(m.spread[own]), *map(pa.array, losses)], names=["lang", "size", "h", "spread", *loss])
+
+    rows = docs.select("text", "lang").filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & apart(F.col("text")))
+    scored = cut(rows.mapInArrow(run, "lang string, size long, h double, spread double, " + ", ".join(f"{x} double" for x in loss)))
+    sums = scored.groupBy("lang").agg((F.sum(F.col("h") * F.col("size")) / F.sum("size")).alias("mean"),
+                                      *(F.sum(x).alias(x) for x in loss)).collect()
+    if not sums:
+        return None
+    mean = {r["lang"]: r["mean"] for r in sums}
+    usual = F.broadcast(docs.sparkSession.createDataFrame(list(mean.items()), "lang string, mean double"))  # a row per language
+    beyond = F.col("h") - F.col("mean") - slack * F.col("spread") / F.sqrt("size")
+    margin = scored.join(usual, "lang").agg(F.percentile_approx(beyond, QUANTILE, 10_000)).first()[0]
+    total = [sum(r[x] for r in sums) for x in loss]
+    return {"heat": float(HEAT[int(np.argmin(total))]), "margin": max(0.0, margin), "mean": mean}
+
+
+def classify(docs: DataFrame, models: LanguageModels, slack: float = 4.0, margin: float | None = None,
              min_score: float = 0.3) -> DataFrame:
     """``docs`` plus ``lang_pred``, ``score``, ``cross_entropy``, ``rejected``;
-    only the text is looked at. Columns of these names are replaced."""
+    only the text is looked at. ``margin`` is the models' own unless given. Columns of these names are replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(models)
     new = [("lang_pred", "string"), ("score", "double"), ("cross_entropy", "double"), ("rejected", "boolean")]
     kept = [c for c in docs.columns if c not in dict(new)]

@@ -94,3 +94,75 @@ def test_no_language_or_type_is_left_out(spark):
     assert len(models.grams[-1].hashes) > 1_190_000
     assert L.fit_language_models(df, model_grams=2).langs == ["en", "z"]
     assert models.predict([text[:200]], 4.0, 0.5)[0] == ["z"]
+
+
+def naive_kneser_ney(text):
+    """Probability of a character after three others, by the definition, in dictionaries."""
+    from collections import Counter, defaultdict
+    padded = "   " + "".join(map(chr, L.char_codes(text)))
+    orders = {4: Counter(padded[i:i + 4] for i in range(len(padded) - 3))}
+    for n in (3, 2, 1):
+        orders[n] = Counter(g[1:] for g in orders[n + 1])
+    rates, after = {}, {}
+    for n, grams in orders.items():
+        once, twice = (sum(c == k for c in grams.values()) for k in (1, 2))
+        rates[n] = once / (once + 2 * twice) if once and twice else 0.5
+        after[n] = defaultdict(list)
+        for g, c in grams.items():
+            after[n][g[:-1]].append(c)
+
+    def p(gram):
+        n = len(gram)
+        if n == 0:
+            return 1 / 65536
+        seen = after[n].get(gram[:-1])
+        if not seen:
+            return p(gram[1:])
+        c, d = orders[n].get(gram, 0), rates[n]
+        return (max(c - d, 0) + d * len(seen) * p(gram[1:])) / sum(seen)
+    return p
+
+
+def test_against_a_naive_kneser_ney():
+    train = {"x": "the cat sat on the mat and the hat of the rat", "y": "der hund und die katze und der hut"}
+    m = L.LanguageModels({k: counts([t]) for k, t in train.items()})
+    for text in ("the katze sat", "zz und q", "a", "der the der " * 40):
+        codes = L.char_codes(text)
+        padded = "   " + "".join(map(chr, codes))
+        _, h = m.entropies([text])
+        for i, lang in enumerate(m.langs):
+            p = naive_kneser_ney(train[lang])
+            want = -np.mean([np.log(p(padded[j:j + 4])) for j in range(len(codes))])
+            assert np.isclose(h[0, i], want), (text, lang)
+
+
+def test_calibration(spark):
+    """Counts of the texts kept apart, and their temperature, usual cross-entropy and margin, by a plain version."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text", "lang")
+    rows = docs.filter("text is not null and lang is not null").select("text", "lang", L.apart(F.col("text")).alias("aside")).collect()
+    models = L.fit_language_models(docs)
+    by = {}
+    for r in rows:
+        if not r.aside and len(L.char_codes(r.text)):
+            by.setdefault(r.lang, []).append(r.text)
+    first = L.LanguageModels({k: counts(v) for k, v in by.items()})
+    kept = [r for r in rows if r.aside and len(L.char_codes(r.text))]
+    sizes, h = first.entropies([r.text for r in kept])
+    own = np.array([first.langs.index(r.lang) for r in kept])
+    true = h[np.arange(len(kept)), own]
+    for i, lang in enumerate(models.langs):
+        mine = own == i
+        assert np.isclose(models.mean[i], (true * sizes)[mine].sum() / sizes[mine].sum())
+    gap = (h - h.min(1, keepdims=True)) * sizes[:, None]
+    losses = [(np.log(np.exp(-gap * t).sum(1)) + gap[np.arange(len(kept)), own] * t).sum() for t in L.HEAT]
+    assert models.heat == L.HEAT[int(np.argmin(losses))]
+    beyond = np.sort(true - models.mean[own] - 4 * first.spread[own] / np.sqrt(sizes))
+    assert np.isclose(models.margin, max(0.0, beyond[int(np.ceil(0.99 * len(beyond))) - 1]))
+    whole = {k: counts([r.text for r in rows if r.lang == k and len(L.char_codes(r.text))]) for k in by}
+    assert (models.grams[-1].hashes == L.LanguageModels(whole).grams[-1].hashes).all()
+
+
+def test_all_evidence_counts():
+    m = L.LanguageModels({"x": counts(["the cat sat on the mat"]), "y": counts(["the cat sat on the hat"])})
+    scores = m.predict(["a mat " * k for k in (1, 10, 100, 1000)], 1e9, 0.0)[1]
+    assert (np.diff(scores) >= 0).all() and scores[-1] > 0.999
