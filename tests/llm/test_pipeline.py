@@ -13,7 +13,7 @@ import __spark_entry__
 import corpus_pipeline
 from rankforge.llm import bpe, queries
 
-TABLES = "documents embeddings pages".split()
+TABLES = ["documents", "pages", "embeddings", "benchmark", "conversations"]
 
 
 def test_pipeline_against_brute_force(spark, sf_small):
