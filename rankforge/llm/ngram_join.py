@@ -7,20 +7,23 @@ when ``100 * |A n B| >= threshold * |A u B|``.
    ``k = (a + b)(100 - t) / (100 + t)`` n-grams. The hash range is cut into
    more than k segments (per size level), so linked sets agree on a whole
    segment. Only one 64-bit digest per segment is shuffled, about t% less than
-   the n-grams themselves.
-2. *Stars.* In each block every class is compared with the block's smallest
-   class. That joins large groups of copies in time linear in their size.
-3. *Trie.* Blocks whose classes are still in several components are settled by
-   a radix trie of the sets in one order of n-grams (rare ones first): a
+   the n-grams themselves. Classes that share blocks form a cluster.
+2. *Trie.* Every cluster of at most ``block_tokens`` n-grams is searched in one
+   task by a radix trie of its sets. One order of n-grams, by hash, holds for the
+   whole table: rare-first order would need the frequency of every n-gram. A
    traversal, level by level, shares the overlap of common prefixes and leaves a
    subtree when overlap so far plus the shorter remainder cannot reach the
-   required overlap. A cluster with more than
-   ``block_tokens`` n-grams is cut into chunks, one task for each pair of
-   chunks, so no task holds an unbounded cluster and no pair is missed.
+   required overlap, or when it holds only sets that are connected already.
+3. *Larger clusters.* In each of their blocks every class is first compared with
+   the block's smallest class, which joins large groups of copies in time linear
+   in their size. Blocks still in several components go to the trie as well; a
+   cluster of them with more than ``block_tokens`` n-grams is cut into
+   chunks, one task for each pair of chunks, so no task holds an unbounded
+   cluster and no pair is missed.
 
 Nothing is capped or sampled. Equality of 64-bit hashes stands for equality of
 n-grams (within a pair of documents of 10^4 n-grams, an error has probability
-below 10^-11) and of whole sets (an error is expected in N^2 / 2^65 of N sets).
+below 10^-11), equality of 128-bit digests for that of whole sets.
 
 Edge cases: null, empty or blank text gives an empty set (0 n-grams), linked
 with nothing; with fewer than n words the whole sequence is the only n-gram;
@@ -37,7 +40,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankforge.llm.common import connected_components, cut, mix64
@@ -135,7 +138,7 @@ _CELLS = 1 << 20
 
 def document_sets(docs: DataFrame, n: int, threshold: int, with_sets: bool) -> DataFrame:
     """``(doc_id, n_shingles, key, sigs)`` or, with sets, ``(key, n_shingles,
-    grams)``; key is a 64-bit digest of the set, null for an empty set."""
+    grams)``; key is a 128-bit digest of the set, null for an empty set."""
     sizes = levels(threshold, _TOP)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,7 +149,7 @@ def document_sets(docs: DataFrame, n: int, threshold: int, with_sets: bool) -> D
                 part = b.slice(at, 256)
                 sets = [shingle(t) for t in part.column("text").to_pylist()]
                 size = pa.array([len(s) for s in sets], pa.int64())
-                key = pa.array([xxhash.xxh3_64_intdigest(s.tobytes()) - 2**63 if len(s) else None for s in sets], pa.int64())
+                key = pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())
                 lists = sets if with_sets else [
                     np.concatenate(segment_digests(s, threshold, *sizes) or [none]) if len(s) else none
                     for s in sets]
@@ -159,8 +162,8 @@ def document_sets(docs: DataFrame, n: int, threshold: int, with_sets: bool) -> D
                     names=[*([] if with_sets else ["doc_id"]), "n_shingles", "key", "grams" if with_sets else "sigs"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = "n_shingles long, key long, grams array<long>" if with_sets else \
-        f"doc_id {kind}, n_shingles long, key long, sigs array<long>"
+    schema = "n_shingles long, key binary, grams array<long>" if with_sets else \
+        f"doc_id {kind}, n_shingles long, key binary, sigs array<long>"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
@@ -208,13 +211,10 @@ def trie_links(sets: list[np.ndarray], group: list[int], threshold: int,
                side: list[int] | None = None) -> list[tuple[int, int]]:
     """Links that connect sets of different ``group``; enough of them that
     linked sets end connected. With ``side``, only pairs of different sides are
-    compared. The n-grams are ordered by their frequency here, rare ones first,
-    then by hash."""
-    ids, dense, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    rank = np.empty(len(ids), np.int64)
-    rank[np.argsort(count, kind="stable")] = np.arange(len(ids))
+    compared. The sets are ascending, in the order of hashes that holds for all."""
+    ids, dense = np.unique(np.concatenate(sets), return_inverse=True)
     bounds = np.cumsum([0, *map(len, sets)])
-    ranked = [np.sort(rank[dense[a:b]]) for a, b in zip(bounds, bounds[1:])]
+    ranked = [dense[a:b] for a, b in zip(bounds, bounds[1:])]
     order = sorted(range(len(ranked)), key=lambda i: ranked[i].astype(">u4").tobytes())
     ranked = [ranked[i] for i in order]
     root = np.array(group, np.int64)[order]
@@ -226,15 +226,17 @@ def trie_links(sets: list[np.ndarray], group: list[int], threshold: int,
         return -(-threshold * (a + b) // (100 + threshold))
 
     for q, x in enumerate(ranked):
-        if (root == root[q]).all():
-            break
+        # sets up to each place that are not connected with this one
+        apart = np.concatenate([[0], np.cumsum((root != root[q]) & (part != part[q]))])
+        if apart[-1] == apart[q + 1]:
+            continue
         held[x] = True
         size = len(x)
         node, overlap = np.zeros(1, np.int64), np.zeros(1, np.int64)
         while len(node):
             lo, hi = t.lo[node], t.hi[node]
-            keep = (hi > q + 1) & (t.large[node] * 100 >= threshold * size) & (size * 100 >= threshold * t.small[node]) \
-                & ((hi - lo > 1) | (root[lo] != root[q]) & (part[lo] != part[q]))
+            keep = (t.large[node] * 100 >= threshold * size) & (size * 100 >= threshold * t.small[node]) \
+                & (apart[hi] > apart[np.minimum(np.maximum(lo, q + 1), hi)])
             node, overlap = node[keep], overlap[keep]
             lengths = t.end[node] - t.start[node]
             found = np.concatenate([[0], np.cumsum(held[t.flat[ranges(t.begin[node], lengths)]])])
@@ -256,78 +258,114 @@ def trie_links(sets: list[np.ndarray], group: list[int], threshold: int,
     return links
 
 
+#: Shares that rows of one class, or classes of one component, are dealt to.
+_SHARES = 8
+
+
 def ngram_components(docs: DataFrame, n: int = 5, threshold: int = 80,
                      block_tokens: int = 400_000) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row of ``docs(doc_id,
     text)``: size of its n-gram set and the smallest doc_id linked to it,
     directly or through others, at a Jaccard similarity of ``threshold`` %."""
     sized = cut(document_sets(docs, n, threshold, with_sets=False))
-    classes = sized.filter("key is not null").groupBy("key").agg(
-        F.min("doc_id").alias("doc_id"), F.first("sigs").alias("sigs"))
-    blocks = classes.select("key", F.explode("sigs").alias("sig"))
-    leader = F.min("key").over(Window.partitionBy("sig"))
-    stars = cut(blocks.withColumn("leader", leader).filter("key <> leader"))
-
-    wanted = stars.select("key").union(stars.select("leader")).distinct()
-    reps = classes.select("key", F.col("doc_id").alias("rep")).join(wanted, "key").select("rep").distinct()
+    # the checkpoint fixes the class numbers
+    classes = cut(sized.filter("key is not null").groupBy("key").agg(
+        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sigs").alias("sigs"),
+        F.count("*").alias("rows")).withColumn("id", F.monotonically_increasing_id()))
+    stars = cut(block_stars(classes))
+    grams = cut(members(docs, classes, stars, n, threshold, block_tokens))
+    links = tree_links(grams, threshold).union(large_links(grams, stars, threshold, block_tokens))
+
+    linked = cut(classes.select("id", "key", "rep").join(
+        connected_components(links).withColumnRenamed("node", "id"), "id"))
+    share = lambda col: F.pmod(F.xxhash64(col), F.lit(_SHARES)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(_SHARES - 1)))
+    least = linked.groupBy("component").agg(F.min("rep").alias("component_id")).withColumn("share", every)
+    named = linked.withColumn("share", share("id")).join(least, ["component", "share"]).select("key", "component_id")
+    copies = classes.filter("rows > 1").select("key", F.col("rep").alias("component_id")).join(named, "key", "left_anti")
+    label = named.union(copies).withColumn("share", every)
+    return sized.select("doc_id", "n_shingles", "key").withColumn("share", share("doc_id")) \
+        .join(label, ["key", "share"], "left").select(
+            "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def block_stars(classes: DataFrame) -> DataFrame:
+    """``(sig, id, leader)``: blocks of several classes, each class but the
+    smallest, the leader, beside it."""
+    blocks = classes.select("id", F.explode("sigs").alias("sig"))
+    shared = blocks.groupBy("sig").agg(F.min("id").alias("leader"), F.max("id").alias("top")) \
+        .filter("leader <> top").select("sig", "leader")
+    return blocks.join(shared, "sig").filter("id <> leader").select("sig", "id", "leader")
+
+
+def members(docs: DataFrame, classes: DataFrame, stars: DataFrame, n: int, threshold: int,
+            block_tokens: int) -> DataFrame:
+    """``(id, cluster, large, n_shingles, grams)`` of the classes in blocks;
+    ``large`` if the cluster has more than ``block_tokens`` n-grams."""
+    cluster = connected_components(stars.select(F.col("id").alias("u"), F.col("leader").alias("v"))) \
+        .select(F.col("node").alias("id"), F.col("component").alias("cluster"))
+    placed = cut(classes.select("id", "key", "rep", "n_shingles").join(cluster, "id"))
+    large = placed.groupBy("cluster").agg((F.sum("n_shingles") > block_tokens).alias("large"))
+    reps = placed.select("rep").distinct()
     # most texts are in no block: a broadcast of at most _CELLS cell numbers keeps them out of the exchange
     cell = lambda col: F.pmod(F.xxhash64(col), F.lit(_CELLS))
     cells = reps.select(cell("rep").alias("cell")).distinct()
     texts = docs.select("doc_id", "text").join(F.broadcast(cells), cell("doc_id") == F.col("cell"), "left_semi") \
         .join(reps, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
-    grams = cut(document_sets(texts, n, threshold, with_sets=True)
-                .join(wanted, "key", "left_semi").dropDuplicates(["key"]))
+    return document_sets(texts, n, threshold, with_sets=True).join(
+        placed.join(large, "cluster").select("key", "id", "cluster", "large"), "key") \
+        .dropDuplicates(["id"]).select("id", "cluster", "large", "n_shingles", "grams")
+
 
-    other = grams.select(F.col("key").alias("leader"), F.col("grams").alias("led"), F.col("n_shingles").alias("n_led"))
+def _settle(pdf: pd.DataFrame, threshold: int, group: list[int], side: list[int] | None) -> pd.DataFrame:
+    found = trie_links([np.asarray(g, np.int64).view(np.uint64) for g in pdf["grams"]], group, threshold, side)
+    ids = pdf["id"].to_numpy()
+    return pd.DataFrame({"u": ids[[a for a, _ in found]], "v": ids[[b for _, b in found]]})
+
+
+def tree_links(grams: DataFrame, threshold: int) -> DataFrame:
+    """Links that connect what links in the clusters that are not large."""
+    return grams.filter("not large").select("cluster", "id", "grams").groupBy("cluster").applyInPandas(
+        lambda pdf: _settle(pdf, threshold, list(range(len(pdf))), None), "u long, v long")
+
+
+def large_links(grams: DataFrame, stars: DataFrame, threshold: int, block_tokens: int) -> DataFrame:
+    """Links that connect what links in the large clusters."""
+    grams = grams.filter("large")
+    stars = cut(stars.join(grams.select("id"), "id", "left_semi"))
+    other = grams.select(F.col("id").alias("leader"), F.col("grams").alias("led"), F.col("n_shingles").alias("n_led"))
     both = F.size(F.array_intersect("grams", "led")).cast("long")
     total = F.col("n_shingles") + F.col("n_led")
-    first = cut(stars.select("key", "leader").distinct().join(grams, "key").join(other, "leader")
+    first = cut(stars.select("id", "leader").distinct().join(grams, "id").join(other, "leader")
                 .filter(F.col("n_shingles") * 100 >= F.col("n_led") * threshold)
                 .filter(F.col("n_led") * 100 >= F.col("n_shingles") * threshold)
                 .filter(both * 100 >= (total - both) * threshold)
-                .select(F.col("key").alias("u"), F.col("leader").alias("v")))
+                .select(F.col("id").alias("u"), F.col("leader").alias("v")))
     known = cut(connected_components(first))
 
-    member = stars.select("sig", "key", "leader").union(
-        stars.select("sig", F.col("leader").alias("key"), "leader").distinct())
-    named = (member.join(known.withColumnRenamed("node", "key"), "key", "left")
-             .withColumn("comp", F.coalesce("component", "key")))
+    member = stars.select("sig", "id", "leader").union(
+        stars.select("sig", F.col("leader").alias("id"), "leader").distinct())
+    named = (member.join(known.withColumnRenamed("node", "id"), "id", "left")
+             .withColumn("comp", F.coalesce("component", "id")))
     open_blocks = named.groupBy("sig").agg(F.min("comp").alias("a"), F.max("comp").alias("b")) \
         .filter("a <> b").select("sig")
     left = cut(named.join(open_blocks, "sig", "left_semi"))
-    more = _open_links(left, grams, threshold, block_tokens)
-
-    final = connected_components(first.union(more))
-    lab = sized.select("doc_id", "n_shingles", "key").join(
-        final.withColumnRenamed("node", "key"), "key", "left") \
-        .withColumn("lab", F.coalesce("component", "key"))
-    least = lab.filter("lab is not null").groupBy("lab").agg(F.min("doc_id").alias("component_id"))
-    return lab.select("doc_id", "n_shingles", "lab").join(least, "lab", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-
-
-def _open_links(left: DataFrame, grams: DataFrame, threshold: int, block_tokens: int) -> DataFrame:
-    """Links inside blocks whose classes are not all connected yet."""
-    cluster = cut(connected_components(left.select(F.col("key").alias("u"), F.col("leader").alias("v"))))
-    rows = cut(left.select("key", "comp").distinct()
-               .join(cluster.select(F.col("node").alias("key"), F.col("component").alias("cluster")), "key")
-               .join(grams.select("key", "n_shingles"), "key"))
+
+    cluster = cut(connected_components(left.select(F.col("id").alias("u"), F.col("leader").alias("v"))))
+    rows = cut(left.select("id", "comp").distinct()
+               .join(cluster.select(F.col("node").alias("id"), F.col("component").alias("cluster")), "id")
+               .join(grams.select("id", "n_shingles"), "id"))
     spread = rows.groupBy("cluster").agg(
         F.ceil(F.sum("n_shingles") / F.lit(block_tokens)).cast("int").alias("chunks"))
     placed = (rows.join(spread, "cluster")
-              .withColumn("chunk", F.pmod(F.hash("key"), F.col("chunks")))
+              .withColumn("chunk", F.pmod(F.hash("id"), F.col("chunks")))
               .withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-              .select("cluster", "key", "comp", "chunk",
+              .select("cluster", "id", "comp", "chunk",
                       F.least("chunk", "mate").alias("i"), F.greatest("chunk", "mate").alias("j"))
-              .join(grams.select("key", "grams"), "key"))
+              .join(grams.select("id", "grams"), "id"))
 
     def settle(pdf: pd.DataFrame) -> pd.DataFrame:
-        group = pd.factorize(pdf["comp"])[0].tolist()
-        sets = [np.asarray(g, np.int64).view(np.uint64) for g in pdf["grams"]]
         cross = pdf["i"].iloc[0] != pdf["j"].iloc[0]
-        found = trie_links(sets, group, threshold, pdf["chunk"].tolist() if cross else None)
-        key = pdf["key"].tolist()
-        return pd.DataFrame({"u": [key[a] for a, _ in found], "v": [key[b] for _, b in found]})
+        return _settle(pdf, threshold, pd.factorize(pdf["comp"])[0].tolist(), pdf["chunk"].tolist() if cross else None)
 
-    return placed.groupBy("cluster", "i", "j").applyInPandas(
-        settle, "u long, v long")
+    return first.union(placed.groupBy("cluster", "i", "j").applyInPandas(settle, "u long, v long"))

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from rankforge.llm import ngram_join as J
 
@@ -67,6 +68,47 @@ def test_components_as_brute_force(spark, n, t, tokens):
     assert got(spark, rows, n, t, block_tokens=tokens) == brute(rows, n, t)
 
 
+@pytest.mark.parametrize("n,t", [(3, 90), (5, 80)])
+def test_the_trie_finds_the_links(spark, n, t):
+    rows = planted()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = J.document_sets(df, n, t, with_sets=False).groupBy("key").agg(
+        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sigs").alias("sigs")) \
+        .withColumn("id", F.col("rep"))
+    stars = J.block_stars(classes)
+    members = J.members(df, classes, stars, n, t, 400_000)
+    assert members.filter("large").count() == 0 and J.large_links(members, stars, t, 400_000).count() == 0
+    found = [tuple(r) for r in J.tree_links(members, t).collect()]
+    assert len(found) > 20
+    # with the equal sets, the trie's links give the components of brute force
+    sets, root, parent = {d: grams(x, n) for d, x in rows}, {d: c for d, _, c in brute(rows, n, t)}, {}
+
+    def find(d):
+        while d in parent:
+            d = parent[d]
+        return d
+    by_set = {}
+    for d in sorted(sets):
+        if by_set.setdefault(sets[d], d) != d:
+            parent[d] = by_set[sets[d]]
+    for a, b in found:
+        k = len(sets[a] & sets[b])
+        assert 100 * k >= t * (len(sets[a]) + len(sets[b]) - k)
+        a, b = sorted((find(a), find(b)))
+        assert a != b  # no link is found twice
+        parent[b] = a
+    assert {d: find(d) for d in sets} == root
+
+
+def test_many_equal_rows(spark):
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join(["new", *words[1:]])
+    rows = [(5, " ".join(words))] * 20_000 + [(i, " ".join(words)) for i in range(10_000, 13_000)] + [(3, near), (None, near)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = J.ngram_components(df, 3, 90).groupBy("component_id", "n_shingles").count().collect()
+    assert [tuple(r) for r in out] == [(3, 58, len(rows))]
+
+
 def test_edge_cases(spark):
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "One"), (5, "one"), (6, "a b"), (7, "A\x0bB"), (7, "A\x0bB"),
             (8, "É b c"), (9, "é b c"), (None, "a b"), (10, "x " * 30_000), (11, "x x")]
