@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: One word of the contracts: a run of anything but space and \t \n \v \f \r.
@@ -40,6 +40,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Shares that the rows of one join key are dealt to.
+SHARES = 8
+
+
+def share(col: str) -> Column:
+    """Share of a row: the other side of the join has each row in ``every_share``."""
+    return F.pmod(F.xxhash64(col), F.lit(SHARES)).cast("int")
+
+
+def every_share() -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1)))
+
+
 def _stars(edges: DataFrame) -> bool:
     """Whether each node has one edge to a smaller node or none, and no chain is left."""
     ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("top")),

@@ -12,7 +12,11 @@ the bound is set for ``hits`` filters per vector; a vector in none takes its
 ``hits`` best ones. ``TABLES`` rotations, and more of them where the chance that
 two vectors at the threshold share a filter would be below ``recall``.
 
-Equal vectors are one class with a count. A filter of more than ``block``
+Equal vectors are one class with a count. Filters are joined twice. First with a
+sketch of each vector, the sides of ``SKETCH`` random hyperplanes it lies on:
+only members that have another member within the distance that a pair at the
+threshold keeps (but for a chance of 10^-10) go on. Those are joined again with
+their vectors and compared. A filter of more than ``block``
 classes is cut into chunks, one task for each pair of chunks. A pair found in
 several filters counts in the smallest one it shares. Tasks return link counts
 and enough links to connect what they found, never all pairs. Links are exact;
@@ -36,9 +40,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import connected_components, cut
+from rankforge.llm.common import connected_components, cut, every_share, share
 
 TABLES = 4
+#: Bits of a sketch.
+SKETCH = 256
 #: Pairs of random vectors, in each of TABLES rotations, that the recall is computed from.
 _PAIRS = 500
 
@@ -135,6 +141,16 @@ def tables(dim: int, words: int, hits: float, seed: int, threshold: float, recal
     return max(TABLES, int(np.ceil(np.log(1 - recall) / np.log(missed))))
 
 
+def planes(dim: int, seed: int) -> np.ndarray:
+    return np.random.default_rng([seed, dim, 3]).standard_normal((dim, SKETCH))
+
+
+def sketch_distance(threshold: float) -> int:
+    """Most differing bits of two vectors at the threshold: 6.5 standard deviations over the mean."""
+    p = np.arccos(np.clip(threshold, -1, 1)) / np.pi
+    return int(np.ceil(SKETCH * p + 6.5 * np.sqrt(SKETCH * p * (1 - p)))) + 2
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9, per_filter: float = 200.0, hits: float = 12.0,
                     block: int = 1024, seed: int = 11, recall: float = 0.999) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for ``vectors(vec_id, embedding)``."""
@@ -151,7 +167,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, per_filter: floa
 
     rows = cut(vectors.select("vec_id", "embedding").mapInArrow(digest, f"vec_id {kind}, key binary, vec array<double>"))
     classes = rows.filter("key is not null").groupBy("key").agg(
-        F.first("vec").alias("vec"), F.count("*").alias("copies"))
+        F.first("vec").alias("vec"), F.count("*").alias("copies"), F.min("vec_id").alias("rep"))
     n = classes.count()
     words = max(8, int(np.ceil(np.sqrt(n * hits / per_filter))))
     dims = [r[0] for r in classes.select(F.size("vec")).distinct().collect()]
@@ -161,7 +177,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, per_filter: floa
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes: dict[int, list[ProductCode]] = {}
         for pdf in batches:
-            out = [[] for _ in range(len(pdf))]
+            out, sketches = [[] for _ in range(len(pdf))], [b""] * len(pdf)
             dims = pdf["vec"].map(len).to_numpy()
             for dim in np.unique(dims).tolist():
                 if dim not in codes:
@@ -171,17 +187,41 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, per_filter: floa
                 for t, code in enumerate(codes[dim]):
                     for i, found in zip(at, code.decode(x)):
                         out[i].append((dim * most + t) * words * words + found)
-            yield pdf.assign(filters=[np.sort(np.concatenate(x)) for x in out])
-
-    coded = cut(classes.mapInPandas(decode, "key binary, vec array<double>, copies long, filters array<long>"))
-    spread = coded.select(F.explode("filters").alias("filter")).groupBy("filter").agg(
-        F.ceil(F.count("*") / F.lit(block)).cast("int").alias("chunks"), F.count("*").alias("n")) \
-        .filter("n > 1").drop("n")
-    dealt = (coded.select("*", F.explode("filters").alias("filter")).join(spread, "filter")
-             .withColumn("chunk", F.pmod(F.hash("key"), F.col("chunks")))
-             .withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-             .select("filter", "key", "vec", "copies", "filters", "chunk",
-                     F.least("chunk", "mate").alias("i"), F.greatest("chunk", "mate").alias("j")))
+                for i, bits in zip(at, np.packbits(x @ planes(dim, seed) > 0, axis=1)):
+                    sketches[i] = bits.tobytes()
+            yield pdf.assign(filters=[np.sort(np.concatenate(x)) for x in out], sketch=sketches)
+
+    # the checkpoint fixes the class numbers
+    coded = cut(classes.mapInPandas(
+        decode, f"key binary, vec array<double>, copies long, rep {kind}, filters array<long>, sketch binary")
+        .withColumn("id", F.monotonically_increasing_id()))
+
+    def dealt(members: DataFrame, *columns: str) -> DataFrame:
+        """Members ``(filter, id)`` of each pair of chunks ``(filter, i, j)``; filters with one member are left out."""
+        spread = members.groupBy("filter").agg(
+            F.ceil(F.count("*") / F.lit(block)).cast("int").alias("chunks"), F.count("*").alias("n")) \
+            .filter("n > 1").drop("n")
+        return (members.join(spread, "filter")
+                .withColumn("chunk", F.pmod(F.hash("id"), F.col("chunks")))
+                .withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+                .select("filter", "id", *columns, "chunk",
+                        F.least("chunk", "mate").alias("i"), F.greatest("chunk", "mate").alias("j")))
+
+    far = sketch_distance(threshold)
+
+    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+        bits = np.unpackbits(np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(len(pdf), -1), axis=1)
+        x = bits.astype(np.float32) * 2 - 1
+        close = x @ x.T >= SKETCH - 2 * far
+        np.fill_diagonal(close, False)
+        if pdf["i"].iloc[0] != pdf["j"].iloc[0]:
+            side = pdf["chunk"].to_numpy()
+            close &= side[:, None] != side[None, :]
+        return pdf.loc[close.any(axis=1), ["filter", "id"]]
+
+    met = cut(dealt(coded.select(F.explode("filters").alias("filter"), "id", "sketch"), "sketch")
+              .groupBy("filter", "i", "j").applyInPandas(meet, "filter long, id long").distinct())
+    near = dealt(met).join(coded.select("id", "vec", "copies", "filters"), "id")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         x = unit(np.stack(pdf["vec"].to_numpy()).astype(np.float64))
@@ -193,7 +233,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, per_filter: floa
         at = np.flatnonzero(linked.any(axis=1))
         linked, pdf = linked[np.ix_(at, at)], pdf.iloc[at]
         if not len(at):
-            return pd.DataFrame({"key": [], "other": [], "links": []})
+            return pd.DataFrame({"id": [], "other": [], "links": []})
         label = np.arange(len(at))
         while True:  # smallest place reachable
             low = np.minimum(label, np.where(linked, label[None, :], len(at)).min(axis=1))
@@ -208,17 +248,22 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, per_filter: floa
         has = np.zeros((len(at), len(ids)), np.float32)
         has[np.repeat(np.arange(len(at)), [len(f) for f in before]), place] = 1
         fresh = linked & (has @ has.T == 0)
-        key = pdf["key"].to_numpy()
-        return pd.DataFrame({"key": key, "other": key[label], "links": fresh @ pdf["copies"].to_numpy()})
-
-    found = cut(dealt.groupBy("filter", "i", "j").applyInPandas(compare, "key binary, other binary, links long"))
-    links = found.groupBy("key").agg(F.sum("links").alias("links"))
-    parts = connected_components(found.select(F.col("key").alias("u"), F.col("other").alias("v")))
-    lab = (rows.select("vec_id", "key").join(classes.select("key", "copies"), "key", "left")
-           .join(links, "key", "left").join(parts.withColumnRenamed("node", "key"), "key", "left")
-           .withColumn("lab", F.coalesce("component", "key")))
-    least = lab.filter("lab is not null").groupBy("lab").agg(F.min("vec_id").alias("least"))
-    return lab.join(least, "lab", "left").select(
-        "vec_id", F.coalesce(F.col("copies") - 1 + F.coalesce("links", F.lit(0)), F.lit(0)).alias("n_links"),
+        ids = pdf["id"].to_numpy()
+        return pd.DataFrame({"id": ids, "other": ids[label], "links": fresh @ pdf["copies"].to_numpy()})
+
+    found = cut(near.groupBy("filter", "i", "j").applyInPandas(compare, "id long, other long, links long"))
+    links = found.groupBy("id").agg(F.sum("links").alias("links"))
+    parts = connected_components(found.select(F.col("id").alias("u"), F.col("other").alias("v")))
+    # classes of one vector without a link need no label
+    linked = cut(coded.select("id", "key", "rep", "copies").join(links, "id", "left")
+                 .join(parts.withColumnRenamed("node", "id"), "id", "left")
+                 .filter("copies > 1 or component is not null")
+                 .withColumn("component", F.coalesce("component", "id")))
+    least = linked.groupBy("component").agg(F.min("rep").alias("least")).withColumn("share", every_share())
+    label = (linked.withColumn("share", share("id")).join(least, ["component", "share"])
+             .select("key", "least", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+             .withColumn("share", every_share()))
+    return rows.select("vec_id", "key").withColumn("share", share("vec_id")).join(label, ["key", "share"], "left").select(
+        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("least", "vec_id").alias("component_id")) \
         .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

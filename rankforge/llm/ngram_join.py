@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import connected_components, cut, mix64
+from rankforge.llm.common import connected_components, cut, every_share, mix64, share
 
 #: Odd multipliers of the words of an n-gram, from the golden ratio.
 _GOLD = 0x9E3779B97F4A7C15
@@ -258,10 +258,6 @@ def trie_links(sets: list[np.ndarray], group: list[int], threshold: int,
     return links
 
 
-#: Shares that rows of one class, or classes of one component, are dealt to.
-_SHARES = 8
-
-
 def ngram_components(docs: DataFrame, n: int = 5, threshold: int = 80,
                      block_tokens: int = 400_000) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row of ``docs(doc_id,
@@ -278,12 +274,10 @@ def ngram_components(docs: DataFrame, n: int = 5, threshold: int = 80,
 
     linked = cut(classes.select("id", "key", "rep").join(
         connected_components(links).withColumnRenamed("node", "id"), "id"))
-    share = lambda col: F.pmod(F.xxhash64(col), F.lit(_SHARES)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(_SHARES - 1)))
-    least = linked.groupBy("component").agg(F.min("rep").alias("component_id")).withColumn("share", every)
+    least = linked.groupBy("component").agg(F.min("rep").alias("component_id")).withColumn("share", every_share())
     named = linked.withColumn("share", share("id")).join(least, ["component", "share"]).select("key", "component_id")
     copies = classes.filter("rows > 1").select("key", F.col("rep").alias("component_id")).join(named, "key", "left_anti")
-    label = named.union(copies).withColumn("share", every)
+    label = named.union(copies).withColumn("share", every_share())
     return sized.select("doc_id", "n_shingles", "key").withColumn("share", share("doc_id")) \
         .join(label, ["key", "share"], "left").select(
             "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -65,6 +65,37 @@ def test_recall_with_as_many_filters_as_for_ten_million_vectors(spark):
     assert sum(got.values()) >= 0.99 * 800
 
 
+def test_sketches_keep_pairs_at_the_threshold():
+    rng = np.random.default_rng(6)
+    for dim, t in ((64, 0.9), (8, 0.9), (64, 0.7)):
+        x = E.unit(rng.standard_normal((20_000, dim)))
+        y = rng.standard_normal((20_000, dim))
+        y = t * x + np.sqrt(1 - t * t) * E.unit(y - (x * y).sum(1, keepdims=True) * x)
+        p = E.planes(dim, 11)
+        apart = ((x @ p > 0) != (y @ p > 0)).sum(1)
+        assert apart.max() <= E.sketch_distance(t) and abs(apart.mean() / E.SKETCH - np.arccos(t) / np.pi) < 0.02
+    strangers = ((x @ p > 0) != (x[::-1] @ p > 0)).sum(1)
+    assert (strangers <= E.sketch_distance(0.9)).mean() < 0.001
+
+
+def test_planted_pairs_and_clusters(spark):
+    """Recall against brute force: pairs at 0.90 to 0.95 and clusters of near copies among strangers."""
+    rng = np.random.default_rng(10)
+    x = E.unit(rng.standard_normal((3000, 64)))
+    z = rng.standard_normal((300, 64))
+    z = E.unit(z - (x[:300] * z).sum(1, keepdims=True) * x[:300])
+    c = rng.uniform(0.901, 0.95, (300, 1))
+    clusters = np.repeat(x[300:303], 150, axis=0) + 0.04 * rng.standard_normal((450, 64))
+    rows = E.unit(np.concatenate([x, c * x[:300] + np.sqrt(1 - c * c) * z, clusters]))
+    cos = rows @ rows.T >= 0.9
+    np.fill_diagonal(cos, False)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in E.near_duplicates(df, block=128).collect()}
+    assert all(got[i] <= n for i, n in enumerate(cos.sum(1)))
+    print("recall", sum(got.values()) / cos.sum())
+    assert sum(got.values()) >= 0.99 * cos.sum()
+
+
 def test_bound_is_that_of_unit_vectors():
     x = E.unit(np.random.default_rng(1).standard_normal((200_000, 16)))[:, 0]
     for share in (0.3, 0.01, 0.001):
