@@ -142,6 +142,11 @@ def find_pii(docs: DataFrame) -> DataFrame:
     return docs.withColumn("pii", F.array_sort(F.concat(*found)))
 
 
+def of_kind(spans: str, kind_no: int) -> Column:
+    """Number of spans of one kind."""
+    return F.size(F.filter(spans, lambda s: s["kind_no"] == kind_no))
+
+
 def joined(spans: Column) -> Column:
     """``kind:start:end`` of every span, joined by commas."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")

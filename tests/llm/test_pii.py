@@ -1,8 +1,9 @@
+import hashlib
 import re
 
 from pyspark.sql import functions as F
 
-from rankforge.llm import pii
+from rankforge.llm import pii, queries
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -63,3 +64,14 @@ def test_redaction_and_clashing_columns(spark):
     assert pii.find_pii(df.limit(0)).collect() == []
     again = spark.createDataFrame([(rows[0][1],)], "text string")
     assert pii.find_pii(again).first().pii == []
+
+
+def test_query_counts_each_kind(spark, tmp_path):
+    texts = ["1.2.3.4 a@b.c 4111111111111111 +1 (487) 555-7209", "+1 (487) 555-7209 a@b.c, d@e.f", "x", None,
+             "1.2.3.4 5.6.7.8 9.10.11.12 DE89 3704 0044 0532 0130 00 iban", "4111111111111111 a@b.c"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for r in queries.op8_personal_data(spark, str(tmp_path)).collect():
+        kinds = [s.split(":")[0] for s in base(texts[r.doc_id]).split(",")]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [kinds.count(k) for k in ("email", "ip", "card", "phone")]
+        assert r.n_iban == (1 if r.doc_id == 4 else 0) and r.n_ssn == r.n_secret == 0
+        assert r.base_sha256 == hashlib.sha256(base(texts[r.doc_id]).encode()).hexdigest()
