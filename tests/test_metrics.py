@@ -123,3 +123,38 @@ def test_histogram_and_l2(spark):
     w = spark.createDataFrame([("a", 0.5), ("a", -0.5), ("b", 1.0)], "field string, w double")
     l2 = {r.field: r.l2 for r in M.l2_penalty(w, 0.2).collect()}
     assert l2["a"] == pytest.approx(0.05) and l2["b"] == pytest.approx(0.1)
+
+
+def test_threshold_cell_counts_every_threshold(spark):
+    import random
+    rng = random.Random(3)
+    for n in (2, 3, 4, 50, 200, 1000):
+        t = M.thresholds(n)
+        xs = [x + d for x in t for d in (0.0, 1e-17, -1e-17, 2e-16, -2e-16)] + [rng.uniform(-0.1, 1.1) for _ in range(500)]
+        xs += [0.0, -0.0, 1.0, float("inf"), float("-inf"), float("nan"), None, 1e300, -1e300]
+        got = spark.createDataFrame([(x,) for x in xs], "p double").select("p", M.threshold_cell(F.col("p"), n).alias("c")).collect()
+        for r in got:
+            want = 0 if r.p is None else len(t) if r.p != r.p else sum(v < r.p for v in t)
+            assert r.c == want, (n, r.p)
+
+
+def _scans(df):
+    """Reads of the input and jobs' Python stages in the plan, those of reused exchanges not counted."""
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Scan ExistingRDD")
+
+
+def test_metrics_read_the_rows_once(spark):
+    df = spark.createDataFrame([(float(i % 2), float(i % 3 == 0), (i % 10) / 10, 1.0 + i % 4) for i in range(200)], "y double, y2 double, p double, w double")
+    assert _scans(M.auc_200(df, "y", "p", "w")) == 1
+    assert _scans(M.auc_200(df, "y", "p", "w", curve="PR", method="careful_interpolation")) == 1
+    assert _scans(M.eval_report(df, "y", "p", "w")) == 1
+    tasks = {"a": ("y", "p", None), "b": ("y2", "p", None), "c": ("y2", "p", F.col("y") == 1)}
+    assert _scans(M.auc_per_task(df, tasks, "w", exact=False)) == 1
+    rows = {r.task: r.auc for r in M.auc_per_task(df, tasks, "w", exact=True).collect()}
+    for name, (y, p, cond) in tasks.items():
+        one = M.auc_exact(df if cond is None else df.where(cond), y, p, "w").first().auc
+        assert abs(rows[name] - one) < 1e-12
+    wide = M.eval_report(df, "y", "p", "w", long=False).first()
+    assert abs(wide.auc - M.auc_200(df, "y", "p", "w").first().auc) < 1e-12
+    pr = M.precision_recall(df, "y", "p", "w").first()
+    assert abs(wide.precision - pr.precision) + abs(wide.recall - pr.recall) + abs(wide.accuracy - pr.accuracy) < 1e-12
