@@ -76,6 +76,16 @@ def centres(items: DataFrame, cells: int, sample_rows: int, rounds: int = 8, see
     return c
 
 
+def k_best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the k largest scores of every row, largest first, equal ones by id."""
+    least = np.partition(scores, -k, axis=1)[:, -k:].min(axis=1, keepdims=True) if len(ids) > k else -np.inf
+    row, at = np.nonzero(scores >= least)
+    order = np.lexsort((ids[at], -scores[row, at], row))
+    row, at = row[order], at[order]
+    kept = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[kept], at[kept]
+
+
 def top_items(users: DataFrame, items: DataFrame, k: int, user_col: str = "uid", item_col: str = "touid", probes: int = 4,
               approximate: bool = False, max_cells: int = 1024, cell_rows: int = 16384, group_rows: int = 16384,
               sample_rows: int = 32768) -> DataFrame:
@@ -104,7 +114,7 @@ def top_items(users: DataFrame, items: DataFrame, k: int, user_col: str = "uid",
         "team", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).select("cell", "part", "team", "item", "vec")
     used = np.array(sorted(size))
     far, middle = np.array([size[i][1] for i in used]), c[used]
-    n_parts = {i: -(-size[i][0] // cell_rows) for i in used.tolist()}
+    n_parts = np.array([-(-size[i][0] // cell_rows) for i in used.tolist()])
 
     def routes(second: bool):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -112,11 +122,19 @@ def top_items(users: DataFrame, items: DataFrame, k: int, user_col: str = "uid",
                 q = np.vstack(b["vec"].to_list()) if len(b) else np.zeros((0, middle.shape[1]))
                 reach = q @ middle.T + np.linalg.norm(q, axis=1, keepdims=True) * far * (1 + 1e-9) + 1e-9
                 order = np.argsort(-reach, axis=1, kind="stable")
-                out = []
-                for i in range(len(b)):
-                    cells = order[i, :probes] if not second else order[i, probes:][reach[i, order[i, probes:]] >= b["least"].iloc[i]]
-                    out += [(int(used[x]), p, b["user"].iloc[i], b["vec"].iloc[i]) for x in cells for p in range(n_parts[int(used[x])])]
-                yield pd.DataFrame(out, columns=["cell", "part", "user", "vec"])
+                asked = np.ones(order[:, :probes].shape, bool)
+                if second:
+                    order = order[:, probes:]
+                    asked = np.take_along_axis(reach, order, axis=1) >= b["least"].to_numpy()[:, None]
+                row, at = np.nonzero(asked)
+                cell = order[row, at]
+                row, cell = np.repeat(row, n_parts[cell]), np.repeat(cell, n_parts[cell])
+                first = np.flatnonzero(np.diff(cell, prepend=-1) | np.diff(row, prepend=-1))
+                number = np.arange(len(row)) - np.repeat(first, np.diff(first, append=len(row)))
+                for a in range(0, len(row), 10_000):
+                    r = row[a:a + 10_000]
+                    yield pd.DataFrame({"cell": used[cell[a:a + 10_000]], "part": number[a:a + 10_000], "user": b["user"].to_numpy()[r],
+                                        "vec": b["vec"].to_numpy()[r]})
         return run
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -127,10 +145,8 @@ def top_items(users: DataFrame, items: DataFrame, k: int, user_col: str = "uid",
         for a in range(0, len(right), 256):
             part = right.iloc[a:a + 256]
             scores = np.round(np.vstack(part["vec"].to_list()) @ m.T, 9)
-            for u, s in zip(part["user"], scores):
-                top = np.arange(len(s)) if len(s) <= k else np.flatnonzero(s >= np.partition(s, -k)[-k])
-                top = top[np.lexsort((ids[top], -s[top]))][:k]
-                out.append(pd.DataFrame({"user": u, "item": ids[top], "score": s[top]}))
+            row, at = k_best(scores, ids, k)
+            out.append(pd.DataFrame({"user": part["user"].to_numpy()[row], "item": ids[at], "score": scores[row, at]}))
         return pd.concat(out)
 
     team = F.pmod(F.xxhash64("user"), F.lit(groups)).cast("int")

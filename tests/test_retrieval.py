@@ -56,3 +56,12 @@ def test_towers_equal_numpy(spark):
     got = {r.id: r.vec for r in R.tower_vectors(df, "id", "x", [4, 5, 3], 50, dense, "n").collect()}
     assert all(got[i] == pytest.approx(h[i], abs=1e-9) for i in range(30))
     assert R.tower_vectors(df.limit(0), "id", "x", [4, 5, 3], 50).collect() == []
+
+
+def test_k_best_of_all_rows_at_once():
+    rng = np.random.default_rng(4)
+    scores, ids = np.round(rng.normal(size=(30, 40)), 1), rng.permutation(40)  # many equal scores
+    for k in (1, 7, 40, 50):
+        row, at = R.k_best(scores, ids, k)
+        for i, s in enumerate(scores):
+            assert at[row == i].tolist() == np.lexsort((ids, -s))[:k].tolist()
