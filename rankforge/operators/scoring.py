@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankforge.functions.features import compile_features
-from rankforge.operators.lookup import (BIAS_FID, ROW_ID, checked_params, fits_broadcast, gather_fold, id_fields, linear_lookup,
+from rankforge.operators.lookup import (BIAS_FID, ROW_ID, checked_params, fits_broadcast, gather_fold, gather_sums, id_fields, linear_lookup,
                                         long_ids, maybe_broadcast, param_table, scalar_param, with_row_id)
 from rankforge.operators.metrics import sigmoid
 from rankforge.spec import FeatureSpec
@@ -66,15 +66,10 @@ def score_fm(samples: DataFrame, spec: FeatureSpec, dim: int = 4, numeric=(), id
         spark = samples.sparkSession
         both = param_table(spark, tables, dim=dim, with_bias=False, with_w=True) if params is None else checked_params(params, tables)
         feats = compile_features(samples, spec, keep=[id_col, *keep, *numeric])
-        init = {"_lin": F.lit(0.0), "_q": F.lit(0.0), **{f"_s{d}": F.lit(0.0) for d in range(dim)}}
-
-        def fold(acc, got):
-            out = {"_lin": acc["_lin"] + got["w"],
-                   "_q": acc["_q"] + sum((got[f"v{d}"] * got[f"v{d}"] for d in range(1, dim)), got["v0"] * got["v0"])}
-            out.update({f"_s{d}": acc[f"_s{d}"] + got[f"v{d}"] for d in range(dim)})
-            return out
-        vals = [(F.col("w"), "w")] + [(F.col("vec").getItem(d), f"v{d}") for d in range(dim)]
-        g = gather_fold(feats, fields, both, vals, init, fold)
+        part = [F.coalesce(F.col("vec").getItem(d), F.lit(0.0)) for d in range(dim)]
+        g = gather_sums(feats, fields, both, [F.col("w"), sum((v * v for v in part[1:]), part[0] * part[0]), *part])
+        g = g.select(*[c for c in g.columns if c != "_sums"],
+                     *[F.col("_sums")[i].alias(c) for i, c in enumerate(["_lin", "_q", *(f"_s{d}" for d in range(dim))])])
         # numeric fields: x·w and x·v with their single parameter row each (one small read)
         rows = {r.fid: r for r in both.where(F.col("fid").isin([f for _, f in num])).select("fid", "w", "vec").collect()} if num else {}
         for c, fid in num:
