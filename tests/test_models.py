@@ -115,3 +115,19 @@ def test_param_table_parallel_and_exact(spark):
     for r in t:
         if r.fid >= 0:
             assert r.vec == [w(r.fid, r.bucket, 0), w(r.fid, r.bucket, 1)]
+
+
+def test_gathered_sums(spark):
+    """Sums over the fields in one array column; unknown ids and null values read 0."""
+    from rankforge.operators.lookup import gather_sums
+    df = spark.createDataFrame([(1, 0, 1), (2, 5, 0), (3, None, -1)], "id int, a long, b long")
+    table = spark.createDataFrame([(0, 0, 1.5, 2.0), (1, 0, 10.0, None), (1, 1, 20.0, 0.25)], "fid long, bucket long, w double, v double")
+    got = gather_sums(df, [("a", 0, 9, False), ("b", 1, 9, False)], table, [F.col("w"), F.col("v")])
+    assert {r.id: r._sums for r in got.collect()} == {1: [21.5, 2.25], 2: [10.0, 0.0], 3: [0.0, 0.0]}
+
+
+def test_linear_lookup_does_not_sort_the_ids(spark, sf_small, capsys):
+    from rankforge.plans.registry import QUERIES
+    QUERIES["linear_lookup"](spark, sf_small).explain()
+    plan = capsys.readouterr().out
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
