@@ -197,3 +197,23 @@ def test_errors_of_reading_are_not_a_cold_start(spark, tmp_path):
     (tmp_path / "bad" / "part-0.parquet").write_bytes(b"no parquet")
     with pytest.raises(Exception):
         load_latest_weights(spark, str(tmp_path / "bad"))
+
+
+def test_ids_looked_up_equal_ids_joined(spark, sf_small):
+    """Unknown ids, a gap in the table, and ids that repeat in it."""
+    net = NETS["deepfm"]()
+    rows = J.stored(rows_of(spark, sf_small, net).limit(400).withColumn("entries", F.transform("entries", lambda e: F.when(
+        (e["pos"] == 3) & (e["bucket"] % 5 == 1), e.withField("bucket", e["bucket"] + 9000)).otherwise(e))))
+    first = J.start_model(spark, li_spec(), net, J.Rule())
+    gap = first.sparse.where("not (fid = 4 and bucket = 0) and bucket <> 7")
+    scales = {"ctr": 0.01}
+    for sparse, held in ((gap, True), (gap.union(gap.where("fid = 4")), False)):
+        model = J.Model(sparse, first.dense, first.state)
+        assert (J.held_table(model, table_rows(net), 3, J.BROADCAST_LIMIT_BYTES) is not None) == held
+        want, got = ({(r.kind, r.task, r.fid, r.bucket): tuple(r)[4:] for r in J.task_gradients(
+            rows, model, net, sorted(LABELS), scales, table_rows(net), **limit).collect()} for limit in ({"limit": 0}, {}))
+        assert got.keys() == want.keys() and any(b > 9000 for _, _, _, b in got)
+        for key, g in want.items():
+            assert got[key] == pytest.approx(g, abs=1e-9)
+        want, got = (dict(J.score(rows, net, model, LABELS, table_rows(net), **limit).select("rid", "p_ctr").collect()) for limit in ({"limit": 0}, {}))
+        assert got == pytest.approx(want, abs=1e-12)
