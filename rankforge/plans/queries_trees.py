@@ -11,6 +11,7 @@ from rankforge.operators.lookup import id_fields
 from rankforge.plans import sqlgen as Q
 from rankforge.plans.catalog import query, rnd, with_ctes
 from rankforge.plans.demo import SAMPLES_LI_SQL, li_spec, samples_li
+from rankforge.session import written
 from rankforge.sources import scans as SC
 
 FIELDS = [(f, n) for f, _, n, _ in id_fields(li_spec())]
@@ -59,7 +60,8 @@ TREES, DEPTH = 8, 6  # about 12 s a tree of depth 10 on local[8]: 100 of them ta
 def q_train_trees(spark, sf):
     """Weighted boosted trees with L1/L2 leaves on all samples of the training
     split: AUC of both splits and the size of the model."""
-    d = SC.split_train_test(_rows(spark, sf), "sample_id", 0.2, seed=3)
+    # training and scoring read the samples several times
+    d = written(SC.split_train_test(_rows(spark, sf), "sample_id", 0.2, seed=3).drop("sample_id"))
     model = B.train_trees(d.where("split = 'train'"), BINS, TREES, DEPTH, 0.2, L1, L2)
     s = B.score_trees(d, model)
     return M.auc_exact(s, "y", "p", "w", ["split"]).select("split", r(F.col("auc"), "auc"),
