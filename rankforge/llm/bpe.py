@@ -235,30 +235,35 @@ def encode_words(replay: MergeReplay, words: list[str]) -> tuple[np.ndarray, np.
 
 class WordIds:
     """Ids of words: those of the shared table, and those a worker has met
-    since its memory was last full (then it begins anew with the shared ones)."""
+    since its memory was last full (then it begins anew with the shared ones).
+    A worker keeps this between tasks, so words are in one Arrow array and ids
+    in 32 bits: 12 bytes a word besides its text and 4 for each token."""
 
-    def __init__(self, replay: MergeReplay, words: list[str], ids: np.ndarray, sizes: np.ndarray, kept: int):
+    def __init__(self, replay: MergeReplay, words: pa.Array, ids: np.ndarray, sizes: np.ndarray, kept: int):
         self.replay, self.kept, self.shared = replay, kept, (words, ids, sizes)
         self.names = pa.array([str(i) for i in range(max(replay.token) + 1)], pa.large_string())
         self.bytes = pa.array([replay.token.get(i, b"") for i in range(max(replay.token) + 1)], pa.large_binary())
         self.begin()
 
     def begin(self) -> None:
-        words, self.ids, self.sizes = self.shared
-        self.slot = dict(zip(words, range(len(words))))
+        self.words, self.ids, self.sizes = self.shared
 
-    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in one array, and how many each has; the words are distinct."""
-        if len(self.slot) > self.kept:
-            self.begin()
-        at = list(map(self.slot.get, words))
-        fresh = [w for w, i in zip(words, at) if i is None]
-        ids, sizes = encode_words(self.replay, fresh)
-        self.slot.update(zip(fresh, range(len(self.sizes), len(self.sizes) + len(fresh))))
-        self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
-        at = np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))
+        found = pc.index_in(words, value_set=self.words)
+        fresh = words.filter(pc.is_null(found))
+        at = pc.fill_null(found, -1).to_numpy()
+        at = np.where(at < 0, len(self.words) - 1 + np.cumsum(at < 0), at)
+        if len(fresh):
+            ids, sizes = encode_words(self.replay, fresh.to_pylist())
+            self.words = pa.concat_arrays([self.words, fresh])
+            self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
+            self.sizes = np.concatenate([self.sizes, sizes.astype(np.int32)])
         n = self.sizes[at]
-        return self.ids[spread((np.cumsum(self.sizes) - self.sizes)[at], n)], n
+        out = self.ids[spread((np.cumsum(self.sizes) - self.sizes)[at], n)]
+        if len(self.words) > self.kept:
+            self.begin()
+        return out, n
 
 
 @lru_cache(maxsize=2)
@@ -273,8 +278,8 @@ def word_ids(lines: bytes, pattern: str, shared: bytes, kept: int) -> WordIds:
     with pa.ipc.open_stream(shared) as reader:
         table = reader.read_all().combine_chunks()
     ids = table["ids"].combine_chunks()
-    return WordIds(encoder(lines, pattern), table["word"].to_pylist(), ids.flatten().to_numpy().astype(np.int64),
-                   pc.list_value_length(ids).to_numpy().astype(np.int64), kept)
+    return WordIds(encoder(lines, pattern), table["word"].combine_chunks().cast(pa.large_string()),
+                   ids.flatten().to_numpy(), pc.list_value_length(ids).to_numpy(), kept)
 
 
 def groups(b: pa.RecordBatch, chars: int) -> Iterator[pa.RecordBatch]:
@@ -350,7 +355,7 @@ def bpe_encode(docs: DataFrame, rank_file: str, pattern: str, with_ids: bool = T
         def encoded(part: pa.RecordBatch) -> pa.RecordBatch:
             words, firsts = words_of(part.column("text"), split)
             words = words.dictionary_encode()
-            ids, sizes = known.of(words.dictionary.to_pylist())
+            ids, sizes = known.of(words.dictionary)
             own = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int64())
             at, offsets = words.indices, pa.array(firsts, pa.int64())
 
@@ -371,5 +376,6 @@ def bpe_encode(docs: DataFrame, rank_file: str, pattern: str, with_ids: bool = T
 
         for b in batches:
             yield from map(encoded, groups(b, group_chars))
+        pa.default_memory_pool().release_unused()  # the worker lives on, for tasks of other kinds as well
 
     return read.mapInArrow(run, schema)

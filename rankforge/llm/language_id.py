@@ -51,6 +51,8 @@ from rankforge.llm.common import cut, mix64
 ORDER = 4
 #: One labelled text of so many calibrates; the temperatures tried; the share of texts that fit without penalty.
 APART, HEAT, QUANTILE = 8, 2.0 ** -np.arange(0, 10.5, 0.5), 0.99
+#: Characters scored at once, but for longer texts: some 100 bytes a character and language while they are looked up.
+SCORED = 100_000
 _CODE = np.uint64(16)
 _OTHER = 0xFFFF
 
@@ -288,7 +290,7 @@ class LanguageModels:
             if len(codes) and self.langs:
                 group.append((i, gram_keys(codes)))
                 held += len(codes)
-                if held > 500_000:
+                if held > SCORED:
                     score()
                     group, held = [], 0
         score()

@@ -47,27 +47,20 @@ from rankforge.llm.common import connected_components, cut, every_share, mix64,
 
 #: Odd multipliers of the words of an n-gram, from the golden ratio.
 _GOLD = 0x9E3779B97F4A7C15
-_WORDS_KEPT = 1_000_000
 
 
 class Shingler:
-    """Text -> ascending distinct n-gram hashes. Keeps word hashes of up to
-    ``_WORDS_KEPT`` words between calls."""
+    """Text -> ascending distinct n-gram hashes. Nothing is kept between calls:
+    hashing a word again costs less than looking it up."""
 
     def __init__(self, n: int):
         self.n = n
-        self.words: dict[bytes, int] = {}
 
     def __call__(self, text: str | None) -> np.ndarray:
         words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
         if not words:
             return np.empty(0, np.uint64)
-        known = self.words
-        if len(known) > _WORDS_KEPT:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
         width = min(self.n, len(h))
         out = np.full(len(h) - width + 1, width, np.uint64)
         for i in range(width):

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers as P
 import pyarrow as pa
 import pytest
@@ -76,3 +77,16 @@ def test_shared_words_and_memory_change_no_result(spark, sf_small):
     want = sorted(bpe.bpe_encode(docs, FILE, P.PATTERN, with_ids=False).collect())
     for setting in ({"shared_words": 0, "words_kept": 1, "group_chars": 20_000}, {"shared_words": 300, "words_kept": 400}):
         assert sorted(bpe.bpe_encode(docs, FILE, P.PATTERN, with_ids=False, **setting).collect()) == want
+
+
+def test_remembered_words_are_few_bytes_each_and_bounded(replay, reference):
+    words = [f" w{i}x{i * i}" for i in range(30_000)]
+    none = np.empty(0, np.int32)
+    known = bpe.WordIds(replay, pa.array([], pa.large_string()), none, none, 12_000)
+    for at in range(0, len(words), 5_000):
+        some = words[max(0, at - 2_000):at + 5_000]  # some of them remembered, some not
+        ids, sizes = known.of(pa.array(some, pa.large_string()))
+        ends = np.cumsum(sizes)
+        assert [ids[e - n:e].tolist() for e, n in zip(ends, sizes)] == reference.encode_ordinary_batch(some)
+        assert len(known.words) == len(known.sizes) <= 12_000 and known.sizes.sum() == len(known.ids)
+        assert known.words.nbytes + known.ids.nbytes + known.sizes.nbytes <= 70 * len(known.words)  # 17 bytes, 8 tokens

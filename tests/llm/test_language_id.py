@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -166,3 +167,19 @@ def test_all_evidence_counts():
     m = L.LanguageModels({"x": counts(["the cat sat on the mat"]), "y": counts(["the cat sat on the hat"])})
     scores = m.predict(["a mat " * k for k in (1, 10, 100, 1000)], 1e9, 0.0)[1]
     assert (np.diff(scores) >= 0).all() and scores[-1] > 0.999
+
+
+def test_memory_of_scoring_does_not_follow_the_number_of_texts():
+    rng = np.random.default_rng(5)
+    texts = ["".join(chr(97 + c) for c in rng.integers(0, 26, 2_000)) for _ in range(240)]
+    keys, n = np.unique(np.concatenate([L.gram_keys(L.char_codes(t)) for t in texts[:40]]), return_counts=True)
+    models = L.LanguageModels({x: (keys, n) for x in "abcd"})
+    peak = []
+    for some in (texts[40:120], texts[40:]):  # texts that the models have not seen
+        tracemalloc.start()
+        sizes, h = models.entropies(some)
+        peak.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert (sizes == 2_001).all()  # and the space at the end
+        assert all(np.array_equal(models.entropies([t])[1][0], x) for t, x in zip(some[::20], h[::20]))
+    assert peak[1] < 1.5 * peak[0]

@@ -1,4 +1,5 @@
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -166,3 +167,14 @@ def test_sets_at_the_size_bound_share_a_segment(t):
         if len(small) < len(large):
             x, y = (set(np.concatenate(J.segment_digests(s, t, *sizes)).tolist()) for s in (small, large))
             assert x & y, (len(small), len(large))
+
+
+def test_shingling_keeps_no_words():
+    texts = [" ".join(f"w{i}x{j}" for j in range(500)) for i in range(100)]
+    shingle = J.Shingler(3)
+    shingle(texts[0])
+    tracemalloc.start()
+    sizes = [len(shingle(t)) for t in texts]
+    kept, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert sizes == [498] * 100 and kept < 100_000
