@@ -1,3 +1,5 @@
+import inspect
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -38,3 +40,13 @@ def test_fm_edges(spark):
             FM.train_id_fm(spark.createDataFrame(rows, schema), ["a", "b"], "y_ctr", max_iter=1)
     model = FM.train_id_fm(spark.createDataFrame([(0, 70_000, 1.0), (1, 3, 0.0)], schema), ["a", "b"], "y_ctr", max_iter=2)
     assert model.sizes == [3, 70_002] and FM.score_id_fm(spark.createDataFrame([(5, 80_000, 1.0)], schema), model).first().p > 0
+
+
+def test_query_trains_the_whole_fm(spark, sf_small, monkeypatch):
+    """As many iterations as the operator's default."""
+    from rankforge.operators import training
+    from rankforge.plans import queries_train
+    seen, plain = [], FM.train_id_fm
+    monkeypatch.setattr(FM, "train_id_fm", lambda *a: seen.append(plain(*a)) or seen[-1])
+    queries_train.q_train_fm(spark, sf_small).collect()
+    assert [m.iterations for m in seen] == [20] == [inspect.signature(training.train_fm).parameters["max_iter"].default]
