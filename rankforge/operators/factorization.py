@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankforge.operators.boosting import tables_of
-from rankforge.session import few_blocks, written
+from rankforge.session import discarded, small_batches, written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -186,8 +186,8 @@ def train_id_fm(df: DataFrame, features: list[str], label: str, factors: int = 4
     model = IdFM(list(features), sizes, np.zeros((n, factors + 1)))
     model.table[:, :-1] = first_factors(n * factors, seed, std).reshape(n, factors)
     m, v = np.zeros(n * (factors + 1) + 1), np.zeros(n * (factors + 1) + 1)
-    blocks = written(fm_blocks(rows, features, sizes), compression="none")
-    with few_blocks(spark, 128):
+    blocks = written(fm_blocks(rows, features, sizes), packed=True)
+    with small_batches(spark):
         for i in range(1, max_iter + 1):
             got = gradient_sums(blocks, model).toArrow()
             position, values = got["position"].to_numpy(), np.stack([got[f"s{d}"].to_numpy() for d in range(factors + 1)], axis=1)
@@ -204,6 +204,7 @@ def train_id_fm(df: DataFrame, features: list[str], label: str, factors: int = 4
             model.table, model.intercept, model.iterations = new[:-1].reshape(n, factors + 1), float(new[-1]), i
             if i > 1 and np.linalg.norm(new - old) < tol * max(np.linalg.norm(new), 1.0):
                 break
+    discarded(blocks)
     return model
 
 
