@@ -217,3 +217,18 @@ def test_ids_looked_up_equal_ids_joined(spark, sf_small):
             assert got[key] == pytest.approx(g, abs=1e-9)
         want, got = (dict(J.score(rows, net, model, LABELS, table_rows(net), **limit).select("rid", "p_ctr").collect()) for limit in ({"limit": 0}, {}))
         assert got == pytest.approx(want, abs=1e-12)
+
+
+def test_loop_reads_only_the_files_of_its_group(spark, sf_small, monkeypatch):
+    """Every step of train_eval_loop plans the files of its split and group only, every scoring those of the dev split."""
+    from rankforge.plans import queries_joint as Q
+    trained, scored, plain_train, plain_score = [], [], J.train, J.score
+
+    def filters(rows):
+        return rows._jdf.queryExecution().sparkPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+
+    monkeypatch.setattr(J, "train", lambda rows, *a, **b: trained.append(filters(rows)) or plain_train(rows, *a, **b))
+    monkeypatch.setattr(J, "score", lambda rows, *a, **b: scored.append(filters(rows)) or plain_score(rows, *a, **b))
+    got = Q.q_train_eval_loop(spark, sf_small).collect()
+    assert [(r.epoch, r.shard_group, r.step) for r in got] == [(e, g, 5 * e + g + 1) for e in range(2) for g in range(5)]
+    assert len(trained) == len(scored) == 10 and all("split" in f for f in trained + scored) and all("shard_group" in f for f in trained)
